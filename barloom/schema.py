@@ -92,7 +92,8 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("end_time", T.TimestampType()),
         T.StructField("duration", T.DayTimeIntervalType()),
         T.StructField("status", T.StringType()),
-        T.StructField("error_message", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("result", T.StringType()),
     ]
 )
 
