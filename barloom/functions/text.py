@@ -119,3 +119,12 @@ def remap(value: Column, mapping: dict[str, str]) -> Column:
     for old, new in mapping.items():
         result = F.when(value == old, F.lit(new)) if result is None else result.when(value == old, F.lit(new))
     return result if result is not None else F.lit(None).cast("string")
+
+
+def merge_json(old: Column, new: Column) -> Column:
+    """Shallow merge of two JSON objects; entries of `new` win, values keep their types."""
+
+    def entries(value: Column) -> Column:
+        return F.try_parse_json(value).cast("map<string,variant>")
+
+    return F.to_json(merge_maps(entries(old), entries(new)))

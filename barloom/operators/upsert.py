@@ -122,3 +122,9 @@ def named_after_range(df: DataFrame, keys: Sequence[str] = ("code", "candle")) -
         F.min(F.to_date("trade_time")).alias("start_date"), F.max(F.to_date("trade_time")).alias("end_date")
     )
     return join_back(df.drop("start_date", "end_date"), ranges, tuple(keys))
+
+
+def stamp_rows(df: DataFrame, at: Column) -> DataFrame:
+    """Set the row times of a write: created_at once, updated_at always."""
+    created = F.coalesce(F.col("created_at"), at) if "created_at" in df.columns else at
+    return df.withColumns({"created_at": created, "updated_at": at})

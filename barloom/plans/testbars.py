@@ -39,10 +39,13 @@ def event_bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def month_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly bars of unit prices; the code is the supplier."""
+def month_bars(spark: SparkSession, folder: str, of: Column | None = None) -> DataFrame:
+    """Monthly bars of unit prices; the code is the supplier. `of` chooses line items."""
     items = table(spark, folder, "lineitem")
-    price = F.col("l_extendedprice") / F.col("l_quantity")
+    if of is not None:
+        items = items.where(of)
+    # cut to cents by floor, which no engine rounds differently
+    price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100.0) / 100.0
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
     month = F.trunc(F.col("l_shipdate").cast("date"), "month")
     bars = items.groupBy("l_suppkey", month.alias("month")).agg(

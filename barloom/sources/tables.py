@@ -183,7 +183,7 @@ class KeyedTable:
     def read(self) -> DataFrame:
         if self.is_empty():
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def _touched(self, changes: DataFrame) -> DataFrame:
         if self.is_empty():

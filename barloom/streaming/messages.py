@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.text import decode_utf8
 from barloom.operators.upsert import TASK_UPDATABLE, claim_first
@@ -97,5 +98,9 @@ def run_available(
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def file_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", files_per_batch: int = 1
+) -> DataFrame:
+    """The files of a folder as a stream, in order of arrival."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", names)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
