@@ -39,7 +39,7 @@ FEATURES = (
 
 
 def query(function: Query) -> Query:
-    """Register a query. Results carry naive UTC times, dates as text and doubles to 6 digits."""
+    """Register a query. Results carry naive UTC times, dates as text and doubles to 4 digits."""
 
     def finished(spark: SparkSession, folder: str) -> DataFrame:
         df = function(spark, folder)
@@ -57,7 +57,7 @@ def _plain(field: T.StructField) -> Column:
         case T.DateType():
             return column.cast("string")
         case T.DoubleType() | T.DecimalType():
-            return F.round(column.cast("double"), 6)
+            return F.round(column.cast("double"), 4)
         case T.IntegerType() | T.ShortType():
             return column.cast("long")
         case _:
@@ -317,15 +317,22 @@ def daily_returns(spark, folder):
 
 @query
 def risk_metrics(spark, folder):
-    return returns.risk_metrics(returns.add_log_returns(month_bars(spark, folder)))
+    return returns.risk_metrics(returns.add_log_returns(event_bars(spark, folder)))
+
+
+@query
+def risk_by_calendar(spark, folder):
+    return returns.risk_metrics(returns.add_log_returns(month_bars(spark, folder)), basis="calendar")
 
 
 @query
 def growth_rates(spark, folder):
-    bars = returns.add_log_returns(month_bars(spark, folder))
-    by_rows = returns.growth_rate(bars).withColumnRenamed("cagr", "cagr_rows")
-    by_days = returns.growth_rate(bars, basis="calendar").withColumnRenamed("cagr", "cagr_calendar")
-    return by_rows.join(by_days, ["code", "candle"])
+    return returns.growth_rate(returns.add_log_returns(event_bars(spark, folder)))
+
+
+@query
+def growth_by_calendar(spark, folder):
+    return returns.growth_rate(returns.add_log_returns(month_bars(spark, folder)), basis="calendar")
 
 
 # --- strategies and trades -------------------------------------------------------

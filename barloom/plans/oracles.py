@@ -32,7 +32,7 @@ MONTH_BARS = month_bars()
 
 
 def r(expression: str, name: str) -> str:
-    return f"round({expression}, 6) AS {name}"
+    return f"round({expression}, 4) AS {name}"
 
 
 def rounded(*names: str) -> str:
@@ -58,8 +58,8 @@ add(
 add("load_codes", f"SELECT {ROW}, {rounded('close')}, volume FROM bars WHERE code IN ('click', 'error', 'none')", HOUR_BARS)
 add(
     "coerce_prices",
-    "SELECT event_id, CASE WHEN event_type <> 'error' THEN round(value, 6) END AS open, "
-    "round(CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE), 6) AS close FROM events",
+    "SELECT event_id, CASE WHEN event_type <> 'error' THEN round(value, 4) END AS open, "
+    "round(CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE), 4) AS close FROM events",
 )
 
 # --- cleaning and projection -------------------------------------------------------
@@ -84,7 +84,7 @@ add(
 add(
     "clean_rows",
     """SELECT event_id, CASE WHEN event_type IN ('click', 'view', 'error') THEN NULL ELSE event_type END AS label,
-       ts AS seen_at, round(CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE), 6) AS open, round(value, 6) AS close,
+       ts AS seen_at, round(CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE), 4) AS open, round(value, 4) AS close,
        coalesce(CASE WHEN value < 50 THEN value > 20 END, FALSE) AS flag
        FROM events WHERE value > 5""",
 )
@@ -123,7 +123,7 @@ add(
 )
 add(
     "drop_incomplete",
-    """SELECT o_orderkey, round(o_totalprice, 6) AS price, o_orderdate AS day FROM orders
+    """SELECT o_orderkey, round(o_totalprice, 4) AS price, o_orderdate AS day FROM orders
        WHERE o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW' AND o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL""",
 )
 
@@ -139,7 +139,6 @@ add("task_lookup", f"SELECT {uuid_of('o_orderkey')} AS id, o_orderkey, o_orderst
 # --- checks ------------------------------------------------------------------------
 
 REQUIRED = ("id", "code", "open", "close", "high", "low", "trade_time", "candle", "updated_at", "created_at")
-_GATE = ", ".join(f"(SELECT count(*) FROM gated WHERE {c} IS NULL) AS {c}" for c in REQUIRED)
 add(
     "input_gate",
     " UNION ALL ".join(f"SELECT '{c}' AS column, count(*) FILTER ({c} IS NULL) AS nulls FROM gated" for c in REQUIRED),
@@ -153,7 +152,7 @@ add(
 )
 add(
     "orphans",
-    """SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority
+    """SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 4) AS o_totalprice, o_orderdate, o_orderpriority
        FROM orders WHERE o_custkey IS NOT NULL
        AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)""",
 )
@@ -296,23 +295,29 @@ add(
     f"SELECT {SERIES}, {rounded('close', 'log_returns')}, {r(GROWTH, 'cusum_rewards')} FROM returned",
     HOUR_BARS, DAILY, RETURNED.replace("FROM bars", "FROM daily"),
 )
-add(
-    "risk_metrics",
-    f"""SELECT code, candle, bars, {r('annual * 100', 'annualized_return')}, {r('risk * 100', 'annualized_risk')},
-        {r('(annual - 0.02) / risk', 'sharpe_ratio')}
-        FROM (SELECT code, candle, bars, exp(total / years) - 1 AS annual, dev * sqrt(years) AS risk
-              FROM (SELECT code, candle, count(*) AS bars, sum(log_returns) AS total, stddev_samp(log_returns) AS dev,
-                           (count(*) - 1) / 365.25::DOUBLE AS years FROM returned GROUP BY 1, 2))""",
-    MONTH_BARS, RETURNED,
-)
-add(
-    "growth_rates",
-    """SELECT code, candle, round((exp(total / ((n - 1) / 365.25::DOUBLE)) - 1) * 100, 6) AS cagr_rows,
-       round((exp(total / (days / 365.25::DOUBLE)) - 1) * 100, 6) AS cagr_calendar
-       FROM (SELECT code, candle, count(*) AS n, sum(log_returns) AS total,
-             date_diff('day', min(trade_time), max(trade_time)) AS days FROM returned GROUP BY 1, 2)""",
-    MONTH_BARS, RETURNED,
-)
+YEARS = {
+    "rows": "(count(*) - 1) / 365.25::DOUBLE",
+    "calendar": "date_diff('day', min(trade_time), max(trade_time)) / 365.25::DOUBLE",
+}
+
+
+def totals(basis: str) -> str:
+    return f"""totals AS (SELECT code, candle, bars, exp(total / years) - 1 AS annual, dev * sqrt(years) AS risk
+  FROM (SELECT code, candle, count(*) AS bars, sum(log_returns) AS total, stddev_samp(log_returns) AS dev,
+               {YEARS[basis]} AS years FROM returned GROUP BY 1, 2))"""
+
+
+for _risk, _growth, _bars, _basis in (
+    ("risk_metrics", "growth_rates", HOUR_BARS, "rows"),
+    ("risk_by_calendar", "growth_by_calendar", MONTH_BARS, "calendar"),
+):
+    add(
+        _risk,
+        f"""SELECT code, candle, bars, {r('annual * 100', 'annualized_return')}, {r('risk * 100', 'annualized_risk')},
+            {r('(annual - 0.02) / risk', 'sharpe_ratio')} FROM totals""",
+        _bars, RETURNED, totals(_basis),
+    )
+    add(_growth, f"SELECT code, candle, {r('annual * 100', 'cagr')} FROM totals", _bars, RETURNED, totals(_basis))
 
 # --- strategies and trades ---------------------------------------------------------
 
@@ -344,9 +349,9 @@ def trade_ctes(source: str) -> tuple[str, ...]:
 
 def trade_rows(index: str, time: str, price: str) -> str:
     return f"""SELECT code, candle, start_index, {index} AS close_index, start_time, {time} AS end_time,
-  round(nullif(start_price, 0), 6) AS start_price, round(nullif(tp, 0), 6) AS "TP", round(nullif(sl, 0), 6) AS "SL",
-  round(nullif({price}, 0), 6) AS close_price, round(nullif({price} - start_price, 0), 6) AS total_return,
-  round(nullif(({price} - start_price) / start_price, 0), 6) AS total_return_rate,
+  round(nullif(start_price, 0), 4) AS start_price, round(nullif(tp, 0), 4) AS "TP", round(nullif(sl, 0), 4) AS "SL",
+  round(nullif({price}, 0), 4) AS close_price, round(nullif({price} - start_price, 0), 4) AS total_return,
+  round(nullif(({price} - start_price) / start_price, 0), 4) AS total_return_rate,
   CASE WHEN hit THEN 'close' ELSE 'open' END AS status FROM traded"""
 
 
@@ -354,7 +359,7 @@ CLOSED_ROWS = trade_rows("coalesce(ci, ei)", "coalesce(ct, et)", "coalesce(cp, e
 
 add(
     "signal_levels",
-    f"SELECT {ROW}, CAST(sig AS BIGINT) AS SIGNAL, round(tp, 6) AS TP, round(sl, 6) AS SL "
+    f"SELECT {ROW}, CAST(sig AS BIGINT) AS SIGNAL, round(tp, 4) AS TP, round(sl, 4) AS SL "
     f"FROM (SELECT *, {level(0.05, 'tp')}, {level(-0.05, 'sl')} FROM marked)",
     MONTH_BARS, MARKED,
 )
@@ -379,8 +384,8 @@ LAST = f"lasts AS ({LAST_SIGNAL.format(source='shifted', newest=NEWEST)})"
 add(
     "backtest_summaries",
     """SELECT code, candle, start_time, end_time, coalesce(trades, 0) AS trades, coalesce(closed, 0) AS closed,
-       coalesce(wins, 0) AS wins, round(coalesce(total_return, 0), 6) AS total_return,
-       round(coalesce(total_return_rate, 0), 6) AS total_return_rate, last_signal
+       coalesce(wins, 0) AS wins, round(coalesce(total_return, 0), 4) AS total_return,
+       round(coalesce(total_return_rate, 0), 4) AS total_return_rate, last_signal
        FROM spans LEFT JOIN summed USING (code, candle) LEFT JOIN lasts USING (code, candle)""",
     MONTH_BARS, MARKED, SHIFTED, *trade_ctes("shifted"), SUMMED, SPANS, LAST,
 )
@@ -388,7 +393,7 @@ DIGEST = """md5('{"candle":"' || candle || '","code":"' || code || '","end_time"
   || '","name":"turn","shift_signal":true,"start_time":"' || strftime(start_time, '%Y-%m-%d') || '"}') || '20240601123045'"""
 add(
     "backtest_reports",
-    f"""SELECT code, '0.05' AS profit_factor, round(coalesce(total_return, 0), 6) AS total_return,
+    f"""SELECT code, '0.05' AS profit_factor, round(coalesce(total_return, 0), 4) AS total_return,
         '/results/turn/' || code || '/trade_res_' || {DIGEST} || '.csv' AS trade_res,
         {DIGEST} || '2024-06-01 12:30:45 UTC' AS key_string, '{{"shift_signal":true}}' AS tester_params,
         TIMESTAMP '2024-06-01 12:30:45' AS completed_at, {uuid_of("(code || '/' || candle)")} AS task_event_id
@@ -406,7 +411,7 @@ add(
 add(
     "look_back",
     """SELECT l_quantity, days, CAST(CAST(first - to_days(CAST(days AS INTEGER)) AS DATE) AS VARCHAR) AS load_from
-       FROM (SELECT round(l_quantity, 6) AS l_quantity, min(l_shipdate) AS first,
+       FROM (SELECT round(l_quantity, 4) AS l_quantity, min(l_shipdate) AS first,
              CAST(CASE WHEN l_quantity <= 3 THEN 0 ELSE round_even((l_quantity - 3) * 2.5, 0) END AS BIGINT) AS days
              FROM lineitem GROUP BY l_quantity)""",
 )
@@ -414,7 +419,7 @@ add(
 add(
     "similar_windows",
     """SELECT s.code AS sample_code, w.candle, w.code, strftime(w.trade_time, '%Y-%m-%dT00:00:00Z') AS end_time,
-       round(list_dot_product(w.v, s.v) / sqrt(list_dot_product(w.v, w.v)) / sqrt(list_dot_product(s.v, s.v)), 6) AS similarity
+       round(list_dot_product(w.v, s.v) / sqrt(list_dot_product(w.v, w.v)) / sqrt(list_dot_product(s.v, s.v)), 4) AS similarity
        FROM windows w, (SELECT * FROM windows ORDER BY code, trade_time DESC LIMIT 1) s
        WHERE w.code <> s.code OR w.trade_time <> s.trade_time
        ORDER BY list_dot_product(w.v, s.v) / sqrt(list_dot_product(w.v, w.v)) / sqrt(list_dot_product(s.v, s.v)) DESC,
@@ -521,7 +526,7 @@ add(
 )
 _RESULTS = """results AS (SELECT o_orderkey AS id, o_orderpriority AS name, CAST(o_custkey AS VARCHAR) AS code,
   strftime(o_orderdate, '%Y-%m-%d') AS start_time, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS total_return FROM orders)"""
-_SHOWN = "SELECT id, name, code, start_time, round(total_return, 6) AS total_return FROM results"
+_SHOWN = "SELECT id, name, code, start_time, round(total_return, 4) AS total_return FROM results"
 add(
     "results_by_profit",
     f"{_SHOWN} WHERE name = '1-URGENT' ORDER BY results.total_return DESC NULLS FIRST, id LIMIT 20 OFFSET 40",
