@@ -23,9 +23,23 @@ def safe_ln(value: Column) -> Column:
     return F.when(number > 0, F.ln(number))
 
 
+def exact_round(value: Column, digits: int = 2) -> Column:
+    """Round the binary value itself, so 2.675, which is a little less, gives 2.67.
+
+    Near a midpoint the product with the scale may round onto it. Splitting the value
+    into two short parts keeps both products exact and tells the side.
+    """
+    doubled = F.lit(2.0 * 10**digits)
+    steps = F.rint(value * doubled)
+    short = value.cast("float").cast("double")
+    above = (short * doubled - steps) + (value - short) * doubled
+    halfway = F.when(above > 0, steps + 1).when(above < 0, steps - 1).otherwise(F.rint(steps / 2) * 2)
+    return F.when(steps % 2 == 0, steps).otherwise(halfway) / doubled
+
+
 def to_decimal(value: Column, precision: int = 2) -> Column:
-    """Double to decimal, rounded half to even on the scaled double first."""
-    return half_even(value, precision).cast(T.DecimalType(10 + precision, precision))
+    """Double to decimal, rounded to `precision` digits."""
+    return exact_round(value, precision).cast(T.DecimalType(10 + precision, precision))
 
 
 def to_decimal_exact(value: Column, scale: int = 18) -> Column:

@@ -10,6 +10,7 @@ below double precision. So one ordered pass gives the mean, whatever the span.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +38,9 @@ class Decay:
 
     @property
     def run_rows(self) -> int:
-        """Rows per run: a power of 4, so that similar spans share one sort order."""
+        """Rows per run: a power of 4, so that similar spans share runs. 0 without memory."""
+        if self.q <= 0:
+            return 0
         rows = 4
         while rows * 4 * -math.log(self.q) <= _SCALE_LIMIT:
             rows *= 4
@@ -49,13 +52,32 @@ class Decay:
         return 0 if self.q <= 0 else math.ceil(_WEIGHT_LIMIT / -math.log(self.q))
 
 
-def _run_column(df: DataFrame, frame: Frame, rows: int) -> tuple[DataFrame, str]:
+@dataclass(frozen=True)
+class Ewm:
+    """One mean: null until `min_periods` values were seen.
+
+    `adjust` divides by the sum of the weights; without it the first value starts the
+    recursion y = q * y + alpha * x.
+    """
+
+    out: str
+    value: Column
+    decay: Decay
+    min_periods: int
+    adjust: bool = True
+
+
+def run_name(rows: int) -> str:
+    return f"_run{rows}"
+
+
+def with_run(df: DataFrame, frame: Frame, rows: int) -> DataFrame:
+    """Add the run number of each row, and its position if that is missing."""
     if POSITION not in df.columns:
         df = df.withColumn(POSITION, F.row_number().over(frame.ordered()).cast("long") - 1)
-    run = f"_run{rows}"
-    if run not in df.columns:
-        df = df.withColumn(run, F.floor(F.col(POSITION) / rows))
-    return df, run
+    if run_name(rows) not in df.columns:
+        df = df.withColumn(run_name(rows), F.floor(F.col(POSITION) / rows))
+    return df
 
 
 def drop_run_columns(df: DataFrame, frame: Frame) -> DataFrame:
@@ -64,71 +86,64 @@ def drop_run_columns(df: DataFrame, frame: Frame) -> DataFrame:
     return df.drop(*helpers) if frame.split else df.drop(*helpers, POSITION)
 
 
-def add_ewm(
-    df: DataFrame,
-    frame: Frame,
-    values: dict[str, Column],
-    decay: Decay,
-    min_periods: int,
-    adjust: bool = True,
-) -> DataFrame:
-    """Add one exponentially weighted mean per entry of `values` (output name -> input).
+def add_ewms(df: DataFrame, frame: Frame, means: Sequence[Ewm]) -> DataFrame:
+    """Add the means. Those with runs of one length share their windows.
 
-    A result is null until `min_periods` values were seen. Leading nulls are
-    skipped. A null between values keeps its place in the weights (adjust=True on
-    whole series); where that is not supported the query fails rather than differ.
+    Leading nulls are skipped. A null between values keeps its place in the weights
+    (adjust on whole series); where that is not supported the query fails rather than
+    give another result.
     """
-    if decay.q <= 0:
-        return df.withColumns({out: value.cast("double") for out, value in values.items()})
-    rows, q = decay.run_rows, F.lit(decay.q)
-    df, run = _run_column(df, frame, rows)
+    for rows in sorted({m.decay.run_rows for m in means}, reverse=True):
+        group = [m for m in means if m.decay.run_rows == rows]
+        if rows == 0:
+            df = df.withColumns({m.out: m.value.cast("double") for m in group})
+        else:
+            df = _add_group(df, frame, group, rows)
+    return df
+
+
+def _add_group(df: DataFrame, frame: Frame, means: Sequence[Ewm], rows: int) -> DataFrame:
+    df = with_run(df, frame, rows)
+    run = run_name(rows)
     offset = F.col(POSITION) % rows
-    up, down = F.pow(q, -offset), F.pow(q, offset)
     in_run = (
         Window.partitionBy(*frame.parts, run)
         .orderBy(*frame.by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    so_far = frame.ordered(run).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = frame.ordered(run).rowsBetween(Window.unboundedPreceding, -1)
-
-    inputs, sums, carried, seen = {}, {}, {}, {}
-    for out, value in values.items():
-        inputs[f"_x_{out}"] = value.cast("double")
-    df = df.withColumns(inputs)
-    for out in values:
-        x = F.col(f"_x_{out}")
-        sums[f"_s_{out}"] = down * F.sum(F.coalesce(x, F.lit(0.0)) * up).over(in_run)
-        if adjust:
-            sums[f"_w_{out}"] = down * F.sum(F.when(x.isNotNull(), up).otherwise(0.0)).over(in_run)
-    df = df.withColumns(sums)
+    ordered = Window.partitionBy(*frame.parts).orderBy(run, *frame.by)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     run_end = offset == rows - 1
-    for out in values:
-        x = F.col(f"_x_{out}")
-        for part in ("s", "w") if adjust else ("s",):
-            end_value = F.when(run_end, F.col(f"_{part}_{out}"))
-            carried[f"_c{part}_{out}"] = F.last(end_value, ignorenulls=True).over(before)
-        seen[f"_n_{out}"] = F.count(x).over(so_far)
-        if not adjust:
-            seen[f"_first_{out}"] = F.first(x, ignorenulls=True).over(so_far)
-    df = df.withColumns({**carried, **seen})
 
-    means = {}
-    for out in values:
+    inputs, sums, carried, results = {}, {}, {}, {}
+    for m in means:
+        out, q = m.out, F.lit(m.decay.q)
+        up, down = F.pow(q, -offset), F.pow(q, offset)
         x, n = F.col(f"_x_{out}"), F.col(f"_n_{out}")
+        inputs[f"_x_{out}"] = m.value.cast("double")
+        sums[f"_s_{out}"] = down * F.sum(F.coalesce(x, F.lit(0.0)) * up).over(in_run)
+        if m.adjust:
+            sums[f"_w_{out}"] = down * F.sum(F.when(x.isNotNull(), up).otherwise(0.0)).over(in_run)
+        else:
+            carried[f"_first_{out}"] = F.first(x, ignorenulls=True).over(so_far)
+        carried[f"_n_{out}"] = F.count(x).over(so_far)
 
-        def scan(part: str, out: str = out) -> Column:
+        def scan(part: str, out: str = out, down: Column = down, q: Column = q) -> Column:
             return F.col(f"_{part}_{out}") + down * q * F.coalesce(F.col(f"_c{part}_{out}"), F.lit(0.0))
 
-        if adjust:
+        for part in ("s", "w") if m.adjust else ("s",):
+            end_value = F.when(run_end, F.col(f"_{part}_{out}"))
+            carried[f"_c{part}_{out}"] = F.last(end_value, ignorenulls=True).over(before)
+        gap = x.isNull() & (n > 0)
+        if m.adjust:
             mean = F.try_divide(scan("s"), scan("w"))
+            if not frame.split:
+                # the last mean holds through a gap while its weights still show
+                gap = gap & (scan("w") == 0)
         else:
-            mean = F.lit(decay.alpha) * scan("s") + F.pow(q, n) * F.col(f"_first_{out}")
-        gap = x.isNull() & (n > 0)
-        if adjust and not frame.split:
-            # the last mean holds through a gap while its weights still show
-            gap = gap & (scan("w") == 0)
-        mean = F.when(gap, F.raise_error(F.lit(f"null between values in input of {out}"))).otherwise(mean)
-        means[out] = F.when(n >= min_periods, mean)
-    helpers = [*inputs, *sums, *carried, *seen]
-    return df.withColumns(means).drop(*helpers)
+            mean = F.lit(m.decay.alpha) * scan("s") + F.pow(q, n) * F.col(f"_first_{out}")
+        failure = F.raise_error(F.lit(f"null between values in the input of {out}"))
+        results[out] = F.when(n >= m.min_periods, F.when(gap, failure).otherwise(mean))
+    helpers = [*inputs, *sums, *carried]
+    return df.withColumns(inputs).withColumns(sums).withColumns(carried).withColumns(results).drop(*helpers)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.numeric import half_even
-from barloom.operators.ewm import Decay, add_ewm, drop_run_columns
+from barloom.operators.ewm import Decay, Ewm, add_ewms, drop_run_columns, run_name, with_run
 from barloom.operators.patterns import ENGULFING_FACTOR
 from barloom.operators.series import BARS, Frame, SeriesSpec, over_rows
 
@@ -35,6 +35,11 @@ class Indicator(Protocol):
         """Earlier rows a value depends on."""
         ...
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        """Exponential means of bar columns it needs. They are computed together for
+        all indicators, before any `steps`."""
+        ...
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         """Add the output columns, with windows of the frame."""
         ...
@@ -46,9 +51,18 @@ def apply_indicators(df: DataFrame, indicators: Sequence[Indicator], spec: Serie
         return df
 
     def compute(rows: DataFrame, frame: Frame) -> DataFrame:
+        needed = [m for i in indicators for m in i.means(frame, rows.columns)]
+        runs = max((m.decay.run_rows for m in needed), default=0)
+        if runs:
+            rows = with_run(rows, frame, runs)
+            frame = replace(frame, lead=(run_name(runs),))
+            # the inputs of the means are built again, over the shared order
+            needed = [m for i in indicators for m in i.means(frame, rows.columns)]
+        rows = add_ewms(rows, frame, list({m.out: m for m in needed}.values()))
         for indicator in indicators:
             rows = indicator.steps(rows, frame)
-        return drop_run_columns(rows, frame)
+        helpers = [m.out for m in needed if m.out.startswith("_")]
+        return drop_run_columns(rows.drop(*helpers), frame)
 
     return over_rows(df, max(i.back for i in indicators), compute, spec)
 
@@ -57,6 +71,9 @@ class _Applied:
     def apply(self, df: DataFrame, spec: SeriesSpec = BARS) -> DataFrame:
         return apply_indicators(df, [self], spec)
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        return []
+
 
 def _full(value: Column, n: int, frame: Frame, result: Column) -> Column:
     """`result` where the last n rows hold n values."""
@@ -67,6 +84,10 @@ def _mean(value: Column, n: int, frame: Frame) -> Column:
     return _full(value, n, frame, F.avg(value).over(frame.last_rows(n)))
 
 
+def _span_mean(out: str, span: int) -> Ewm:
+    return Ewm(out, F.col("close"), Decay.of_span(span), span)
+
+
 @dataclass(frozen=True)
 class BollingerBands(_Applied):
     n: int = 20
@@ -121,8 +142,11 @@ class EMA(_Applied):
     def back(self) -> int:
         return Decay.of_span(self.n).reach + self.n
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        return [_span_mean(f"EMA_{self.n}", self.n)]
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
-        return add_ewm(df, frame, {f"EMA_{self.n}": F.col("close")}, Decay.of_span(self.n), self.n)
+        return df
 
 
 @dataclass(frozen=True)
@@ -156,8 +180,11 @@ class KeltnerChannels(_Applied):
     def back(self) -> int:
         return max(EMA(self.n_ema).back, ATR(self.n_atr).back)
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        return EMA(self.n_ema).means(frame, columns)
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
-        df = ATR(self.n_atr).steps(EMA(self.n_ema).steps(df, frame), frame)
+        df = ATR(self.n_atr).steps(df, frame)
         middle, reach = F.col(f"EMA_{self.n_ema}"), F.col(f"ATR_{self.n_atr}") * 2
         return df.withColumns({"KeUp": middle + reach, "KeLo": middle - reach})
 
@@ -174,19 +201,21 @@ class RSI(_Applied):
     def back(self) -> int:
         return Decay(1 / self.n).reach + self.n + 1
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        move = F.col("close") - F.lag("close", 1).over(frame.ordered())
+        parts = {f"_gain_{self.n}": move, f"_loss_{self.n}": -move}
+        return [
+            Ewm(out, F.when(part.isNotNull(), F.greatest(part, F.lit(0.0))), Decay(1 / self.n), self.n, adjust=False)
+            for out, part in parts.items()
+        ]
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
-        moved = df.withColumn("_move", F.col("close") - F.lag("close", 1).over(frame.ordered()))
-        move = F.col("_move")
-        gain = F.when(move.isNotNull(), F.greatest(move, F.lit(0.0)))
-        loss = F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))
-        smooth = add_ewm(moved, frame, {"_gain": gain, "_loss": loss}, Decay(1 / self.n), self.n, adjust=False)
-        up, down = F.col("_gain"), F.col("_loss")
+        up, down = F.col(f"_gain_{self.n}"), F.col(f"_loss_{self.n}")
         # no loss gives 100 and no movement at all gives null, without dividing by 0
-        index = (
-            F.when((down == 0) & (up > 0), F.lit(100.0))
-            .when(down != 0, F.lit(100.0) - F.lit(100.0) / (1 + F.try_divide(up, down)))
+        index = F.when((down == 0) & (up > 0), F.lit(100.0)).when(
+            down != 0, F.lit(100.0) - F.lit(100.0) / (1 + F.try_divide(up, down))
         )
-        return smooth.withColumn(f"RSI_{self.n}", half_even(index, 2)).drop("_move", "_gain", "_loss")
+        return df.withColumn(f"RSI_{self.n}", half_even(index, 2))
 
 
 @dataclass(frozen=True)
@@ -204,13 +233,14 @@ class MACD(_Applied):
     def back(self) -> int:
         return max(EMA(self.n_slow).back, EMA(self.n_fast).back) + EMA(self.n_signal).back
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        return [_span_mean(f"_ema_{n}", n) for n in (self.n_fast, self.n_slow)]
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
-        close = F.col("close")
-        df = add_ewm(df, frame, {"_fast": close}, Decay.of_span(self.n_fast), self.n_fast)
-        df = add_ewm(df, frame, {"_slow": close}, Decay.of_span(self.n_slow), self.n_slow)
-        df = df.withColumn("MACD", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+        df = df.withColumn("MACD", F.col(f"_ema_{self.n_fast}") - F.col(f"_ema_{self.n_slow}"))
         # the signal starts at the first bar that has a MACD value
-        df = add_ewm(df, frame, {"MACD_SIGNAL": F.col("MACD")}, Decay.of_span(self.n_signal), self.n_signal)
+        signal = Ewm("MACD_SIGNAL", F.col("MACD"), Decay.of_span(self.n_signal), self.n_signal)
+        df = add_ewms(df, frame, [signal])
         return df.withColumn("HIST", F.col("MACD") - F.col("MACD_SIGNAL"))
 
 
@@ -226,10 +256,11 @@ class BIAS(_Applied):
     def back(self) -> int:
         return EMA(self.n_ema).back
 
+    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+        return [] if f"EMA_{self.n_ema}" in columns else EMA(self.n_ema).means(frame, columns)
+
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         mean = f"EMA_{self.n_ema}"
-        if mean not in df.columns:
-            df = EMA(self.n_ema).steps(df, frame)
         gap = F.try_divide(F.col("close") - F.col(mean), F.col(mean)) * 100
         return df.withColumn(f"BIAS_{self.n_ema}", gap)
 

@@ -40,6 +40,8 @@ class SeriesSpec:
     slice_unit: str = "DAY"
     # None measures the data; True / False fix the choice
     split: bool | None = None
+    # rows of the longest series, once measured
+    longest: int | None = None
 
     def order(self, df: DataFrame) -> tuple[str, ...]:
         return (self.time, *(c for c in self.tie if c in df.columns))
@@ -55,9 +57,12 @@ class Frame:
     parts: tuple[str, ...]
     by: tuple[str, ...]
     split: bool = False
+    # a column that never falls along the series: sorting by it first changes nothing,
+    # but lets windows share the sort of others that need it
+    lead: tuple[str, ...] = ()
 
-    def ordered(self, *before: str) -> WindowSpec:
-        return Window.partitionBy(*self.parts).orderBy(*before, *self.by)
+    def ordered(self) -> WindowSpec:
+        return Window.partitionBy(*self.parts).orderBy(*self.lead, *self.by)
 
     def last_rows(self, n: int) -> WindowSpec:
         return self.ordered().rowsBetween(-(n - 1), Window.currentRow)
@@ -73,7 +78,18 @@ def decide(df: DataFrame, spec: SeriesSpec = BARS) -> SeriesSpec:
     """Fix `split` from the data, so that several steps share one measurement."""
     if spec.split is not None:
         return spec
-    return replace(spec, split=longest_series(df, spec) > spec.whole_rows)
+    return _measured(df, spec)
+
+
+def _measured(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
+    longest = longest_series(df, spec) if spec.longest is None else spec.longest
+    split = longest > spec.whole_rows if spec.split is None else spec.split
+    return replace(spec, longest=longest, split=split)
+
+
+def measure(df: DataFrame, spec: SeriesSpec = BARS) -> SeriesSpec:
+    """Like `decide`, and also know the length of the longest series."""
+    return _measured(df, spec)
 
 
 def match_all(left: dict[str, str] | list[str] | tuple[str, ...], other: DataFrame, df: DataFrame) -> Column:

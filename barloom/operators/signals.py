@@ -71,8 +71,8 @@ def prepare_bars(df: DataFrame, strategy: Strategy, spec: SeriesSpec = BARS) ->
 def mark_signals(df: DataFrame, rule: Rule, shift: bool = False, fill: bool = True, spec: SeriesSpec = BARS) -> DataFrame:
     """Set SIGNAL by the rule. With `shift` a signal acts on the next bar of its series.
 
-    Shifting also turns nulls of all numeric columns into 0; `fill=False` keeps them
-    and only fills SIGNAL.
+    Shifting also turns nulls of all numeric columns into 0, but for those that order
+    the series; `fill=False` keeps them and only fills SIGNAL.
     """
     marked = df.withColumn("SIGNAL", F.coalesce(rule(), F.lit(NO_ACTION)).cast("int"))
     if not shift:
@@ -82,7 +82,8 @@ def mark_signals(df: DataFrame, rule: Rule, shift: bool = False, fill: bool = Tr
         return rows.withColumn("SIGNAL", F.lag("SIGNAL", 1).over(frame.ordered()))
 
     shifted = over_rows(marked, 1, compute, spec)
-    numeric = [f.name for f in shifted.schema.fields if isinstance(f.dataType, T.NumericType)]
+    placing = {*spec.keys, *spec.order(df)}
+    numeric = [f.name for f in shifted.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in placing]
     return shifted.fillna(NO_ACTION, subset=numeric if fill else ["SIGNAL"])
 
 

@@ -6,6 +6,7 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from barloom.functions.times import rfc3339
 from barloom.operators.series import BARS, Frame, SeriesSpec, over_rows
@@ -36,7 +37,10 @@ def _dot(a: Column, b: Column) -> Column:
 def reduce_windows(windows: DataFrame, components: int = 12) -> DataFrame:
     """Add `values`: the window's shape in its first principal components."""
     shaped = windows.withColumn("_shape", array_to_vector(growth_shape(F.col("prices"))))
-    model = PCA(k=components, inputCol="_shape", outputCol="_reduced").fit(shaped)
+    # fitting reads the vectors several times; they spill to disk, and lost ones are rebuilt
+    vectors = shaped.select("_shape").persist(StorageLevel.MEMORY_AND_DISK)
+    model = PCA(k=components, inputCol="_shape", outputCol="_reduced").fit(vectors)
+    vectors.unpersist()
     return model.transform(shaped).withColumn("values", vector_to_array("_reduced")).drop("_shape", "_reduced")
 
 

@@ -10,12 +10,10 @@ so the work is entries x tree height, and skewed nodes are split by adaptive joi
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BARS, POSITION, SeriesSpec, join_back, longest_series, with_index
+from barloom.operators.series import BARS, POSITION, SeriesSpec, join_back, measure, with_index
 from barloom.operators.signals import BUY, SELL
 from barloom.schema import TRADE_SCHEMA
 
@@ -120,11 +118,9 @@ def find_trades(
     their series and keep the status "open". Zero values become null.
     """
     keys = spec.keys
-    longest = longest_series(df, spec)
-    if spec.split is None:
-        spec = replace(spec, split=longest > spec.whole_rows)
+    spec = measure(df, spec)
     bars = with_index(df, spec)
-    levels = _sell_levels(bars, keys, tree_height(longest, fan), fan)
+    levels = _sell_levels(bars, keys, tree_height(spec.longest, fan), fan)
     entries = bars.where(F.col("SIGNAL") == entry_signal).select(*keys, POSITION, "trade_time", "open", "TP", "SL")
     closed = _find_exits(entries, levels, keys, fan)
     hit = F.col("exit").isNotNull()
@@ -133,11 +129,14 @@ def find_trades(
         {"close_index": F.col("exit.at"), "end_time": F.col("exit.time"), "close_price": price}
     )
     if close_open_trades:
-        last_bar = F.struct(F.col(POSITION).alias("at"), F.col("trade_time").alias("time"), "close")
-        ends = bars.groupBy(*keys).agg(F.max_by(last_bar, F.col(POSITION)).alias("end"))
+        # the last bar needs no positions: its own is the row count less 1
+        last_bar = F.struct(F.col("trade_time").alias("time"), "close")
+        ends = df.groupBy(*keys).agg(
+            F.max_by(last_bar, F.struct(*spec.order(df))).alias("end"), (F.count(F.lit(1)) - 1).alias("end_at")
+        )
         trades = join_back(trades, ends, keys, "left").withColumns(
             {
-                "close_index": F.coalesce("close_index", "end.at"),
+                "close_index": F.coalesce("close_index", "end_at"),
                 "end_time": F.coalesce("end_time", "end.time"),
                 "close_price": F.coalesce("close_price", "end.close"),
             }

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BARS, SeriesSpec, decide, join_back
+from barloom.operators.series import BARS, SeriesSpec, decide, join_back, measure
 from barloom.operators.signals import ExitFactors, Strategy, add_levels, last_signals, mark_signals, prepare_bars
 from barloom.operators.trades import find_trades, trade_summary
 from barloom.plans.results import report_rows, strategy_json
@@ -22,25 +22,27 @@ class BackTest:
     shift_signal: bool = True
     spec: SeriesSpec = BARS
 
-    def marked(self, bars: DataFrame) -> DataFrame:
+    def marked(self, bars: DataFrame, spec: SeriesSpec | None = None) -> DataFrame:
         """Bars with indicators, SIGNAL, TP and SL."""
-        spec = decide(bars, self.spec)
+        spec = decide(bars, self.spec) if spec is None else spec
         prepared = prepare_bars(bars, self.strategy, spec)
         return add_levels(mark_signals(prepared, self.strategy.rule, self.shift_signal, spec=spec), self.exits.levels)
 
     def trades(self, bars: DataFrame) -> DataFrame:
-        return find_trades(self.marked(bars), spec=self.spec)
+        spec = measure(bars, self.spec)
+        return find_trades(self.marked(bars, spec), spec=spec)
 
     def summaries(self, bars: DataFrame) -> DataFrame:
         """One row per series, also for series without trades."""
-        marked = self.marked(bars)
-        keys = self.spec.keys
+        spec = measure(bars, self.spec)
+        marked = self.marked(bars, spec)
+        keys = spec.keys
         spans = marked.groupBy(*keys).agg(
             F.min("trade_time").alias("start_time"), F.max("trade_time").alias("end_time")
         )
         # one row per series on every side of these joins
-        summed = trade_summary(find_trades(marked, spec=self.spec), self.spec)
-        joined = join_back(join_back(spans, summed, keys, "left"), last_signals(marked, spec=self.spec), keys, "left")
+        summed = trade_summary(find_trades(marked, spec=spec), spec)
+        joined = join_back(join_back(spans, summed, keys, "left"), last_signals(marked, spec=spec), keys, "left")
         return joined.fillna(0, subset=["trades", "closed", "wins", "total_return", "total_return_rate"])
 
     def reports(self, bars: DataFrame, task_id: Column, base: str, at: Column) -> DataFrame:

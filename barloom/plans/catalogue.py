@@ -301,8 +301,9 @@ def log_returns(spark, folder):
 
 @query
 def growth(spark, folder):
-    bars = returns.add_log_returns(month_bars(spark, folder))
-    return returns.add_growth(bars).select("id", *SERIES, "log_returns", "cusum_rewards")
+    bars = month_bars(spark, folder)
+    spec = series.decide(bars)
+    return returns.add_growth(returns.add_log_returns(bars, spec=spec), spec=spec).select("id", *SERIES, "log_returns", "cusum_rewards")
 
 
 @query
@@ -356,8 +357,9 @@ def signal_levels(spark, folder):
 
 @query
 def shifted_signals(spark, folder):
-    averaged = MA(5).apply(month_bars(spark, folder))
-    marked = signals.mark_signals(averaged, turn_rule, shift=True)
+    bars = month_bars(spark, folder)
+    spec = series.decide(bars)
+    marked = signals.mark_signals(MA(5).apply(bars, spec), turn_rule, shift=True, spec=spec)
     return marked.select("id", *SERIES, "SIGNAL", "MA_5")
 
 

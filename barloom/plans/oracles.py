@@ -17,7 +17,7 @@ HOUR_BARS = """bars AS (
 
 
 def month_bars(name: str = "bars", where: str = "TRUE") -> str:
-    order = "{'d': l_shipdate, 'o': l_orderkey, 'n': l_linenumber, 'e': l_extendedprice, 'q': l_quantity}"
+    order = "{'d': l_shipdate, 'o': l_orderkey, 'n': l_linenumber}"
     price = "floor(l_extendedprice / l_quantity * 100.0::DOUBLE) / 100.0::DOUBLE"
     return f"""{name} AS (
   SELECT CAST(l_suppkey * 100000 + year(m) * 12 + month(m) AS BIGINT) AS id, CAST(l_suppkey AS VARCHAR) AS code,
@@ -97,10 +97,15 @@ add(
     f"SELECT {ROW}, {OHLC}, volume, volume_weight, {FEATURE_COLUMNS}, {TRADE_DATE}, {RANGE} FROM featured",
     HOUR_BARS, FEATURES,
 )
+# Rounds the binary value: at a midpoint of the scaled value the split product tells the side.
 add(
     "decimals",
     """SELECT event_id, CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(20,4)) AS VARCHAR) AS exact,
-       CAST(CAST(round_even(value / 8 * 100, 0) / 100 AS DECIMAL(12,2)) AS VARCHAR) AS rounded FROM events""",
+       CAST(CAST(CASE WHEN steps % 2 = 0 THEN steps WHEN above > 0 THEN steps + 1 WHEN above < 0 THEN steps - 1
+            ELSE round_even(steps / 2, 0) * 2 END / 200 AS DECIMAL(12,2)) AS VARCHAR) AS rounded
+       FROM (SELECT *, (short * 200 - steps) + (share - short) * 200 AS above
+             FROM (SELECT event_id, value, value / 8 AS share, round_even(value / 8 * 200, 0) AS steps,
+                          CAST(CAST(value / 8 AS FLOAT) AS DOUBLE) AS short FROM events))""",
 )
 add(
     "mixed_times",

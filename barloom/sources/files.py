@@ -49,15 +49,17 @@ def read_parquet_table(spark: SparkSession, path: str, schema: T.StructType | No
     return reader.option("mergeSchema", "true").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Overwrite the partitions the rows belong to.
+def write_partitioned(
+    df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = (), mode: str = "overwrite"
+) -> None:
+    """Overwrite the partitions the rows belong to, or append to them.
 
     Rows are rebalanced, not hash-partitioned: small partitions share a task and a
     huge one is split over several tasks and files.
     """
     balanced = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *order)
     (
-        balanced.write.mode("overwrite")
+        balanced.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partitions)

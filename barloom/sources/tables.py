@@ -107,9 +107,12 @@ class DatasetStore:
         if missing:
             raise ValueError(f"missing columns for grouping: {missing}")
         number = 0 if self.is_empty() else self._last_generation() + 1
-        write_partitioned(
-            df.withColumn("generation", F.lit(f"{number:09d}")), self.path, self.PARTITIONS, ("trade_time",)
-        )
+        self._append(df, number)
+
+    def _append(self, df: DataFrame, number: int) -> None:
+        """Write a generation. Its folders are new, so the commit only adds files."""
+        numbered = df.withColumn("generation", F.lit(f"{number:09d}"))
+        write_partitioned(numbered, self.path, self.PARTITIONS, ("trade_time",), mode="append")
 
     def is_empty(self) -> bool:
         return not has_files(self.spark, self.path)
@@ -156,10 +159,9 @@ class DatasetStore:
             {
                 "start_date": F.date_format("start_date", "yyyy-MM-dd"),
                 "end_date": F.date_format("end_date", "yyyy-MM-dd"),
-                "generation": F.lit(f"{number:09d}"),
             }
         )
-        write_partitioned(merged, self.path, self.PARTITIONS, ("trade_time",))
+        self._append(merged, number)
         for folder in superseded:
             remove(self.spark, folder)
 

@@ -5,7 +5,7 @@ from barsets import LAYOUTS, assert_same, flat, market, per_series, spark_bars,
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from barloom.operators.ewm import Decay, add_ewm, drop_run_columns
+from barloom.operators.ewm import Decay, Ewm, add_ewms, drop_run_columns
 from barloom.operators.indicators import (
     ATR, BIAS, EMA, MA, MACD, RSI, BollingerBands, Engulfing, KeltnerChannels, apply_indicators,
 )
@@ -60,13 +60,10 @@ def test_all_indicators_equal_pandas(spark, layout):
     assert not [c for c in got.columns if c.startswith("_")]
 
 
-@pytest.mark.parametrize("layout", LAYOUTS)
 @pytest.mark.parametrize("indicator", ALL, ids=lambda i: i.info.name)
-def test_single_indicator(spark, indicator, layout):
-    if layout == "hourly_slices":
-        pytest.skip("covered by the test of all indicators")
+def test_single_indicator(spark, indicator):
     pdf = walk("2330", 400, 9)
-    got = indicator.apply(spark_bars(spark, pdf), LAYOUTS[layout])
+    got = indicator.apply(spark_bars(spark, pdf))
     assert_same(got, per_series(pdf, plain), list(indicator.info.display_name))
 
 
@@ -100,7 +97,7 @@ def test_nulls_between_values(spark):
     bars = spark_bars(spark, pdf).withColumn("close", F.when(~F.isnan("close"), F.col("close")))
     got = over_rows(
         bars, 50,
-        lambda d, f: drop_run_columns(add_ewm(d, f, {"m": F.col("close")}, Decay.of_span(5), 5), f),
+        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5)]), f),
         LAYOUTS["whole"],
     )
     want = pdf.assign(m=pdf.close.ewm(span=5, min_periods=5).mean())
@@ -108,7 +105,7 @@ def test_nulls_between_values(spark):
     with pytest.raises(PySparkException, match="null between values"):
         over_rows(
             bars, 50,
-            lambda d, f: add_ewm(d, f, {"m": F.col("close")}, Decay.of_span(5), 5, adjust=False),
+            lambda d, f: add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5, adjust=False)]),
             LAYOUTS["whole"],
         ).collect()
 
@@ -122,6 +119,12 @@ def test_index_and_running_sum(spark, layout):
     assert_same(running_sum(bars, "close", "s", LAYOUTS[layout]), want, ["s"], atol=1e-7)
 
 
+def test_bias_uses_a_given_mean(spark):
+    pdf = walk("A", 40, 5).assign(EMA_20=50.0)
+    got = BIAS().apply(spark_bars(spark, pdf))
+    assert_same(got, pdf.assign(BIAS_20=(pdf.close - 50) / 50 * 100), ["BIAS_20", "EMA_20"])
+
+
 def test_indicator_info():
     assert MACD().info.display_name == ("MACD", "MACD_SIGNAL", "HIST")
     assert RSI(7).info.params == {"period": 7}
