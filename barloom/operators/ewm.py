@@ -80,10 +80,10 @@ def with_run(df: DataFrame, frame: Frame, rows: int) -> DataFrame:
     return df
 
 
-def drop_run_columns(df: DataFrame, frame: Frame) -> DataFrame:
-    """Remove the helper columns the means share within one frame."""
-    helpers = [c for c in df.columns if c.startswith("_run")]
-    return df.drop(*helpers) if frame.split else df.drop(*helpers, POSITION)
+def drop_run_columns(df: DataFrame, given: Sequence[str]) -> DataFrame:
+    """Remove the helper columns the means share, but for those in `given`."""
+    helpers = [c for c in df.columns if c.startswith("_run") or c == POSITION]
+    return df.drop(*(c for c in helpers if c not in given))
 
 
 def add_ewms(df: DataFrame, frame: Frame, means: Sequence[Ewm]) -> DataFrame:

@@ -51,6 +51,7 @@ def apply_indicators(df: DataFrame, indicators: Sequence[Indicator], spec: Serie
         return df
 
     def compute(rows: DataFrame, frame: Frame) -> DataFrame:
+        given = rows.columns
         needed = [m for i in indicators for m in i.means(frame, rows.columns)]
         runs = max((m.decay.run_rows for m in needed), default=0)
         if runs:
@@ -62,7 +63,7 @@ def apply_indicators(df: DataFrame, indicators: Sequence[Indicator], spec: Serie
         for indicator in indicators:
             rows = indicator.steps(rows, frame)
         helpers = [m.out for m in needed if m.out.startswith("_")]
-        return drop_run_columns(rows.drop(*helpers), frame)
+        return drop_run_columns(rows.drop(*helpers), given)
 
     return over_rows(df, max(i.back for i in indicators), compute, spec)
 

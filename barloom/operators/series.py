@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 POSITION, BLOCK, OWNED, SLICE = "_pos", "_blk", "_own", "_slice"
+SLICE_UNITS = ("DAY", "HOUR", "MINUTE", "SECOND")
 
 
 @dataclass(frozen=True)
@@ -36,8 +37,9 @@ class SeriesSpec:
     # a series up to this many rows is one window partition
     whole_rows: int = 1_000_000
     block_rows: int = 262_144
-    # positions are counted per slice of time, so a slice must fit in a task
-    slice_unit: str = "DAY"
+    # positions are counted per slice of time, so a slice must fit in a task; None takes
+    # the longest unit whose slices have at most `whole_rows` rows
+    slice_unit: str | None = None
     # None measures the data; True / False fix the choice
     split: bool | None = None
     # rows of the longest series, once measured
@@ -87,6 +89,23 @@ def _measured(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
     return replace(spec, longest=longest, split=split)
 
 
+def _sliced(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, SeriesSpec]:
+    """Add the time slice of each row, and fix its unit."""
+
+    def sliced(unit: str) -> DataFrame:
+        return df.withColumn(SLICE, F.date_trunc(unit, F.col(spec.time)))
+
+    if spec.slice_unit is None:
+        by_slice = replace(spec, keys=(*spec.keys, SLICE))
+        for unit in SLICE_UNITS[:-1]:
+            if longest_series(sliced(unit), by_slice) <= spec.whole_rows:
+                break
+        else:
+            unit = SLICE_UNITS[-1]
+        spec = replace(spec, slice_unit=unit)
+    return sliced(spec.slice_unit), spec
+
+
 def measure(df: DataFrame, spec: SeriesSpec = BARS) -> SeriesSpec:
     """Like `decide`, and also know the length of the longest series."""
     return _measured(df, spec)
@@ -114,19 +133,32 @@ def _slice_offsets(sliced: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) -> DataFrame:
-    """Add the 0-based position of each row in its series."""
+    """Add the 0-based position of each row in its series. A known position is kept."""
+    if name in df.columns:
+        return df
     spec = decide(df, spec)
     order = spec.order(df)
     if not spec.split:
         window = Window.partitionBy(*spec.keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
-    sliced = df.withColumn(SLICE, F.date_trunc(spec.slice_unit, F.col(spec.time)))
-    placed = join_back(sliced, _slice_offsets(sliced, spec), (*spec.keys, SLICE))
+    sliced, spec = _sliced(df, spec)
+    placed = _join_part(sliced, _slice_offsets(sliced, spec), (*spec.keys, SLICE), "_before")
     window = Window.partitionBy(*spec.keys, SLICE).orderBy(*order)
     position = F.col("_before") + F.row_number().over(window) - 1
     return placed.withColumn(name, position.cast("long")).drop(SLICE, "_before")
 
 
+def _join_part(df: DataFrame, parts: DataFrame, on: tuple[str, ...], value: str) -> DataFrame:
+    """Add the value of each row's slice or block.
+
+    Plain equality leaves rows where windows over `on` need them, so both share one
+    shuffle. A row without keys would get no value: that fails instead of being lost.
+    """
+    joined = df.join(parts, list(on), "left")
+    missing = F.raise_error(F.lit(f"null in {', '.join(on)}: these must be known in a long series"))
+    return joined.withColumn(value, F.coalesce(F.col(value), missing.cast(dict(parts.dtypes)[value])))
+
+
 def over_rows(
     df: DataFrame,
     back: int,
@@ -152,8 +184,9 @@ def over_rows(
         .withColumns({BLOCK: F.col("_copy.b"), OWNED: F.col("_copy.o")})
         .drop("_copy")
     )
-    result = compute(framed, Frame((*spec.keys, BLOCK), (POSITION,), split=True))
-    return result.where(F.col(OWNED)).drop(POSITION, BLOCK, OWNED)
+    result = compute(framed, Frame((*spec.keys, BLOCK), (POSITION,), split=True)).where(F.col(OWNED))
+    kept = result.drop(BLOCK, OWNED)
+    return kept if POSITION in df.columns else kept.drop(POSITION)
 
 
 def running_sum(df: DataFrame, value: str, out: str, spec: SeriesSpec = BARS) -> DataFrame:
@@ -179,6 +212,8 @@ def running_sum(df: DataFrame, value: str, out: str, spec: SeriesSpec = BARS) ->
         .agg(F.sum(value).alias("_block_sum"))
         .select(*spec.keys, BLOCK, F.coalesce(F.sum("_block_sum").over(earlier), F.lit(0.0)).alias("_carried"))
     )
-    joined = join_back(placed.withColumn(out, F.sum(value).over(in_block)), carried, (*spec.keys, BLOCK))
+    summed = placed.withColumn(out, F.sum(value).over(in_block))
+    joined = _join_part(summed, carried, (*spec.keys, BLOCK), "_carried")
     total = F.when(F.col(value).isNotNull(), F.col(out) + F.col("_carried"))
-    return joined.withColumn(out, total).drop(POSITION, BLOCK, "_carried")
+    kept = joined.withColumn(out, total).drop(BLOCK, "_carried")
+    return kept if POSITION in df.columns else kept.drop(POSITION)

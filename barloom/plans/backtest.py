@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BARS, SeriesSpec, decide, join_back, measure
+from barloom.operators.series import BARS, SeriesSpec, decide, join_back, measure, with_index
 from barloom.operators.signals import ExitFactors, Strategy, add_levels, last_signals, mark_signals, prepare_bars
 from barloom.operators.trades import find_trades, trade_summary
 from barloom.plans.results import report_rows, strategy_json
@@ -22,20 +22,29 @@ class BackTest:
     shift_signal: bool = True
     spec: SeriesSpec = BARS
 
-    def marked(self, bars: DataFrame, spec: SeriesSpec | None = None) -> DataFrame:
-        """Bars with indicators, SIGNAL, TP and SL."""
+    def marked(self, bars: DataFrame, spec: SeriesSpec | None = None, store: str | None = None) -> DataFrame:
+        """Bars with indicators, SIGNAL, TP and SL.
+
+        Trades read the marked bars several times. With `store` they are written there
+        once and read back; without it they are computed again each time.
+        """
         spec = decide(bars, self.spec) if spec is None else spec
-        prepared = prepare_bars(bars, self.strategy, spec)
-        return add_levels(mark_signals(prepared, self.strategy.rule, self.shift_signal, spec=spec), self.exits.levels)
+        prepared = prepare_bars(with_index(bars, spec), self.strategy, spec)
+        shifted = mark_signals(prepared, self.strategy.rule, self.shift_signal, spec=spec)
+        levelled = add_levels(shifted, self.exits.levels)
+        if store is None:
+            return levelled
+        levelled.write.mode("overwrite").parquet(store)
+        return bars.sparkSession.read.schema(levelled.schema).parquet(store)
 
-    def trades(self, bars: DataFrame) -> DataFrame:
+    def trades(self, bars: DataFrame, store: str | None = None) -> DataFrame:
         spec = measure(bars, self.spec)
-        return find_trades(self.marked(bars, spec), spec=spec)
+        return find_trades(self.marked(bars, spec, store), spec=spec)
 
-    def summaries(self, bars: DataFrame) -> DataFrame:
+    def summaries(self, bars: DataFrame, store: str | None = None) -> DataFrame:
         """One row per series, also for series without trades."""
         spec = measure(bars, self.spec)
-        marked = self.marked(bars, spec)
+        marked = self.marked(bars, spec, store)
         keys = spec.keys
         spans = marked.groupBy(*keys).agg(
             F.min("trade_time").alias("start_time"), F.max("trade_time").alias("end_time")
@@ -45,7 +54,9 @@ class BackTest:
         joined = join_back(join_back(spans, summed, keys, "left"), last_signals(marked, spec=spec), keys, "left")
         return joined.fillna(0, subset=["trades", "closed", "wins", "total_return", "total_return_rate"])
 
-    def reports(self, bars: DataFrame, task_id: Column, base: str, at: Column) -> DataFrame:
+    def reports(
+        self, bars: DataFrame, task_id: Column, base: str, at: Column, store: str | None = None
+    ) -> DataFrame:
         """Rows of the results table, one per series, with filled summaries."""
         day = "yyyy-MM-dd"
         model = {
@@ -58,7 +69,7 @@ class BackTest:
             F.lit(self.exits.profit_factor).alias("profit_factor"), F.lit(self.exits.loss_factor).alias("loss_factor")
         )
         tester = {"shift_signal": F.lit(self.shift_signal)}
-        rows = self.summaries(bars).select(
+        rows = self.summaries(bars, store).select(
             task_id.alias("task_id"),
             strategy_json(F.lit(self.strategy.name), model, factors).alias("strategy_parms"),
             F.to_json(F.struct(*(value.alias(name) for name, value in tester.items()))).alias("tester_params"),

@@ -387,12 +387,13 @@ def backtest_trades(spark, folder):
 
 @query
 def backtest_summaries(spark, folder):
-    return TURN_TEST.summaries(month_bars(spark, folder))
+    return TURN_TEST.summaries(month_bars(spark, folder), scratch_path(spark, "marked"))
 
 
 def _reports(spark, folder):
     task_id = _uuid(F.concat_ws("/", "code", "candle"))
-    return TURN_TEST.reports(month_bars(spark, folder), task_id, "/results", _fixed_time())
+    store = scratch_path(spark, "marked")
+    return TURN_TEST.reports(month_bars(spark, folder), task_id, "/results", _fixed_time(), store)
 
 
 @query

@@ -187,7 +187,8 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
-    def _touched(self, changes: DataFrame) -> DataFrame:
+    def touched(self, changes: DataFrame) -> DataFrame:
+        """Stored rows of the buckets that hold the keys of `changes`."""
         if self.is_empty():
             return self.read()
         placed = T.StructType([*self.schema.fields, T.StructField("key_bucket", T.StringType())])
@@ -199,15 +200,15 @@ class KeyedTable:
         overwrite_staged(self.spark, self._placed(ordered), self.path, ["key_bucket"])
 
     def upsert(self, batch: DataFrame, replaced: Sequence[str], newest_by: Sequence[str] = ("updated_at",)) -> None:
-        self._replace(upsert(self._touched(batch), batch, self.key, replaced, newest_by))
+        self._replace(upsert(self.touched(batch), batch, self.key, replaced, newest_by))
 
     def keep_newest(self, batch: DataFrame, order: Sequence[str] = ("updated_at",)) -> None:
         """Add rows; per key only the newest of stored and new rows is kept."""
-        union = self._touched(batch).unionByName(batch.select(*self.schema.names))
+        union = self.touched(batch).unionByName(batch.select(*self.schema.names))
         self._replace(newest_per_key(union, [self.key], list(order)))
 
     def update(self, changes: DataFrame, fields: Sequence[str]) -> None:
         """Set non-null fields of known keys. No fields or no rows: nothing happens."""
         if self.is_empty() or not set(fields) & set(changes.columns) or changes.isEmpty():
             return
-        self._replace(update_known(self._touched(changes), changes, self.key, fields))
+        self._replace(update_known(self.touched(changes), changes, self.key, fields))

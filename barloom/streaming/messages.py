@@ -73,7 +73,8 @@ class ClaimJob:
         if not exists(spark, f"{path}/_SUCCESS"):
             # repeated requests are dropped before anything is joined
             requests = batch.where("task_id is not null").select("task_id").distinct()
-            claim_first(self.tasks.read(), requests).write.mode("overwrite").parquet(path)
+            stored = self.tasks.touched(requests.withColumnRenamed("task_id", self.tasks.key))
+            claim_first(stored, requests).write.mode("overwrite").parquet(path)
         claimed = spark.read.schema(self.tasks.schema).parquet(path)
         self.tasks.update(claimed, TASK_UPDATABLE)
 

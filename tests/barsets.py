@@ -8,7 +8,7 @@ from barloom.operators.series import SeriesSpec
 # The three layouts every series operator must agree on.
 LAYOUTS = {
     "whole": SeriesSpec(split=False),
-    "blocks": SeriesSpec(split=True, block_rows=16),
+    "blocks": SeriesSpec(split=True, block_rows=16, slice_unit="DAY"),
     "hourly_slices": SeriesSpec(split=True, block_rows=64, slice_unit="HOUR"),
 }
 

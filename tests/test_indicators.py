@@ -9,7 +9,7 @@ from barloom.operators.ewm import Decay, Ewm, add_ewms, drop_run_columns
 from barloom.operators.indicators import (
     ATR, BIAS, EMA, MA, MACD, RSI, BollingerBands, Engulfing, KeltnerChannels, apply_indicators,
 )
-from barloom.operators.series import over_rows, running_sum, with_index
+from barloom.operators.series import SeriesSpec, decide, over_rows, running_sum, with_index
 
 ALL = [BollingerBands(), ATR(), KeltnerChannels(), RSI(), MACD(), EMA(), MA(), BIAS(), Engulfing()]
 
@@ -97,7 +97,7 @@ def test_nulls_between_values(spark):
     bars = spark_bars(spark, pdf).withColumn("close", F.when(~F.isnan("close"), F.col("close")))
     got = over_rows(
         bars, 50,
-        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5)]), f),
+        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5)]), d.columns),
         LAYOUTS["whole"],
     )
     want = pdf.assign(m=pdf.close.ewm(span=5, min_periods=5).mean())
@@ -125,6 +125,27 @@ def test_bias_uses_a_given_mean(spark):
     assert_same(got, pdf.assign(BIAS_20=(pdf.close - 50) / 50 * 100), ["BIAS_20", "EMA_20"])
 
 
+def test_null_keys_of_a_long_series_are_not_lost(spark):
+    pdf = pd.concat([walk("A", 20, 1), walk("A", 5, 2).assign(code=None)])
+    with pytest.raises(PySparkException, match="must be known"):
+        MA(3).apply(spark_bars(spark, pdf), LAYOUTS["blocks"]).collect()
+    assert MA(3).apply(spark_bars(spark, pdf), LAYOUTS["whole"]).count() == 25
+
+
+def test_measured_layouts(spark):
+    """Sizes decide between whole series and blocks, and pick a slice that fits."""
+    pdf = pd.concat([walk("HOT", 900, 1, step="7min"), walk("A", 50, 2)])
+    bars = spark_bars(spark, pdf)
+    assert not decide(bars, SeriesSpec(whole_rows=900)).split
+    tight = SeriesSpec(whole_rows=100, block_rows=64)
+    assert decide(bars, tight).split
+    got = apply_indicators(bars, [MA(5), EMA(3)], tight)
+    want = per_series(pdf, lambda g: g.assign(MA_5=g.close.rolling(5).mean(), EMA_3=ema(g.close, 3)))
+    assert_same(got, want, ["MA_5", "EMA_3"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc(HOUR" in plan
+
+
 def test_indicator_info():
     assert MACD().info.display_name == ("MACD", "MACD_SIGNAL", "HIST")
     assert RSI(7).info.params == {"period": 7}
