@@ -183,6 +183,8 @@ def over_rows(
         .withColumn("_copy", F.explode(copies))
         .withColumns({BLOCK: F.col("_copy.b"), OWNED: F.col("_copy.o")})
         .drop("_copy")
+        # one shuffle by block serves all windows, also those with finer partitions
+        .repartition(*spec.keys, BLOCK)
     )
     result = compute(framed, Frame((*spec.keys, BLOCK), (POSITION,), split=True)).where(F.col(OWNED))
     kept = result.drop(BLOCK, OWNED)
