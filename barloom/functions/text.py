@@ -15,6 +15,12 @@ DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 EMPTY_TEXTS = ("", "nan", "None")
 
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 DATASET_PATTERN = r"([^/]+)_([^/_]+)_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})\.parquet"
 
 
@@ -32,14 +38,18 @@ def parse_codes(codes: str | Sequence[object] | None) -> list[str]:
 
 def parse_codes_column(codes: Column) -> Column:
     """Column form of `parse_codes`: an array of trimmed, non-empty codes."""
-    text = F.trim(codes)
+    text = strip(codes)
     listed = F.from_json(text, "array<string>")
     items = F.when(text.startswith("["), listed).otherwise(F.array(text))
-    return F.filter(F.transform(items, lambda c: F.trim(c)), lambda c: F.length(c) > 0)
+    return F.filter(F.transform(items, strip), lambda c: F.length(c) > 0)
+
+
+def strip(value: Column) -> Column:
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def clean_text(value: Column) -> Column:
-    trimmed = F.trim(value)
+    trimmed = strip(value)
     return F.when(~trimmed.isin(*EMPTY_TEXTS), trimmed)
 
 
@@ -115,10 +125,16 @@ def merge_maps(old: Column, new: Column) -> Column:
 
 def remap(value: Column, mapping: dict[str, str]) -> Column:
     """Replace enumerated values; values without an entry become null."""
-    result = None
-    for old, new in mapping.items():
-        result = F.when(value == old, F.lit(new)) if result is None else result.when(value == old, F.lit(new))
-    return result if result is not None else F.lit(None).cast("string")
+    entries = [F.lit(item) for pair in mapping.items() for item in pair]
+    return F.create_map(*entries)[value]
+
+
+def uuid_from(value: Column) -> Column:
+    """A UUID text that is always the same for a value."""
+    digest = F.md5(value.cast("string"))
+    # Start and length of the five parts of a UUID
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *(F.substring(digest, start, length) for start, length in cuts))
 
 
 def merge_json(old: Column, new: Column) -> Column:

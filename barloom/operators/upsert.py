@@ -22,6 +22,8 @@ RESULT_REPLACED = (
     "updated_at",
     "task_event_id",
 )
+# What seeding replaces in a task that exists.
+SEED_REPLACED = ("status", "updated_at", "event_name", "source_meta_data", "saver_params", "triggered_by")
 # What a task update may change.
 TASK_UPDATABLE = ("event_stage", "status", "updated_at", "error_message")
 
@@ -89,6 +91,11 @@ def update_known(
     )
 
 
+def lookup(table: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """The rows with the given ids. One id is a list of one row."""
+    return table.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
+
+
 def merge_metadata(old: DataFrame, new: DataFrame, key: str = "key") -> DataFrame:
     """Key/value tables: entries of `new` win."""
     return merge_generations([old, new], [key], tie=())

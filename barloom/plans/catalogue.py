@@ -15,7 +15,7 @@ from barloom.operators import (
 from barloom.operators.indicators import (
     ATR, BIAS, EMA, MA, MACD, RSI, BollingerBands, Engulfing, Indicator, KeltnerChannels, apply_indicators,
 )
-from barloom.plans import preprocess, results
+from barloom.plans import preprocess, results, tasks
 from barloom.plans.backtest import BackTest
 from barloom.plans.testbars import event_bars, month_bars, table
 from barloom.schema import BAR_SCHEMA, FEATURE_SCHEMA, RUN_LOG_SCHEMA, TRADE_SCHEMA
@@ -68,11 +68,7 @@ def _fixed_time() -> Column:
     return F.lit(FIXED_TIME).cast("timestamp")
 
 
-def _uuid(value: Column) -> Column:
-    """UUID text made from a value, for test task ids."""
-    digest = F.md5(value.cast("string"))
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *(F.substring(digest, start, length) for start, length in cuts))
+_uuid = text.uuid_from
 
 
 # --- loading -----------------------------------------------------------------
@@ -181,8 +177,10 @@ def drop_incomplete(spark, folder):
 
 @query
 def task_lookup(spark, folder):
-    tasks = table(spark, folder, "orders").select(_uuid(F.col("o_orderkey")).alias("id"), "o_orderkey", "o_orderstatus")
-    return tasks.where(F.col("id") == _uuid(F.lit(7)))
+    """The tasks of all orders with a returned item, by id."""
+    known = table(spark, folder, "orders").select(_uuid(F.col("o_orderkey")).alias("id"), "o_orderkey", "o_orderstatus")
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select(_uuid(F.col("l_orderkey")))
+    return upsert.lookup(known, returned)
 
 
 # --- checks ----------------------------------------------------------------------
@@ -612,9 +610,12 @@ def merged_json(spark, folder):
 
 @query
 def seed_tasks(spark, folder):
-    batches = numbering.batch_codes(table(spark, folder, "supplier"), 55, "s_suppkey")
-    meta = F.to_json(F.struct(F.col("code_list").alias("code"), F.lit("d1").alias("candle")))
-    return batches.select("batch", "codes", "code_list", F.lit("pending").alias("status"), meta.alias("source_meta_data"))
+    """Seeding over tasks that exist for the first batch size."""
+    suppliers = table(spark, folder, "supplier")
+    first = F.lit("2024-01-01").cast("timestamp")
+    stored = tasks.seed_tasks(suppliers, 55, first, code="s_suppkey")
+    again = tasks.seed_tasks(suppliers, 20, _fixed_time(), code="s_suppkey")
+    return upsert.upsert(stored, again, "id", upsert.SEED_REPLACED).drop("tpsl_params")
 
 
 @query
@@ -821,13 +822,13 @@ def stream_messages(spark, folder):
 @query
 def stream_claims(spark, folder):
     """Orders request their customer's task; pending tasks are claimed once."""
-    tasks = table(spark, folder, "customer").select(
+    known = table(spark, folder, "customer").select(
         _uuid(F.col("c_custkey")).alias("id"),
         F.when(F.col("c_acctbal") < 0, "failed").otherwise("pending").alias("status"),
         F.lit("2020-01-01").cast("timestamp").alias("updated_at"),
     )
-    stored = KeyedTable(spark, scratch_path(spark, "tasks"), "id", tasks.schema, buckets=4)
-    stored.upsert(tasks, ["status"])
+    stored = KeyedTable(spark, scratch_path(spark, "tasks"), "id", known.schema, buckets=4)
+    stored.upsert(known, ["status"])
     requests = _table_stream(spark, folder, "orders").select(_uuid(F.col("o_custkey")).alias("task_id"))
     claims = scratch_path(spark, "claims")
     messages.run_available(requests, messages.ClaimJob(stored, claims), f"{claims}-checkpoint")

@@ -139,7 +139,11 @@ def uuid_of(value: str) -> str:
     return " || '-' || ".join(f"substr({digest}, {start}, {length})" for start, length in cuts)
 
 
-add("task_lookup", f"SELECT {uuid_of('o_orderkey')} AS id, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey = 7")
+add(
+    "task_lookup",
+    f"""SELECT {uuid_of('o_orderkey')} AS id, o_orderkey, o_orderstatus FROM orders
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+)
 
 # --- checks ------------------------------------------------------------------------
 
@@ -492,12 +496,25 @@ add(
     """SELECT event_id, CASE WHEN event_type = 'click' THEN user_id ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
        event_type AS t, 'k' AS first_key FROM events""",
 )
+
+
+def seeded(name: str, size: int) -> str:
+    return f"""{name} AS (SELECT batch, '{{"code":"[' || string_agg(code, ', ' ORDER BY code)
+    || ']","candle":"d1","start_time":"2025-01-01","end_time":"2025-12-31"}}' AS meta
+  FROM (SELECT code, (row_number() OVER (ORDER BY code) - 1) // {size} AS batch
+        FROM (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS code FROM supplier)) GROUP BY batch)"""
+
+
 add(
     "seed_tasks",
-    """SELECT batch, count(*) AS codes, '[' || string_agg(code, ', ' ORDER BY code) || ']' AS code_list, 'pending' AS status,
-       '{"code":"[' || string_agg(code, ', ' ORDER BY code) || ']","candle":"d1"}' AS source_meta_data
-       FROM (SELECT code, (row_number() OVER (ORDER BY code) - 1) // 55 AS batch
-             FROM (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS code FROM supplier)) GROUP BY batch""",
+    f"""SELECT {uuid_of("('seed-' || batch)")} AS id, 'pending' AS status, 'local_test' AS tester_name, '{{}}' AS tester_params,
+        'sql_loader' AS data_provider_name, coalesce(again.meta, stored.meta) AS source_meta_data, '' AS tpsl_name,
+        '{{}}' AS saver_params, 'manaual' AS trigger_type, 'test' AS triggered_by, 'preprocessing' AS event_name,
+        'init' AS event_stage, FALSE AS used_process_pool, FALSE AS is_notify,
+        CASE WHEN stored.meta IS NULL THEN TIMESTAMP '2024-06-01 12:30:45' ELSE TIMESTAMP '2024-01-01' END AS created_at,
+        CASE WHEN again.meta IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-06-01 12:30:45' END AS updated_at
+        FROM stored FULL JOIN again USING (batch)""",
+    seeded("stored", 55), seeded("again", 20),
 )
 add(
     "stamped_rows",

@@ -31,11 +31,15 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds any part file."""
-    if not exists(spark, path):
+    """Whether a table folder holds any part file; stops at the first one."""
+    system, location = _file_system(spark, path)
+    if not system.exists(location):
         return False
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return not listing.option("pathGlobFilter", "*.parquet").load(path).select("path").isEmpty()
+    found = system.listFiles(location, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
 
 
 def read_parquet_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -104,7 +104,7 @@ def test_clean_rows(spark):
     schema = "id long, code string, open double, high decimal(10,2), low double, close double, at timestamp, flag boolean"
     at = datetime(2024, 1, 1, 12)
     rows = [
-        (1, "  x ", 1.0, Decimal("2.50"), 0.5, 1.5, at, None),
+        (1, " \t\u3000x\n", 1.0, Decimal("2.50"), 0.5, 1.5, at, None),
         (2, " None", 1.0, Decimal("2.00"), 0.5, 1.5, at, True),
         (3, "y", float("nan"), Decimal("2.00"), 0.5, 1.5, at, True),
         (4, "y", 1.0, None, 0.5, 1.5, at, True),
