@@ -10,7 +10,7 @@ below double precision. So one ordered pass gives the mean, whatever the span.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,12 +56,13 @@ class Decay:
 class Ewm:
     """One mean: null until `min_periods` values were seen.
 
+    `value` builds the input from the frame, so that its windows share the frame's order.
     `adjust` divides by the sum of the weights; without it the first value starts the
     recursion y = q * y + alpha * x.
     """
 
     out: str
-    value: Column
+    value: Callable[[Frame], Column]
     decay: Decay
     min_periods: int
     adjust: bool = True
@@ -96,7 +97,7 @@ def add_ewms(df: DataFrame, frame: Frame, means: Sequence[Ewm]) -> DataFrame:
     for rows in sorted({m.decay.run_rows for m in means}, reverse=True):
         group = [m for m in means if m.decay.run_rows == rows]
         if rows == 0:
-            df = df.withColumns({m.out: m.value.cast("double") for m in group})
+            df = df.withColumns({m.out: m.value(frame).cast("double") for m in group})
         else:
             df = _add_group(df, frame, group, rows)
     return df
@@ -121,7 +122,7 @@ def _add_group(df: DataFrame, frame: Frame, means: Sequence[Ewm], rows: int) ->
         out, q = m.out, F.lit(m.decay.q)
         up, down = F.pow(q, -offset), F.pow(q, offset)
         x, n = F.col(f"_x_{out}"), F.col(f"_n_{out}")
-        inputs[f"_x_{out}"] = m.value.cast("double")
+        inputs[f"_x_{out}"] = m.value(frame).cast("double")
         sums[f"_s_{out}"] = down * F.sum(F.coalesce(x, F.lit(0.0)) * up).over(in_run)
         if m.adjust:
             sums[f"_w_{out}"] = down * F.sum(F.when(x.isNotNull(), up).otherwise(0.0)).over(in_run)

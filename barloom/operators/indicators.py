@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -35,9 +36,9 @@ class Indicator(Protocol):
         """Earlier rows a value depends on."""
         ...
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
         """Exponential means of bar columns it needs. They are computed together for
-        all indicators, before any `steps`."""
+        all indicators, before any `steps`. `columns` are those already there."""
         ...
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
@@ -52,17 +53,15 @@ def apply_indicators(df: DataFrame, indicators: Sequence[Indicator], spec: Serie
 
     def compute(rows: DataFrame, frame: Frame) -> DataFrame:
         given = rows.columns
-        needed = [m for i in indicators for m in i.means(frame, rows.columns)]
-        runs = max((m.decay.run_rows for m in needed), default=0)
+        needed = {m.out: m for i in indicators for m in i.means(given)}
+        runs = max((m.decay.run_rows for m in needed.values()), default=0)
         if runs:
             rows = with_run(rows, frame, runs)
             frame = replace(frame, lead=(run_name(runs),))
-            # the inputs of the means are built again, over the shared order
-            needed = [m for i in indicators for m in i.means(frame, rows.columns)]
-        rows = add_ewms(rows, frame, list({m.out: m for m in needed}.values()))
+        rows = add_ewms(rows, frame, list(needed.values()))
         for indicator in indicators:
             rows = indicator.steps(rows, frame)
-        helpers = [m.out for m in needed if m.out.startswith("_")]
+        helpers = [out for out in needed if out.startswith("_")]
         return drop_run_columns(rows.drop(*helpers), given)
 
     return over_rows(df, max(i.back for i in indicators), compute, spec)
@@ -72,7 +71,7 @@ class _Applied:
     def apply(self, df: DataFrame, spec: SeriesSpec = BARS) -> DataFrame:
         return apply_indicators(df, [self], spec)
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
         return []
 
 
@@ -86,7 +85,7 @@ def _mean(value: Column, n: int, frame: Frame) -> Column:
 
 
 def _span_mean(out: str, span: int) -> Ewm:
-    return Ewm(out, F.col("close"), Decay.of_span(span), span)
+    return Ewm(out, lambda frame: F.col("close"), Decay.of_span(span), span)
 
 
 @dataclass(frozen=True)
@@ -143,7 +142,7 @@ class EMA(_Applied):
     def back(self) -> int:
         return Decay.of_span(self.n).reach + self.n
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
         return [_span_mean(f"EMA_{self.n}", self.n)]
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
@@ -181,8 +180,8 @@ class KeltnerChannels(_Applied):
     def back(self) -> int:
         return max(EMA(self.n_ema).back, ATR(self.n_atr).back)
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
-        return EMA(self.n_ema).means(frame, columns)
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
+        return EMA(self.n_ema).means(columns)
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         df = ATR(self.n_atr).steps(df, frame)
@@ -202,13 +201,14 @@ class RSI(_Applied):
     def back(self) -> int:
         return Decay(1 / self.n).reach + self.n + 1
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
-        move = F.col("close") - F.lag("close", 1).over(frame.ordered())
-        parts = {f"_gain_{self.n}": move, f"_loss_{self.n}": -move}
-        return [
-            Ewm(out, F.when(part.isNotNull(), F.greatest(part, F.lit(0.0))), Decay(1 / self.n), self.n, adjust=False)
-            for out, part in parts.items()
-        ]
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
+        def part(sign: int, frame: Frame) -> Column:
+            move = (F.col("close") - F.lag("close", 1).over(frame.ordered())) * sign
+            return F.when(move.isNotNull(), F.greatest(move, F.lit(0.0)))
+
+        signs = {f"_gain_{self.n}": 1, f"_loss_{self.n}": -1}
+        decay = Decay(1 / self.n)
+        return [Ewm(out, partial(part, sign), decay, self.n, adjust=False) for out, sign in signs.items()]
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         up, down = F.col(f"_gain_{self.n}"), F.col(f"_loss_{self.n}")
@@ -234,13 +234,13 @@ class MACD(_Applied):
     def back(self) -> int:
         return max(EMA(self.n_slow).back, EMA(self.n_fast).back) + EMA(self.n_signal).back
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
         return [_span_mean(f"_ema_{n}", n) for n in (self.n_fast, self.n_slow)]
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         df = df.withColumn("MACD", F.col(f"_ema_{self.n_fast}") - F.col(f"_ema_{self.n_slow}"))
         # the signal starts at the first bar that has a MACD value
-        signal = Ewm("MACD_SIGNAL", F.col("MACD"), Decay.of_span(self.n_signal), self.n_signal)
+        signal = Ewm("MACD_SIGNAL", lambda frame: F.col("MACD"), Decay.of_span(self.n_signal), self.n_signal)
         df = add_ewms(df, frame, [signal])
         return df.withColumn("HIST", F.col("MACD") - F.col("MACD_SIGNAL"))
 
@@ -257,8 +257,8 @@ class BIAS(_Applied):
     def back(self) -> int:
         return EMA(self.n_ema).back
 
-    def means(self, frame: Frame, columns: Sequence[str]) -> list[Ewm]:
-        return [] if f"EMA_{self.n_ema}" in columns else EMA(self.n_ema).means(frame, columns)
+    def means(self, columns: Sequence[str]) -> list[Ewm]:
+        return [] if f"EMA_{self.n_ema}" in columns else EMA(self.n_ema).means(columns)
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         mean = f"EMA_{self.n_ema}"

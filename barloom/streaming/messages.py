@@ -61,7 +61,8 @@ class ClaimJob:
     """Turns requested pending tasks to running, each once, over all batches.
 
     The claims of a batch are written before the tasks change, so a repeated batch
-    finds them and only repeats the change.
+    finds them and only repeats the change. Batches are numbered by the stream's
+    checkpoint: a stream with a new checkpoint needs a new claims path.
     """
 
     tasks: KeyedTable

@@ -97,7 +97,7 @@ def test_nulls_between_values(spark):
     bars = spark_bars(spark, pdf).withColumn("close", F.when(~F.isnan("close"), F.col("close")))
     got = over_rows(
         bars, 50,
-        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5)]), d.columns),
+        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", lambda frame: F.col("close"), Decay.of_span(5), 5)]), d.columns),
         LAYOUTS["whole"],
     )
     want = pdf.assign(m=pdf.close.ewm(span=5, min_periods=5).mean())
@@ -105,7 +105,7 @@ def test_nulls_between_values(spark):
     with pytest.raises(PySparkException, match="null between values"):
         over_rows(
             bars, 50,
-            lambda d, f: add_ewms(d, f, [Ewm("m", F.col("close"), Decay.of_span(5), 5, adjust=False)]),
+            lambda d, f: add_ewms(d, f, [Ewm("m", lambda frame: F.col("close"), Decay.of_span(5), 5, adjust=False)]),
             LAYOUTS["whole"],
         ).collect()
 
