@@ -75,17 +75,29 @@ def upsert(
 
 
 def update_known(
-    table: DataFrame, changes: DataFrame, key: str = "id", fields: Sequence[str] = TASK_UPDATABLE
+    table: DataFrame,
+    changes: DataFrame,
+    key: str = "id",
+    fields: Sequence[str] = TASK_UPDATABLE,
+    newest_by: str = "updated_at",
 ) -> DataFrame:
     """Set the non-null fields of `changes` in the rows with the same key; nothing is added.
 
-    Several changes of one key must be reduced to one first (`newest_per_key`).
+    Several changes of one key act as if applied in the order of `newest_by`: each field
+    takes its newest value.
     """
     present = [c for c in fields if c in changes.columns]
     if not present:
         return table
-    renamed = changes.select(F.col(key).alias("_n_key"), *(F.col(c).alias(f"_n_{c}") for c in present))
-    joined = table.join(renamed, table[key] == renamed["_n_key"], "left")
+    order = F.col(newest_by) if newest_by in changes.columns else F.lit(0)
+
+    def newest(name: str) -> Column:
+        known = F.col(name).isNotNull()
+        # changes without a time count as the oldest
+        return F.max_by(F.col(name), F.when(known, F.struct(order.isNotNull(), order))).alias(f"_n_{name}")
+
+    reduced = changes.groupBy(F.col(key).alias("_n_key")).agg(*(newest(c) for c in present))
+    joined = table.join(reduced, table[key] == reduced["_n_key"], "left")
     return joined.select(
         *(F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in present else F.col(c) for c in table.columns)
     )

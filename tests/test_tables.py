@@ -188,6 +188,15 @@ def test_partial_update(spark):
     assert upsert.update_known(tasks, changes.select("id")) is tasks
 
 
+def test_several_updates_of_one_row_act_in_order(spark):
+    stamp = "updated_at timestamp"
+    tasks = spark.createDataFrame([("1", "pending", None, None)], f"id string, status string, error_message string, {stamp}")
+    steps = [("1", "failed", None, datetime(2024, 1, 3)), ("1", "running", "late", datetime(2024, 1, 2)), ("1", None, "x", None)]
+    changes = spark.createDataFrame(steps, f"id string, status string, error_message string, {stamp}")
+    got = upsert.update_known(tasks, changes).collect()
+    assert [tuple(r) for r in got] == [("1", "failed", "late", datetime(2024, 1, 3))]
+
+
 def test_claims(spark):
     at = datetime(2024, 1, 1)
     rows = [(s, s, at) for s in ("pending", "running", "completed", "failed")]
