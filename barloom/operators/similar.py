@@ -44,25 +44,29 @@ def reduce_windows(windows: DataFrame, components: int = 12) -> DataFrame:
     return model.transform(shaped).withColumn("values", vector_to_array("_reduced")).drop("_shape", "_reduced")
 
 
-def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20, spec: SeriesSpec = BARS) -> DataFrame:
-    """The `top` windows most similar to the one window in `sample`, the sample left out.
+def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20) -> DataFrame:
+    """The `top` windows most similar to the first window in `sample`, the sample left out.
 
-    `sample` has one row (code, candle, end_time, values).
+    `sample` has rows (code, candle, end_time, values); one of them becomes constants, so
+    the other windows are only scanned, not joined.
     """
-    one = sample.limit(1).select(
-        F.col("code").alias("sample_code"),
-        F.col("candle").alias("_candle"),
-        F.col("end_time").alias("_end"),
-        F.col("values").alias("_values"),
-    )
-    # the sample is a single row, so this join only adds constants
-    paired = reduced.join(F.broadcast(one), reduced["candle"] == one["_candle"])
-    length = F.sqrt(_dot(F.col("values"), F.col("values"))) * F.sqrt(_dot(F.col("_values"), F.col("_values")))
-    cosine = F.try_divide(_dot(F.col("values"), F.col("_values")), length)
-    other = (F.col("code") != F.col("sample_code")) | (F.col("end_time") != F.col("_end"))
-    ranked = paired.where(other).withColumn("similarity", cosine)
+    one = sample.select("code", "candle", "end_time", "values").first()
+    if one is None:
+        raise ValueError("no sample window")
+    wanted = F.array(*(F.lit(value) for value in one["values"]))
+    length = F.sqrt(_dot(F.col("values"), F.col("values"))) * F.sqrt(_dot(wanted, wanted))
+    is_sample = (F.col("code") == one["code"]) & (F.col("end_time") == F.lit(one["end_time"]))
+    others = reduced.where((F.col("candle") == one["candle"]) & ~is_sample)
+    ranked = others.withColumn("similarity", F.try_divide(_dot(F.col("values"), wanted), length))
     return (
         ranked.orderBy(F.desc_nulls_last("similarity"), "code", "end_time")
         .limit(top)
-        .select("sample_code", "candle", "code", rfc3339(F.col("end_time")).alias("end_time"), "similarity", "values")
+        .select(
+            F.lit(one["code"]).alias("sample_code"),
+            "candle",
+            "code",
+            rfc3339(F.col("end_time")).alias("end_time"),
+            "similarity",
+            "values",
+        )
     )
