@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,13 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(location, True)
 
 
+def remove_all(spark: SparkSession, paths: Iterable[str], at_once: int = 16) -> None:
+    """Remove many folders; the requests overlap, as each one mostly waits."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for _ in pool.map(lambda path: remove(spark, path), paths):
+            pass
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds any part file; stops at the first one."""
     system, location = _file_system(spark, path)

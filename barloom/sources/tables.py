@@ -28,7 +28,7 @@ from barloom.sources.files import (
     overwrite_staged,
     partition_value,
     read_parquet_table,
-    remove,
+    remove_all,
     write_partitioned,
 )
 
@@ -162,8 +162,7 @@ class DatasetStore:
             }
         )
         self._append(merged, number)
-        for folder in superseded:
-            remove(self.spark, folder)
+        remove_all(self.spark, superseded)
 
 
 @dataclass(frozen=True)
