@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,7 +58,8 @@ def shared_folder(spark: SparkSession) -> str:
     already_set = spark.sparkContext.getCheckpointDir()
     if already_set:
         return already_set
-    if not spark.sparkContext.master.startswith("local"):
+    # local[...] runs everything in one process; local-cluster does not
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="barloom-")
     spark.sparkContext.setCheckpointDir(folder)
