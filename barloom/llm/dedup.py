@@ -30,7 +30,8 @@ def _groups(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 
 def _split(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    return rows.join(_groups(rows, keys, f"{label}-groups"), keys, "left")
+    # the same join at every size: how many groups there are decides nothing
+    return rows.join(_groups(rows, keys, f"{label}-groups").hint("merge"), keys, "left")
 
 
 def find_copies(
@@ -81,9 +82,11 @@ def find_copies(
     for more in members[1:]:
         grouped = grouped.unionByName(more)
     grouped = facts.where(first["_group"].isNotNull()).join(grouped, "_rid", "left")
-    best = (
+    # written, so that adaptive execution can split the join with a large group
+    best = stored(
         grouped.where("_group IS NOT NULL").groupBy("_level", "_group")
-        .agg(F.count(F.lit(1)).alias("_size"), F.max(F.struct("_id", "_rid")).alias("_top"))
+        .agg(F.count(F.lit(1)).alias("_size"), F.max(F.struct("_id", "_rid")).alias("_top")),
+        "radix-best",
     )
     copies = grouped.join(best, ["_level", "_group"]).select(
         *carried, F.col("_id").alias("doc_id"), F.col("_top._id").alias("keep_id"), F.col("_size").alias("group_size"),
