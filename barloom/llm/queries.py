@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import dedup, jaccard
+from barloom.llm import dedup, jaccard, mixing, quality
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,13 +18,30 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "component_size")
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_rows(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.find_copies(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op4_mixing": op4_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE,
+    "op9_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+}
