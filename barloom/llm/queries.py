@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import dedup, jaccard, mixing, quality
+from barloom.llm import bpe, dedup, jaccard, mixing, quality, tokenbin
+
+END_ID = 2
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +21,11 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "component_size")
 
 
+def op3_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokenbin.read_documents(tokenbin.write_shards(_table(spark, folder, "documents"), path, END_ID))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
@@ -30,11 +38,17 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.find_copies(_table(spark, folder, "documents"))
 
 
+def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_wavelet_shards": op3_wavelet_shards,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 ORACLES: dict[str, str] = {

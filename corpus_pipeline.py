@@ -10,14 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import dedup, jaccard
+from barloom.llm import bpe, dedup, jaccard, mixing, quality
 from barloom.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup.drop_copies(docs)
 
@@ -26,9 +31,20 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return jaccard.drop_near_copies(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.take_mix(docs)
+
+
+def prefix_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
     ("ngram_jaccard", ngram_jaccard),
+    ("mix_sources", mix_sources),
+    ("prefix_bpe", prefix_bpe),
 ]
 
 ORACLE_SQL = None
