@@ -11,13 +11,14 @@ from barloom.llm.common import drop_stored, stored
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked with the node's smallest neighbour."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # written, so that adaptive execution can split the join at a node with many links
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked with the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 

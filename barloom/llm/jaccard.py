@@ -84,9 +84,9 @@ def _with_shingles(rows: DataFrame, width: int, percent: int, whole: bool) -> Da
     return rows.mapInArrow(add, T.StructType(kept + added))
 
 
-def _can_overlap(percent: int, n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
-    """Whether the shingles that are not a class's own suffice for a link."""
-    most = F.least(n - own, other_n - other_own)
+def _can_overlap(percent: int, n: Column, skipped: Column, other_n: Column, other_skipped: Column) -> Column:
+    """Whether a link is possible if so many shingles of either are not common."""
+    most = F.least(n - skipped, other_n - other_skipped)
     return most * 100 >= F.lit(percent) * (n + other_n - most)
 
 
@@ -123,8 +123,11 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     members = stored(
         posted.join(groups, ["_n", "_own", "_posted"]).select("_uid", "_gid", "_n", "_own"), "members"
     )
+    # _skip: shingles of the group that come before this one in the order
     entries = stored(
-        groups.select("_gid", "_n", "_own", F.explode("_posted").alias("_h")), "entries"
+        groups.select("_gid", "_n", "_own", F.posexplode("_posted").alias("_at", "_h"))
+        .select("_gid", "_n", "_own", "_h", (F.col("_own") + F.col("_at")).alias("_skip")),
+        "entries",
     )
 
     # each group with the centre of each of its lists
@@ -141,17 +144,17 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     star = stored(_verified(to_centre.unionByName(in_group).distinct(), sets, percent), "links")
 
     # classes with the same label are connected; connected classes may still differ in it
-    label = members.select("_uid", "_gid", "_n", "_own").join(
+    label = members.select("_uid", "_gid", "_n").join(
         star.groupBy(F.col("a").alias("_uid")).agg(F.min("b").alias("_to")), "_uid", "left"
-    ).select("_uid", "_gid", "_n", "_own", F.least("_uid", "_to").alias("_one"))
+    ).select("_uid", "_gid", "_n", F.least("_uid", "_to").alias("_one"))
     label = stored(label, "labels")
     hop = label.select(F.col("_uid").alias("_one"), F.col("_one").alias("_two"))
-    label = stored(label.join(hop, "_one").select("_uid", "_gid", "_n", "_own", F.col("_two").alias("_label")), "labels")
+    label = stored(label.join(hop, "_one").select("_uid", "_gid", "_n", F.col("_two").alias("_label")), "labels")
 
     # parts of groups that have one label, in the lists of their group
-    parts = label.select("_gid", "_label", "_n", "_own").distinct()
+    parts = label.select("_gid", "_label", "_n").distinct()
     in_lists = stored(
-        entries.select("_h", "_gid").join(parts, "_gid").select("_h", "_gid", "_label", "_n", "_own"), "entries"
+        entries.select("_h", "_gid", "_skip").join(parts, "_gid").select("_h", "_gid", "_label", "_n", "_skip"), "entries"
     )
     most = in_lists.groupBy("_h", "_label").agg(F.count(F.lit(1)).alias("_k"))
     most = most.groupBy("_h").agg(
@@ -159,14 +162,15 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     ).where("_labels > 1").select("_h", F.col("_top._label").alias("_main"))
     mixed = in_lists.join(most, "_h")
     rest = mixed.where("_label <> _main").select(
-        "_h", *[F.col(name).alias(f"{name}2") for name in ("_gid", "_label", "_n", "_own")]
+        "_h", *[F.col(name).alias(f"{name}2") for name in ("_gid", "_label", "_n", "_skip")]
     )
     pairs = (
         mixed.join(rest, "_h")
         .where("_label <> _label2")
         # two parts outside the main one meet twice
         .where("_label = _main or struct(_gid, _label) < struct(_gid2, _label2)")
-        .where(_can_overlap(percent, F.col("_n"), F.col("_own"), F.col("_n2"), F.col("_own2")))
+        # in the list of the first shingle that both have, nothing skipped is common
+        .where(_can_overlap(percent, F.col("_n"), F.col("_skip"), F.col("_n2"), F.col("_skip2")))
         .select("_gid", "_label", "_gid2", "_label2").distinct()
     )
     one = label.select("_gid", "_label", F.col("_uid").alias("a"))
