@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, dedup, jaccard, mixing, quality, tokenbin
+from barloom.llm import bpe, chat, dedup, jaccard, licenses, mixing, quality, tokenbin, toxicity, warc
 
 END_ID = 2
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(_table(spark, folder, "conversations"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.near_copies(_table(spark, folder, "documents"), width=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "component_size")
@@ -30,10 +34,24 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op5_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, folder, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_rows(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op7_license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents")).drop("finds")
+
+
+def op8_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = toxicity.score_documents(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_toxic")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.find_copies(_table(spark, folder, "documents"))
 
@@ -43,16 +61,22 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_snapshots": op1_chat_snapshots,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_wavelet_shards": op3_wavelet_shards,
     "op4_mixing": op4_mixing,
+    "op5_warc_chunks": op5_warc_chunks,
     "op6_quality_rules": op6_quality_rules,
+    "op7_license_notices": op7_license_notices,
+    "op8_toxic_spans": op8_toxic_spans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_chat_snapshots": chat.ORACLE,
     "op4_mixing": mixing.ORACLE,
+    "op5_warc_chunks": warc.ORACLE,
     "op9_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
