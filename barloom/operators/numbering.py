@@ -5,29 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_TARGET = 512
-SINGLE_TASK_ROWS = 100_000
+# slices rows are numbered in, less one
+CUTS = 511
 
 
-def _cut_points(values: DataFrame, column: str, rows: int) -> list[str]:
-    """Some of the values, in order. Chosen by hash, so every run picks the same ones."""
-    every = max(1, rows // SAMPLE_TARGET)
-    # about SAMPLE_TARGET values; the limit bounds what reaches the driver, and any
-    # cut points give right numbers
-    picked = values.where(F.pmod(F.xxhash64(column), F.lit(every)) == 0).limit(8 * SAMPLE_TARGET)
+def _cut_points(values: DataFrame, column: str, cuts: int) -> list[str]:
+    """The values with the smallest hashes, in order: a sample that every run repeats."""
+    picked = values.orderBy(F.xxhash64(column), column).limit(cuts)
     return sorted(row[0] for row in picked.collect())
 
 
-def number_rows(df: DataFrame, column: str, out: str = "row", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def number_rows(df: DataFrame, column: str, out: str = "row", cuts: int = CUTS) -> DataFrame:
     """Add the 0-based position of each row in the order of a unique text column.
 
-    Small inputs are numbered by one window. Larger ones are cut into slices at sampled
-    values; counts per slice give each slice its first number.
+    Rows are cut into slices at `cuts` sampled values; counts per slice give each slice its
+    first number. Any cut points give right numbers.
     """
-    rows = df.count()
-    if rows <= single_task_rows:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(column)).cast("long") - 1)
-    cuts = F.array(*(F.lit(value) for value in _cut_points(df.select(column), column, rows)))
+    cuts = F.array(*(F.lit(value) for value in _cut_points(df.select(column), column, cuts))).cast("array<string>")
     sliced = df.withColumn("_slice", F.size(F.filter(cuts, lambda cut: cut <= F.col(column))))
     # one row per slice
     counts = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -43,12 +37,12 @@ def code_text(codes: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(codes, ", "), F.lit("]"))
 
 
-def batch_codes(df: DataFrame, size: int, code: str = "code", single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def batch_codes(df: DataFrame, size: int, code: str = "code", cuts: int = CUTS) -> DataFrame:
     """Distinct codes in order, `size` per batch: (batch, codes, code_list)."""
     if size < 1:
         raise ValueError("a batch needs at least one code")
     codes = df.select(F.col(code).cast("string").alias("code")).dropna().distinct()
-    numbered = number_rows(codes, "code", "row", single_task_rows)
+    numbered = number_rows(codes, "code", "row", cuts)
     batches = numbered.groupBy(F.floor(F.col("row") / size).alias("batch")).agg(
         F.sort_array(F.collect_list("code")).alias("_codes")
     )

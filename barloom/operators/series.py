@@ -142,23 +142,12 @@ def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) ->
         window = Window.partitionBy(*spec.keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
     sliced, spec = _sliced(df, spec)
-    placed = _join_part(sliced, _slice_offsets(sliced, spec), (*spec.keys, SLICE), "_before")
+    placed = join_back(sliced, _slice_offsets(sliced, spec), (*spec.keys, SLICE))
     window = Window.partitionBy(*spec.keys, SLICE).orderBy(*order)
     position = F.col("_before") + F.row_number().over(window) - 1
     return placed.withColumn(name, position.cast("long")).drop(SLICE, "_before")
 
 
-def _join_part(df: DataFrame, parts: DataFrame, on: tuple[str, ...], value: str) -> DataFrame:
-    """Add the value of each row's slice or block.
-
-    Plain equality leaves rows where windows over `on` need them, so both share one
-    shuffle. A row without keys would get no value: that fails instead of being lost.
-    """
-    joined = df.join(parts, list(on), "left")
-    missing = F.raise_error(F.lit(f"null in {', '.join(on)}: these must be known in a long series"))
-    return joined.withColumn(value, F.coalesce(F.col(value), missing.cast(dict(parts.dtypes)[value])))
-
-
 def over_rows(
     df: DataFrame,
     back: int,
@@ -215,7 +204,7 @@ def running_sum(df: DataFrame, value: str, out: str, spec: SeriesSpec = BARS) ->
         .select(*spec.keys, BLOCK, F.coalesce(F.sum("_block_sum").over(earlier), F.lit(0.0)).alias("_carried"))
     )
     summed = placed.withColumn(out, F.sum(value).over(in_block))
-    joined = _join_part(summed, carried, (*spec.keys, BLOCK), "_carried")
+    joined = join_back(summed, carried, (*spec.keys, BLOCK))
     total = F.when(F.col(value).isNotNull(), F.col(out) + F.col("_carried"))
     kept = joined.withColumn(out, total).drop(BLOCK, "_carried")
     return kept if POSITION in df.columns else kept.drop(POSITION)

@@ -23,7 +23,9 @@ RESULT_REPLACED = (
     "task_event_id",
 )
 # What seeding replaces in a task that exists.
-SEED_REPLACED = ("status", "updated_at", "event_name", "source_meta_data", "saver_params", "triggered_by")
+SEED_REPLACED = (
+    "status", "updated_at", "event_name", "event_stage", "source_meta_data", "saver_params", "triggered_by",
+)
 # What a task update may change.
 TASK_UPDATABLE = ("event_stage", "status", "updated_at", "error_message")
 

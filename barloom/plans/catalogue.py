@@ -408,9 +408,12 @@ def backtest_reports(spark, folder):
 
 @query
 def result_records(spark, folder):
-    rows = _reports(spark, folder).select(
-        F.col("task_event_id").alias("task_id"), F.lit(True).alias("status"), "strategy_parms", "tester_params",
-        "completed_at", F.lit(None).cast("int").alias("last_signal"),
+    signal = last_signals(spark, folder).select(
+        _uuid(F.concat_ws("/", "code", "candle")).alias("task_event_id"), F.col("last_signal").cast("int").alias("last_signal")
+    )
+    rows = _reports(spark, folder).join(signal, "task_event_id", "left").select(
+        F.col("task_event_id").alias("task_id"), F.col("last_signal").isNotNull().alias("status"), "strategy_parms", "tester_params",
+        "completed_at", "last_signal",
     )
     return results.result_records(rows)
 
@@ -481,7 +484,11 @@ def stored_datasets(spark, folder):
         ranged = clean.add_date_range(load).drop("trade_time_date")
         store.write(ranged.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date")}))
     store.merge()
-    return store.datasets().select("code", "candle", "start_date", "end_date", "name")
+    names = store.datasets().select("code", "candle", "start_date", "end_date", "name")
+    bars = store.read().groupBy("code", "candle").agg(
+        F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"), F.min("low").alias("low"), F.max("high").alias("high"),
+    )
+    return names.join(bars, ["code", "candle"])
 
 
 @query
@@ -610,10 +617,14 @@ def merged_json(spark, folder):
 
 @query
 def seed_tasks(spark, folder):
-    """Seeding over tasks that exist for the first batch size."""
+    """Seeding over tasks that exist for the first batch size and have run since."""
     suppliers = table(spark, folder, "supplier")
     first = F.lit("2024-01-01").cast("timestamp")
     stored = tasks.seed_tasks(suppliers, 55, first, code="s_suppkey")
+    ended = F.length("source_meta_data") % 2 == 0
+    stored = stored.withColumns({
+        "event_stage": F.when(ended, "done").otherwise("run"), "status": F.when(ended, "completed").otherwise("failed"),
+    })
     again = tasks.seed_tasks(suppliers, 20, _fixed_time(), code="s_suppkey")
     return upsert.upsert(stored, again, "id", upsert.SEED_REPLACED).drop("tpsl_params")
 
@@ -859,14 +870,15 @@ def current_status(spark, folder):
 
 @query
 def stream_bars(spark, folder):
-    """Two loads arrive as files of a stream and are merged into a bar table."""
+    """Two loads, the second repeated, arrive in a landing folder one after the other. The stream
+    goes on from its checkpoint each time and merges what is new into a bar table."""
     landing = scratch_path(spark, "landing")
-    for load in _generations(spark, folder):
-        load.coalesce(1).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
     bars = BarTable(spark, scratch_path(spark, "streamed"), buckets=4)
-    stream = messages.file_stream(spark, landing, schema)
-    messages.run_available(stream, bar_stream.UpsertJob(bars), f"{landing}-checkpoint")
+    old, new = _generations(spark, folder)
+    for load in (old, new, new):
+        load.write.mode("append").parquet(landing)
+        stream = messages.file_stream(spark, landing, load.schema)
+        messages.run_available(stream, bar_stream.UpsertJob(bars), f"{landing}-checkpoint")
     return bars.read()
 
 

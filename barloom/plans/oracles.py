@@ -17,8 +17,8 @@ HOUR_BARS = """bars AS (
 
 
 def month_bars(name: str = "bars", where: str = "TRUE") -> str:
-    order = "{'d': l_shipdate, 'o': l_orderkey, 'n': l_linenumber}"
     price = "floor(l_extendedprice / l_quantity * 100.0::DOUBLE) / 100.0::DOUBLE"
+    order = f"{{'d': l_shipdate, 'o': l_orderkey, 'n': l_linenumber, 'p': {price}}}"
     return f"""{name} AS (
   SELECT CAST(l_suppkey * 100000 + year(m) * 12 + month(m) AS BIGINT) AS id, CAST(l_suppkey AS VARCHAR) AS code,
          open, close, high, low, m AS trade_time, 'mo' AS candle, volume
@@ -413,9 +413,9 @@ add(
     "result_records",
     f"""SELECT {uuid_of("(code || '/' || candle)")} AS task_id, TRUE AS status, 'turn' AS strategy_name,
         '{{"shift_signal":true}}' AS tester_params, '{{"profit_factor":0.05,"loss_factor":-0.05}}' AS tpsl_parms,
-        '2024-06-01 12:30:45' AS completed_at, CAST(0 AS BIGINT) AS last_data_signal
-        FROM (SELECT DISTINCT code, candle FROM bars)""",
-    MONTH_BARS,
+        '2024-06-01 12:30:45' AS completed_at, last_signal AS last_data_signal
+        FROM ({LAST_SIGNAL.format(source="marked", newest=NEWEST)})""",
+    MONTH_BARS, MARKED,
 )
 add(
     "look_back",
@@ -451,7 +451,8 @@ DATASET = "code || '_' || candle || '_' || strftime(min(trade_time), '%Y-%m-%d')
 add(
     "stored_datasets",
     f"""SELECT code, candle, strftime(min(trade_time), '%Y-%m-%d') AS start_date, strftime(max(trade_time), '%Y-%m-%d') AS end_date,
-        {DATASET} AS name FROM merged GROUP BY code, candle""",
+        {DATASET} AS name, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume, round(min(low), 4) AS low, round(max(high), 4) AS high
+        FROM merged GROUP BY code, candle""",
     OLD, NEW, MERGED,
 )
 add(

@@ -46,9 +46,8 @@ def month_bars(spark: SparkSession, folder: str, of: Column | None = None) -> Da
         items = items.where(of)
     # cut to cents by floor, which no engine rounds differently
     price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100.0) / 100.0
-    # day, order and line in one long: the aggregate then fits a hash table, a struct would be sorted
-    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    order = day * 2**46 + F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    # some line items share day, order and line: the price makes the order total
+    order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", price.alias("p"))
     month = F.trunc(F.col("l_shipdate").cast("date"), "month")
     bars = items.groupBy("l_suppkey", month.alias("month")).agg(
         *_ohlc(price, order), F.sum("l_quantity").cast("long").alias("volume")

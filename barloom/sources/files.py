@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -61,6 +62,36 @@ def read_parquet_table(spark: SparkSession, path: str, schema: T.StructType | No
     return reader.option("mergeSchema", "true").parquet(path)
 
 
+LAYOUT_FILE = "_layout"
+
+
+def stored_layout(spark: SparkSession, path: str) -> dict[str, str]:
+    """What a table says about how its rows are laid out; empty for a table without such a note."""
+    fs, where = _file_system(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    if not fs.exists(where):
+        return {}
+    stream = fs.open(where)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def keep_layout(spark: SparkSession, path: str, layout: dict[str, str]) -> None:
+    """Note the layout with the table. A table that has another one is refused: rows placed by
+    two rules would be stored twice. Readers pass over the file, as its name starts with `_`."""
+    known = stored_layout(spark, path)
+    if known and known != layout:
+        raise ValueError(f"{path} has the layout {known}, not {layout}")
+    if not known:
+        fs, where = _file_system(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+        stream = fs.create(where, True)
+        try:
+            stream.write(bytearray(json.dumps(layout, sort_keys=True).encode()))
+        finally:
+            stream.close()
+
+
 def write_partitioned(
     df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:

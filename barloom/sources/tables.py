@@ -24,6 +24,7 @@ from barloom.operators.upsert import (
 from barloom.sources.files import (
     has_files,
     in_partitions,
+    keep_layout,
     list_parts,
     overwrite_staged,
     partition_value,
@@ -42,7 +43,8 @@ class BarTable:
     """Bars partitioned by candle, code bucket and period, sorted by code and time.
 
     The period keeps partitions of a huge series apart, and lets a late bar rewrite its
-    own period only. One writer at a time.
+    own period only. Buckets and period are noted with the table; a write with others is
+    refused. One writer at a time.
     """
 
     spark: SparkSession
@@ -79,6 +81,7 @@ class BarTable:
         batch, the highest id counts.
         """
         placed = self._placed(batch)
+        keep_layout(self.spark, self.path, {"buckets": str(self.buckets), "period": self.period})
         if self.is_empty():
             merged = newest_per_key(placed, BAR_KEY, [c for c in ("id",) if c in placed.columns])
             write_partitioned(merged, self.path, self.PARTITIONS, ("code", "trade_time"))
@@ -167,7 +170,8 @@ class DatasetStore:
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Records with a unique key, stored in hash buckets of the key."""
+    """Records with a unique key, stored in hash buckets of the key. The number of buckets is
+    noted with the table; a write with another number is refused."""
 
     spark: SparkSession
     path: str
@@ -195,6 +199,7 @@ class KeyedTable:
         return in_partitions(stored, self._placed(changes), ["key_bucket"]).drop("key_bucket")
 
     def _replace(self, rows: DataFrame) -> None:
+        keep_layout(self.spark, self.path, {"buckets": str(self.buckets), "key": self.key})
         ordered = rows.select(*(F.col(f.name).cast(f.dataType) for f in self.schema.fields))
         overwrite_staged(self.spark, self._placed(ordered), self.path, ["key_bucket"])
 

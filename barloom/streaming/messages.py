@@ -101,8 +101,11 @@ def run_available(
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", files_per_batch: int = 1
+    spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    """The files of a folder as a stream, in order of arrival."""
+    """The files of a folder as a stream, in order of arrival. A batch has all files that
+    have arrived, or as many as stated."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", names)
-    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)

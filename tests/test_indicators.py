@@ -125,11 +125,15 @@ def test_bias_uses_a_given_mean(spark):
     assert_same(got, pdf.assign(BIAS_20=(pdf.close - 50) / 50 * 100), ["BIAS_20", "EMA_20"])
 
 
-def test_null_keys_of_a_long_series_are_not_lost(spark):
-    pdf = pd.concat([walk("A", 20, 1), walk("A", 5, 2).assign(code=None)])
-    with pytest.raises(PySparkException, match="must be known"):
-        MA(3).apply(spark_bars(spark, pdf), LAYOUTS["blocks"]).collect()
-    assert MA(3).apply(spark_bars(spark, pdf), LAYOUTS["whole"]).count() == 25
+def test_null_keys_are_a_series_in_both_layouts(spark):
+    pdf = pd.concat([walk("A", 20, 1), walk("A", 9, 2).assign(code=None)])
+    rows = {
+        name: sorted(map(repr, MA(3).apply(spark_bars(spark, pdf), layout).select("id", "code", "MA_3").collect()))
+        for name, layout in LAYOUTS.items()
+    }
+    assert len(rows["whole"]) == 29
+    assert all(found == rows["whole"] for found in rows.values())
+    assert sum("code=None" in row and "MA_3=None" not in row for row in rows["whole"]) == 7
 
 
 def test_measured_layouts(spark):

@@ -260,11 +260,11 @@ def test_stage_errors_name_the_stage(spark):
     assert not calls
 
 
-@pytest.mark.parametrize("limit", [10**6, 10])
-def test_code_batches(spark, limit):
+@pytest.mark.parametrize("cuts", [0, 1, 500])
+def test_code_batches(spark, cuts):
     codes = [f"{c:04d}" for c in range(777)]
     frame = spark.createDataFrame([(c,) for c in codes * 2 + [None]], "code string").repartition(7)
-    got = numbering.batch_codes(frame, 50, single_task_rows=limit).orderBy("batch").collect()
+    got = numbering.batch_codes(frame, 50, cuts=cuts).orderBy("batch").collect()
     want = [codes[i : i + 50] for i in range(0, len(codes), 50)]
     assert [r.code_list for r in got] == ["[" + ", ".join(w) + "]" for w in want]
     assert [r.codes for r in got] == [len(w) for w in want]
@@ -274,8 +274,8 @@ def test_code_batches(spark, limit):
 
 def test_number_rows_with_one_slice_and_many(spark):
     frame = spark.createDataFrame([("x%05d" % i,) for i in range(2000)], "v string").repartition(5)
-    for limit in (1, 10**6):
-        got = numbering.number_rows(frame, "v", single_task_rows=limit).orderBy("v").collect()
+    for cuts in (0, 100, 5000):
+        got = numbering.number_rows(frame, "v", cuts=cuts).orderBy("v").collect()
         assert [r.row for r in got] == list(range(2000))
 
 
@@ -289,3 +289,21 @@ def test_distinct_pairs(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_tables_refuse_another_layout(spark):
+    rows = spark.createDataFrame([(str(i), i) for i in range(20)], "id string, v int")
+    path = scratch_path(spark, "keyed")
+    KeyedTable(spark, path, "id", rows.schema, buckets=4).upsert(rows, ["v"], newest_by=("v",))
+    with pytest.raises(ValueError, match="layout"):
+        KeyedTable(spark, path, "id", rows.schema, buckets=16).upsert(rows, ["v"], newest_by=("v",))
+    again = KeyedTable(spark, path, "id", rows.schema, buckets=4)
+    again.upsert(rows, ["v"], newest_by=("v",))
+    assert again.read().count() == 20
+    path = scratch_path(spark, "bars")
+    bars = spark_bars(spark, walk("A", 30, 1))
+    BarTable(spark, path, buckets=4).upsert(bars)
+    for other in (BarTable(spark, path), BarTable(spark, path, buckets=4, period="DAY")):
+        with pytest.raises(ValueError, match="layout"):
+            other.upsert(bars)
+    assert BarTable(spark, path, buckets=4).read().count() == 30
