@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The time formats tried, in this order, for mixed text columns.
+# The time formats tried, in this order, for mixed text columns; the month comes before the day.
 TIME_FORMATS = (
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd HH:mm:ss",
@@ -14,6 +14,11 @@ TIME_FORMATS = (
     "yyyy/MM/dd HH:mm:ss",
     "yyyy/MM/dd",
     "yyyyMMdd",
+    "yyyyMMdd HHmmss",
+    "MM/dd/yyyy HH:mm:ss",
+    "MM/dd/yyyy",
+    "MMM d, yyyy",
+    "d MMM yyyy",
 )
 
 

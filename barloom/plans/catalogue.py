@@ -148,6 +148,9 @@ def mixed_times(spark, folder):
         F.when(kind == "click", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .when(kind == "view", F.date_format(ts, "yyyy/MM/dd"))
         .when(kind == "error", F.lit("no date"))
+        .when(F.col("event_id") % 5 == 0, F.date_format(ts, "MMM d, yyyy"))
+        .when(F.col("event_id") % 5 == 1, F.date_format(ts, "MM/dd/yyyy"))
+        .when(F.col("event_id") % 5 == 2, F.date_format(ts, "yyyyMMdd HHmmss"))
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("trade_time"),
     )
     return clean.column_to_time(raw)

@@ -109,8 +109,8 @@ add(
 )
 add(
     "mixed_times",
-    """SELECT event_id, CASE event_type WHEN 'view' THEN date_trunc('day', ts) WHEN 'error' THEN NULL
-       ELSE date_trunc('second', ts) END AS trade_time FROM events""",
+    """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'click' THEN date_trunc('second', ts)
+       WHEN event_type = 'view' OR event_id % 5 < 2 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS trade_time FROM events""",
 )
 add("drop_zone", "SELECT event_id, ts + INTERVAL 8 HOUR AS ts FROM events")
 TREND = "CAST(CASE WHEN close > open THEN 1 WHEN close < open THEN -1 ELSE 0 END AS BIGINT) AS direction"
