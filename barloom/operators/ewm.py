@@ -5,6 +5,13 @@ Rows are cut into runs of `run_rows` rows. Within a run S is a scaled running su
 q^p * sum(x * q^-p), where p is the offset in the run. The end value of the run
 before is carried in with q^(p+1); runs further back weigh less than 1e-24 and are
 below double precision. So one ordered pass gives the mean, whatever the span.
+
+A null between values keeps its place in the weights: the value before it weighs less at
+the next one, and the mean holds in between.
+
+Without adjustment the recursion is y = a y + (1 - a) x, where a = q^k / (q^k + alpha) after k
+rows. It is the same kind of sum with the running sum of -log(a) in the place of the row
+number; runs are cut where that has grown by `_CLOCK_RUN`.
 """
 
 from __future__ import annotations
@@ -20,6 +27,9 @@ from barloom.operators.series import POSITION, Frame
 
 _SCALE_LIMIT = 100 * math.log(10)
 _WEIGHT_LIMIT = 20 * math.log(10)
+_CLOCK_RUN = 200.0
+# a step that forgets more than this starts anew in double precision
+_CLOCK_STEP = 60.0
 
 
 @dataclass(frozen=True)
@@ -58,7 +68,8 @@ class Ewm:
 
     `value` builds the input from the frame, so that its windows share the frame's order.
     `adjust` divides by the sum of the weights; without it the first value starts the
-    recursion y = q * y + alpha * x.
+    recursion y = q * y + alpha * x. Means that name the same `nulls` have values in the
+    same rows, and share windows.
     """
 
     out: str
@@ -66,6 +77,7 @@ class Ewm:
     decay: Decay
     min_periods: int
     adjust: bool = True
+    nulls: str = ""
 
 
 def run_name(rows: int) -> str:
@@ -88,12 +100,14 @@ def drop_run_columns(df: DataFrame, given: Sequence[str]) -> DataFrame:
 
 
 def add_ewms(df: DataFrame, frame: Frame, means: Sequence[Ewm]) -> DataFrame:
-    """Add the means. Those with runs of one length share their windows.
-
-    Leading nulls are skipped. A null between values keeps its place in the weights
-    (adjust on whole series); where that is not supported the query fails rather than
-    give another result.
-    """
+    """Add the means. Those with runs of one length share their windows."""
+    recursive: dict[tuple, list[Ewm]] = {}
+    for m in means:
+        if not m.adjust and m.decay.run_rows:
+            recursive.setdefault((m.decay, m.nulls or m.out), []).append(m)
+    for group in recursive.values():
+        df = _add_recursive(df, frame, group)
+    means = [m for m in means if m.adjust or not m.decay.run_rows]
     for rows in sorted({m.decay.run_rows for m in means}, reverse=True):
         group = [m for m in means if m.decay.run_rows == rows]
         if rows == 0:
@@ -124,27 +138,64 @@ def _add_group(df: DataFrame, frame: Frame, means: Sequence[Ewm], rows: int) ->
         x, n = F.col(f"_x_{out}"), F.col(f"_n_{out}")
         inputs[f"_x_{out}"] = m.value(frame).cast("double")
         sums[f"_s_{out}"] = down * F.sum(F.coalesce(x, F.lit(0.0)) * up).over(in_run)
-        if m.adjust:
-            sums[f"_w_{out}"] = down * F.sum(F.when(x.isNotNull(), up).otherwise(0.0)).over(in_run)
-        else:
-            carried[f"_first_{out}"] = F.first(x, ignorenulls=True).over(so_far)
+        sums[f"_w_{out}"] = down * F.sum(F.when(x.isNotNull(), up).otherwise(0.0)).over(in_run)
         carried[f"_n_{out}"] = F.count(x).over(so_far)
 
         def scan(part: str, out: str = out, down: Column = down, q: Column = q) -> Column:
             return F.col(f"_{part}_{out}") + down * q * F.coalesce(F.col(f"_c{part}_{out}"), F.lit(0.0))
 
-        for part in ("s", "w") if m.adjust else ("s",):
+        for part in ("s", "w"):
             end_value = F.when(run_end, F.col(f"_{part}_{out}"))
             carried[f"_c{part}_{out}"] = F.last(end_value, ignorenulls=True).over(before)
-        gap = x.isNull() & (n > 0)
-        if m.adjust:
-            mean = F.try_divide(scan("s"), scan("w"))
-            if not frame.split:
-                # the last mean holds through a gap while its weights still show
-                gap = gap & (scan("w") == 0)
-        else:
-            mean = F.lit(m.decay.alpha) * scan("s") + F.pow(q, n) * F.col(f"_first_{out}")
-        failure = F.raise_error(F.lit(f"null between values in the input of {out}"))
-        results[out] = F.when(n >= m.min_periods, F.when(gap, failure).otherwise(mean))
+        # the last mean holds through a gap, however long
+        mean = F.last(F.when(x.isNotNull(), F.try_divide(scan("s"), scan("w"))), ignorenulls=True).over(so_far)
+        results[out] = F.when(n >= m.min_periods, mean)
     helpers = [*inputs, *sums, *carried]
     return df.withColumns(inputs).withColumns(sums).withColumns(carried).withColumns(results).drop(*helpers)
+
+
+def _add_recursive(df: DataFrame, frame: Frame, means: Sequence[Ewm]) -> DataFrame:
+    """Means without adjustment, of one decay and with values in the same rows."""
+    alpha, name = means[0].decay.alpha, means[0].out
+    given = df.columns
+    if POSITION not in given:
+        df = df.withColumn(POSITION, F.row_number().over(frame.ordered()).cast("long") - 1)
+    so_far = frame.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = frame.ordered().rowsBetween(Window.unboundedPreceding, -1)
+    inputs = {f"_x_{m.out}": m.value(frame).cast("double") for m in means}
+    here = F.col(f"_x_{name}").isNotNull()
+    at, step, clock, run, n = (f"_{part}_{name}" for part in ("at", "step", "clock", "run", "n"))
+    df = df.withColumns(inputs).withColumns(
+        {at: F.last(F.when(here, F.col(POSITION)), ignorenulls=True).over(before), n: F.count(f"_x_{name}").over(so_far)}
+    )
+    # what the earlier mean still weighs against a new value of weight alpha
+    kept = F.pow(F.lit(means[0].decay.q), F.col(POSITION) - F.col(at))
+    first = F.col(at).isNull()
+    forgotten = F.least(F.log(kept + alpha) - (F.col(POSITION) - F.col(at)) * math.log(means[0].decay.q), F.lit(_CLOCK_STEP))
+    df = df.withColumn(step, F.when(here & ~first, forgotten).otherwise(0.0))
+    df = df.withColumn(clock, F.sum(step).over(so_far)).withColumn(run, F.floor(F.col(clock) / _CLOCK_RUN))
+    since = F.col(clock) - F.col(run) * _CLOCK_RUN
+    in_run = Window.partitionBy(*frame.parts, run).orderBy(*frame.by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(*frame.parts).orderBy(run, *frame.by)
+    share = F.when(first, 1.0).otherwise(alpha / (kept + alpha))
+    sums, ends, results = {}, {}, {}
+    for m in means:
+        x = F.col(f"_x_{m.out}")
+        sums[f"_s_{m.out}"] = F.exp(-since) * F.sum(F.when(here, share * x * F.exp(since)).otherwise(0.0)).over(in_run)
+    df = df.withColumns(sums)
+    new_run = F.col(run) > F.lag(run, 1).over(ordered)
+    for m in means:
+        end = F.struct(F.lag(clock, 1).over(ordered).alias("c"), F.lag(f"_s_{m.out}", 1).over(ordered).alias("s"))
+        ends[f"_e_{m.out}"] = F.when(new_run, end)
+    df = df.withColumns(ends)
+    carried = {
+        f"_c_{m.out}": F.last(f"_e_{m.out}", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        for m in means
+    }
+    df = df.withColumns(carried)
+    for m in means:
+        end = F.col(f"_c_{m.out}")
+        old = F.coalesce(end["s"] * F.exp(end["c"] - F.col(clock)), F.lit(0.0))
+        results[m.out] = F.when((F.col(n) > 0) & (F.col(n) >= m.min_periods), F.col(f"_s_{m.out}") + old)
+    helpers = [at, n, step, clock, run, *inputs, *sums, *ends, *carried]
+    return df.withColumns(results).drop(*helpers)

@@ -208,7 +208,7 @@ class RSI(_Applied):
 
         signs = {f"_gain_{self.n}": 1, f"_loss_{self.n}": -1}
         decay = Decay(1 / self.n)
-        return [Ewm(out, partial(part, sign), decay, self.n, adjust=False) for out, sign in signs.items()]
+        return [Ewm(out, partial(part, sign), decay, self.n, adjust=False, nulls=f"move_{self.n}") for out, sign in signs.items()]
 
     def steps(self, df: DataFrame, frame: Frame) -> DataFrame:
         up, down = F.col(f"_gain_{self.n}"), F.col(f"_loss_{self.n}")

@@ -5,12 +5,13 @@ the best plan while every series is small, and unusable when one series holds a
 third of a large table. `over_rows` measures the longest series and picks:
 
 * short series: plain windows per series, one shuffle;
-* long series: every row gets its exact position in its series, positions are cut
-  into equal blocks, and the last `back` rows of a block are copied in front of the
-  next one. Windows then run per block, so no task ever holds more than one block.
+* long series: every row gets its exact position in its series, the series is cut into
+  blocks with equally many rows that have a value (`observed`), and the rows with the last
+  `back` values of a block are copied in front of the next one. Windows then run per
+  block, so no task ever holds more than one block and the rows without value within it.
 
-Both give the same rows. Positions come from counts per time slice, never from a
-window over the whole series.
+Both give the same rows, also where keys or values are null. Positions come from counts
+per time slice, never from a window over the whole series.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-POSITION, BLOCK, OWNED, SLICE = "_pos", "_blk", "_own", "_slice"
+POSITION, SEEN, BLOCK, OWNED, SLICE = "_pos", "_seen", "_blk", "_own", "_slice"
 SLICE_UNITS = ("DAY", "HOUR", "MINUTE", "SECOND")
 
 
@@ -34,6 +35,8 @@ class SeriesSpec:
     time: str = "trade_time"
     # breaks ties between rows of the same time; must make the order total
     tie: tuple[str, ...] = ("id",)
+    # rows without this value do not count towards a block or the rows before it
+    observed: str = "close"
     # a series up to this many rows is one window partition
     whole_rows: int = 1_000_000
     block_rows: int = 262_144
@@ -126,10 +129,18 @@ def join_back(df: DataFrame, right: DataFrame, on: tuple[str, ...], how: str = "
     return joined.drop(*(f"_r_{c}" for c in on))
 
 
-def _slice_offsets(sliced: DataFrame, spec: SeriesSpec) -> DataFrame:
-    counts = sliced.groupBy(*spec.keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
+def _place(df: DataFrame, spec: SeriesSpec, values: dict[str, Column]) -> DataFrame:
+    """Add, for each name, how many of the rows before in the series have the value."""
+    sliced, spec = _sliced(df, spec)
+    part = (*spec.keys, SLICE)
+    counts = sliced.groupBy(*part).agg(*(F.count(value).alias(f"_before{name}") for name, value in values.items()))
     earlier = Window.partitionBy(*spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*spec.keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = counts.select(*part, *(F.coalesce(F.sum(f"_before{n}").over(earlier), F.lit(0)).alias(f"_before{n}") for n in values))
+    inside = Window.partitionBy(*part).orderBy(*spec.order(df)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = join_back(sliced, offsets, part).withColumns(
+        {name: (F.col(f"_before{name}") + F.count(value).over(inside)).cast("long") for name, value in values.items()}
+    )
+    return placed.drop(SLICE, *(f"_before{name}" for name in values))
 
 
 def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) -> DataFrame:
@@ -137,15 +148,10 @@ def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) ->
     if name in df.columns:
         return df
     spec = decide(df, spec)
-    order = spec.order(df)
     if not spec.split:
-        window = Window.partitionBy(*spec.keys).orderBy(*order)
+        window = Window.partitionBy(*spec.keys).orderBy(*spec.order(df))
         return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
-    sliced, spec = _sliced(df, spec)
-    placed = join_back(sliced, _slice_offsets(sliced, spec), (*spec.keys, SLICE))
-    window = Window.partitionBy(*spec.keys, SLICE).orderBy(*order)
-    position = F.col("_before") + F.row_number().over(window) - 1
-    return placed.withColumn(name, position.cast("long")).drop(SLICE, "_before")
+    return _place(df, spec, {name: F.lit(1)})
 
 
 def over_rows(
@@ -154,7 +160,8 @@ def over_rows(
     compute: Callable[[DataFrame, Frame], DataFrame],
     spec: SeriesSpec = BARS,
 ) -> DataFrame:
-    """Run `compute` so that each row sees at least `back` earlier rows of its series.
+    """Run `compute` so that each row sees at least `back` earlier rows of its series that
+    have a value, and all rows since.
 
     `compute` adds columns with windows taken from the frame it is given.
     """
@@ -162,16 +169,18 @@ def over_rows(
     if not spec.split:
         return compute(df, Frame(spec.keys, spec.order(df)))
     block = max(spec.block_rows, 4 * back)
-    own = F.floor(F.col(POSITION) / block)
+    own = F.floor(F.col(SEEN) / block)
     home = F.struct(own.alias("b"), F.lit(True).alias("o"))
     ahead = F.struct((own + 1).alias("b"), F.lit(False).alias("o"))
-    in_tail = F.col(POSITION) % block >= block - back
+    in_tail = F.col(SEEN) % block >= block - back
+    observed = F.col(spec.observed) if spec.observed in df.columns else F.lit(1)
+    counted = {SEEN: observed} if POSITION in df.columns else {SEEN: observed, POSITION: F.lit(1)}
     copies = F.when(in_tail, F.array(home, ahead)).otherwise(F.array(home))
     framed = (
-        with_index(df, spec)
+        _place(df, spec, counted)
         .withColumn("_copy", F.explode(copies))
         .withColumns({BLOCK: F.col("_copy.b"), OWNED: F.col("_copy.o")})
-        .drop("_copy")
+        .drop("_copy", SEEN)
         # one shuffle by block serves all windows, also those with finer partitions
         .repartition(*spec.keys, BLOCK)
     )

@@ -2,7 +2,6 @@ import numpy as np
 import pandas as pd
 import pytest
 from barsets import LAYOUTS, assert_same, flat, market, per_series, spark_bars, walk
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from barloom.operators.ewm import Decay, Ewm, add_ewms, drop_run_columns
@@ -91,23 +90,24 @@ def test_rsi_of_one_sided_series(spark):
     assert len(rows[rows.code == "RISE"]) == 40 - 14
 
 
-def test_nulls_between_values(spark):
-    pdf = walk("A", 60, 4)
-    pdf.loc[[20, 21, 35], "close"] = np.nan
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("gaps", ["few", "long", "most"])
+def test_nulls_between_values(spark, layout, gaps):
+    pdf = walk("A", 900, 4)
+    holes = {"few": [20, 21, 35, 300], "long": [*range(3), *range(40, 430), 500], "most": [i for i in range(900) if i % 5 and i % 7]}
+    pdf.loc[holes[gaps], "close"] = np.nan
     bars = spark_bars(spark, pdf).withColumn("close", F.when(~F.isnan("close"), F.col("close")))
+    means = [
+        Ewm(f"m{span}_{adjust}", lambda frame: F.col("close"), Decay.of_span(span), 5, adjust=adjust)
+        for span in (2, 5, 40) for adjust in (True, False)
+    ]
     got = over_rows(
-        bars, 50,
-        lambda d, f: drop_run_columns(add_ewms(d, f, [Ewm("m", lambda frame: F.col("close"), Decay.of_span(5), 5)]), d.columns),
-        LAYOUTS["whole"],
+        bars, 1 + max(m.decay.reach for m in means), lambda d, f: drop_run_columns(add_ewms(d, f, means), d.columns), LAYOUTS[layout]
     )
-    want = pdf.assign(m=pdf.close.ewm(span=5, min_periods=5).mean())
-    assert_same(got, want, ["m"])
-    with pytest.raises(PySparkException, match="null between values"):
-        over_rows(
-            bars, 50,
-            lambda d, f: add_ewms(d, f, [Ewm("m", lambda frame: F.col("close"), Decay.of_span(5), 5, adjust=False)]),
-            LAYOUTS["whole"],
-        ).collect()
+    want = pdf.assign(**{
+        m.out: pdf.close.ewm(alpha=m.decay.alpha, min_periods=5, adjust=m.adjust).mean() for m in means
+    })
+    assert_same(got, want, [m.out for m in means])
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
