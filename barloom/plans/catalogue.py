@@ -260,6 +260,28 @@ def _indicator(name: str, indicator: Indicator, *extra: str) -> None:
     query(run)
 
 
+def _gapped(spark, folder) -> DataFrame:
+    """Bars of which some have no close."""
+    return month_bars(spark, folder).withColumn("close", F.when(F.col("volume") % 6 != 0, F.col("close")))
+
+
+@query
+def ema_gaps(spark, folder):
+    return EMA().apply(_gapped(spark, folder)).select("id", *SERIES, "EMA_10")
+
+
+@query
+def rsi_gaps(spark, folder):
+    return RSI().apply(_gapped(spark, folder)).select("id", *SERIES, "RSI_14")
+
+
+@query
+def null_series(spark, folder):
+    """Bars without a code are one series."""
+    bars = month_bars(spark, folder).withColumn("code", F.when(F.col("id") % 300_000 >= 100_000, F.col("code")))
+    return apply_indicators(bars, [MA(), Engulfing()]).select("id", *SERIES, "MA_10", "ENGULFING")
+
+
 _indicator("engulfing", Engulfing())
 _indicator("bollinger", BollingerBands())
 _indicator("atr", ATR())

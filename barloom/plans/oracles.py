@@ -254,6 +254,29 @@ ENGULFING = f"""coalesce((close - open >= 0) <> (lag(close - open) {W} >= 0)
   AND abs(close - open) > abs(lag(close - open) {W}) * 1.1, FALSE) AS ENGULFING"""
 EMA_20, EMA_10 = weighted("ema_20", "numbered", "close", 20), weighted("ema_10", "numbered", "close", 10)
 
+GAPPED = """gapped AS (SELECT * REPLACE (CASE WHEN volume % 6 <> 0 THEN close END AS close) FROM numbered)"""
+add("ema_gaps", f"SELECT {ROW}, {r('ema_10', 'EMA_10')} FROM gapped JOIN ema_10 USING ({KEY})", MONTH_BARS, NUMBERED, GAPPED,
+    weighted("ema_10", "gapped", "close", 10))
+# y = a y + (1 - a) x with a = q^k / (q^k + alpha) after k rows, as a sum over all earlier moves
+add(
+    "rsi_gaps",
+    f"SELECT {ROW}, {r('rsi', 'RSI_14')} FROM gapped JOIN strength USING ({KEY})",
+    MONTH_BARS, NUMBERED, GAPPED,
+    RSI_CTES[0].replace("FROM numbered", "FROM gapped"),
+    """stepped AS (SELECT *, power(13.0 / 14, i - max(CASE WHEN move IS NOT NULL THEN i END) OVER (
+    PARTITION BY code, candle ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS kept FROM moves)""",
+    """clocked AS (SELECT *, coalesce((1.0 / 14) / (kept + 1.0 / 14), 1) AS share,
+    sum(CASE WHEN move IS NOT NULL AND kept IS NOT NULL THEN ln(kept / (kept + 1.0 / 14)) ELSE 0 END)
+    OVER (PARTITION BY code, candle ORDER BY i ROWS UNBOUNDED PRECEDING) AS clock FROM stepped)""",
+    """smooth AS (
+  SELECT a.code, a.candle, a.i, CASE WHEN count(b.move) >= 14 THEN sum(b.share * exp(a.clock - b.clock) * greatest(b.move, 0)) END AS up,
+         CASE WHEN count(b.move) >= 14 THEN sum(b.share * exp(a.clock - b.clock) * greatest(-b.move, 0)) END AS down
+  FROM clocked a LEFT JOIN clocked b ON a.code = b.code AND a.candle = b.candle AND b.i <= a.i AND b.move IS NOT NULL
+  GROUP BY a.code, a.candle, a.i)""",
+    RSI_CTES[2],
+)
+NULL_SERIES = "coded AS (SELECT * REPLACE (CASE WHEN id % 300000 >= 100000 THEN code END AS code) FROM bars)"
+add("null_series", f"SELECT {ROW}, {r(mean('close', 10), 'MA_10')}, {ENGULFING} FROM coded", MONTH_BARS, NULL_SERIES)
 add("engulfing", f"SELECT {ROW}, {ENGULFING} FROM bars", MONTH_BARS)
 add("bollinger", f"SELECT {ROW}, {BANDS} FROM bars", MONTH_BARS)
 add("atr", f"SELECT {ROW}, {r(mean('reach', 14), 'ATR_14')} FROM ranged", MONTH_BARS, NUMBERED, RANGES)
