@@ -33,7 +33,7 @@ from barloom.llm.common import as_rows, text_of
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # pairs whose fit is kept per worker
-PAIRS = 500_000
+PAIRS = 400_000
 # matches whose ids are kept per worker, twice
 PIECES = 100_000
 TEXTS_AT_ONCE = 256
@@ -53,7 +53,8 @@ class Ranks:
             for start in range(1, len(token)):
                 self.ends.setdefault(token[start:], -1)
             self.ends[token] = rank
-        self._fits: dict[tuple[int, int], bool] = {}
+        # by left * 2**32 + right
+        self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, ...]] = {}
 
     @classmethod
@@ -89,11 +90,11 @@ class Ranks:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two stay as they are side by side."""
-        known = self._fits.get((left, right))
+        known = self._fits.get(left << 32 | right)
         if known is None:
             if len(self._fits) >= PAIRS:
                 self._fits.clear()
-            known = self._fits[left, right] = self.stands(right) and self._stay_apart(left, right)
+            known = self._fits[left << 32 | right] = self.stands(right) and self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -124,25 +125,25 @@ class PrefixTable:
         self.last: list[int] = [-1]
         self.append(data)
 
-    def _last_token(self, data: bytes, end: int) -> int:
-        """Of the tokens that end here, the one that starts the bytes or fits what comes before."""
-        last, ends, fits = self.last, self.ranks.ends, self.ranks.fits
-        start = end
-        while start:
-            start -= 1
-            token = ends.get(data[start:end])
-            if token is None:
-                break
-            if token >= 0 and (fits(last[start], token) if start else self.ranks.stands(token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+    def _last_tokens(self, data: bytes, first: int, stop: int) -> Iterator[int]:
+        """For each end from first to before stop: of the tokens that end there, the one that starts the bytes or fits what
+        comes before. Each is in `last` before the next is asked for."""
+        last, ends, fits, stands = self.last, self.ranks.ends.get, self.ranks.fits, self.ranks.stands
+        for end in range(first, stop):
+            for start in range(end - 1, -1, -1):
+                token = ends(data[start:end])
+                if token is None:
+                    raise ValueError("the vocabulary lacks a byte")
+                if token >= 0 and (fits(last[start], token) if start else stands(token)):
+                    yield token
+                    break
 
     def append(self, more: bytes) -> None:
         """Goes on after what is there; no prefix changes."""
         data = self.data = self.data + more
-        add, find = self.last.append, self._last_token
-        for end in range(len(self.last), len(data) + 1):
-            add(find(data, end))
+        add = self.last.append
+        for token in self._last_tokens(data, len(self.last), len(data) + 1):
+            add(token)
 
     def shrink(self, length: int) -> None:
         """Keep the first bytes only."""
@@ -156,15 +157,15 @@ class PrefixTable:
         data = self.data[:start] + new + self.data[end:]
         old, shift = self.last, len(new) - (end - start)
         self.data, self.last = data, old[:start + 1]
-        same, done = 0, 0
-        while len(self.last) <= len(data):
+        same = done = 0
+        for token in self._last_tokens(data, len(self.last), len(data) + 1):
             at = len(self.last)
+            self.last.append(token)
+            done += 1
+            same = same + 1 if at >= start + len(new) and token == old[at - shift] else 0
             if same >= self.ranks.longest:
-                self.last += old[at - shift:]
+                self.last += old[at + 1 - shift:]
                 break
-            self.last.append(self._last_token(data, at))
-            done += 1
-            same = same + 1 if at >= start + len(new) and self.last[at] == old[at - shift] else 0
         return done
 
     def tokens(self, length: int | None = None) -> list[int]:
@@ -183,11 +184,12 @@ class Encoder:
         self.ranks = ranks
         self._split = regex.compile(pattern).findall
         self._pieces = Recent(PIECES)
-        self._cache = PartCache(self._parts, "<i4")
+        self._cache = PartCache(self._parts, "i")
 
     def pieces(self, matches: set[str]) -> dict[str, list[int]]:
         """Ids of the matches. In order of their bytes, each goes on from the prefix it shares with the one before."""
-        known, missing = self._pieces.take(matches)
+        known = self._pieces.age()
+        missing = self._pieces.missing(matches)
         table, ranks = PrefixTable(self.ranks), self.ranks.ranks
         for data, match in sorted((match.encode(), match) for match in missing):
             token = ranks.get(data)
@@ -195,8 +197,8 @@ class Encoder:
                 # a match that is a token as a whole is that token
                 known[match] = [token]
                 continue
-            shared = 0
-            for a, b in zip(table.data, data, strict=False):
+            before, shared = table.data, 0
+            for a, b in zip(before, data, strict=False):
                 if a != b:
                     break
                 shared += 1

@@ -8,10 +8,9 @@ a character other than white space after it.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 
-import numpy as np
-
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 
@@ -27,44 +26,59 @@ class Recent:
 
     def __init__(self, entries: int):
         self._entries = entries
-        self._new: dict = {}
+        self.new: dict = {}
         self._old: dict = {}
 
-    def take(self, keys: set) -> tuple[dict, list]:
-        """What is known of the keys, and the keys that are not."""
-        if len(self._new) > self._entries:
-            self._old, self._new = self._new, {}
-        new, old = self._new, self._old
-        missing = []
+    def age(self) -> dict:
+        """Start a generation if the present one is full. Returns the present one."""
+        if len(self.new) > self._entries:
+            self._old, self.new = self.new, {}
+        return self.new
+
+    def missing(self, keys: set) -> list:
+        """Those keys that neither generation has; what the older one has is taken over."""
+        new, old = self.new, self._old
+        out = []
         for key in keys.difference(new):
-            if key in old:
-                new[key] = old[key]
+            value = old.get(key)
+            if value is None:
+                out.append(key)
             else:
-                missing.append(key)
-        return new, missing
+                new[key] = value
+        return out
 
 
 class PartCache:
     """Token ids of parts; equal parts are encoded once as long as they are asked for."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], kind: str, entries: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 300_000):
         self._encode = encode
-        self._kind = np.dtype(kind)
+        # of the array module: bytes of an id
+        self._code = code
         # firsts are parts without a space before them
         self._first, self._rest = Recent(entries // 10), Recent(entries)
 
-    def _known(self, cache: Recent, parts: set[str], lead: str) -> dict[str, bytes]:
-        known, missing = cache.take(parts)
+    def _learn(self, cache: Recent, parts: set[str], lead: str) -> None:
+        known, missing = cache.new, cache.missing(parts)
         for part, ids in zip(missing, self._encode([lead + part for part in missing]), strict=True):
-            known[part] = np.array(ids, dtype=self._kind).tobytes()
-        return known
+            known[part] = array(self._code, ids).tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed."""
+        first, rest = self._first.age(), self._rest.age()
         split = [parts_of(text) for text in texts]
-        rests: set[str] = set()
+        starts = [parts[0] for parts in split]
+        self._learn(self._first, set(starts), "")
+        packed, unknown = [], set()
         for parts in split:
-            rests.update(parts[1:])
-        first = self._known(self._first, {parts[0] for parts in split}, "")
-        rest = self._known(self._rest, rests, " ").__getitem__
-        return [first[parts[0]] + b"".join(map(rest, parts[1:])) for parts in split]
+            del parts[0]
+            found = list(map(rest.get, parts))
+            if None in found:
+                unknown.update(part for part, value in zip(parts, found, strict=True) if value is None)
+                found = None
+            packed.append(found)
+        self._learn(self._rest, unknown, " ")
+        return [
+            first[start] + b"".join(map(rest.__getitem__, parts) if found is None else found)
+            for start, parts, found in zip(starts, split, packed, strict=True)
+        ]

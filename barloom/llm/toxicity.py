@@ -11,8 +11,8 @@ lexicon feature is toxic if its document is.
 3. The chain's weights are fitted on at most `WINDOWS` windows of training documents.
 4. Each whole text is scored exactly. Between words with features all steps are the same, so the
    forward and backward sums cross them by a power of the 2 x 2 step matrix.
-5. The probability of at least one toxic word and the expected number of them become the score by
-   a logistic fit on the training documents.
+5. The probability of at least one toxic word among those with features and the expected number of
+   them become the score by a logistic fit on the training documents.
 
 Only the text is an input of a score. Null and empty texts have no words and get the score of a
 text without toxic words. Rows with a null id are scored, and are neither held out nor trained on. Repeated
@@ -112,29 +112,32 @@ class Chain:
                 found.append((i, sum(values)))
         return found
 
-    def score(self, n: int, marked: list[tuple[int, float]]) -> tuple[float, float, list[float]]:
-        """Log-odds of at least one toxic word, expected toxic words among the marked, and the marginal of each of them."""
-        if not n:
-            return -math.inf, 0.0, []
+    def _ahead(self, n: int, marked: list[tuple[int, float]], toxic: bool) -> tuple[list[np.ndarray], float]:
+        """Forward sums at the marked words, scaled, and the log of the sum over all paths; without `toxic`
+        over those on which the marked words are clean."""
         step = np.exp(self.steps)
-        # forward: sums over all paths up to each marked word
-        ahead, log_ahead = [], []
+        found = []
         row, log_row, at = np.exp(self.start), 0.0, -1
         for place, weight in marked:
-            gap = place - at - 1
-            emission = np.array([1.0, math.exp(min(50.0, self.bias + weight))])
-            row, log_row, at = self._cross(row, log_row, gap, at < 0)
+            row, log_row = self._cross(row, log_row, place - at - 1, at < 0)
+            emission = np.array([1.0, math.exp(min(50.0, self.bias + weight)) if toxic else 0.0])
             row = (row if place == 0 else row @ step) * emission
             top = row.max()
             row, log_row, at = row / top, log_row + math.log(top), place
-            ahead.append(row)
-            log_ahead.append(log_row)
-        row, log_row, _ = self._cross(row, log_row, n - 1 - at, at < 0)
-        log_all = log_row + math.log(row.sum())
-        # the one path that is clean throughout
-        log_clean = float(self.start[0] + (n - 1) * self.steps[0, 0])
+            found.append(row)
+        row, log_row = self._cross(row, log_row, n - 1 - at, at < 0)
+        return found, log_row + math.log(row.sum())
+
+    def score(self, n: int, marked: list[tuple[int, float]]) -> tuple[float, float, list[float]]:
+        """Log-odds of at least one toxic word among the marked, their expected number, and the marginal of each. Words
+        without features do not count, however many there are."""
+        if not marked:
+            return -math.inf, 0.0, []
+        ahead, log_all = self._ahead(n, marked, True)
+        _, log_clean = self._ahead(n, marked, False)
         log_any = log_all + math.log(max(1e-300, -math.expm1(min(0.0, log_clean - log_all))))
         # backward
+        step = np.exp(self.steps)
         marginals = []
         column, place_after = np.ones(2), n
         for i in range(len(marked) - 1, -1, -1):
@@ -149,7 +152,7 @@ class Chain:
             place_after = marked[i][0]
         return log_any - log_clean, sum(marginals), marginals[::-1]
 
-    def _cross(self, row: np.ndarray, log_row: float, gap: int, first: bool) -> tuple[np.ndarray, float, int]:
+    def _cross(self, row: np.ndarray, log_row: float, gap: int, first: bool) -> tuple[np.ndarray, float]:
         """Go over `gap` words without features; the first word of a text has no step before it."""
         if gap and first:
             row = row * np.exp([0.0, self.bias])
@@ -159,7 +162,7 @@ class Chain:
             row = row @ matrix
             log_row += log_scale
         top = row.max()
-        return row / top, log_row + math.log(top), 0
+        return row / top, log_row + math.log(top)
 
 
 @dataclass
