@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.chunks import PartCache, Recent
+from barloom.llm.chunks import PartCache, Recent, text_slices
 from barloom.llm.common import as_rows, text_of
 
 # the splitting pattern of the rank files
@@ -54,7 +54,7 @@ class Ranks:
                 self.ends.setdefault(token[start:], -1)
             self.ends[token] = rank
         # by left * 2**32 + right
-        self._fits: dict[int, bool] = {}
+        self.known_pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, ...]] = {}
 
     @classmethod
@@ -90,11 +90,11 @@ class Ranks:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two stay as they are side by side."""
-        known = self._fits.get(left << 32 | right)
+        known = self.known_pairs.get(left << 32 | right)
         if known is None:
-            if len(self._fits) >= PAIRS:
-                self._fits.clear()
-            known = self._fits[left << 32 | right] = self.stands(right) and self._stay_apart(left, right)
+            if len(self.known_pairs) >= PAIRS:
+                self.known_pairs.clear()
+            known = self.known_pairs[left << 32 | right] = self.stands(right) and self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -128,13 +128,21 @@ class PrefixTable:
     def _last_tokens(self, data: bytes, first: int, stop: int) -> Iterator[int]:
         """For each end from first to before stop: of the tokens that end there, the one that starts the bytes or fits what
         comes before. Each is in `last` before the next is asked for."""
-        last, ends, fits, stands = self.last, self.ranks.ends.get, self.ranks.fits, self.ranks.stands
+        ranks, last, ends, known = self.ranks, self.last, self.ranks.ends.get, self.ranks.known_pairs.get
         for end in range(first, stop):
             for start in range(end - 1, -1, -1):
                 token = ends(data[start:end])
                 if token is None:
                     raise ValueError("the vocabulary lacks a byte")
-                if token >= 0 and (fits(last[start], token) if start else stands(token)):
+                if token < 0:
+                    continue
+                if start:
+                    fits = known(last[start] << 32 | token)
+                    if fits is None:
+                        fits = ranks.fits(last[start], token)
+                else:
+                    fits = ranks.stands(token)
+                if fits:
                     yield token
                     break
 
@@ -231,25 +239,49 @@ def _lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
 
 
+class Decoder:
+    """Bytes of ids, many at a time."""
+
+    def __init__(self, ranks: Ranks):
+        table = [ranks.bytes_of.get(i, b"") for i in range(max(ranks.bytes_of) + 1)]
+        self._flat = np.frombuffer(b"".join(table), dtype=np.uint8)
+        self._sizes = np.array([len(token) for token in table], dtype=np.int64)
+        self._begins = np.cumsum(self._sizes) - self._sizes
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        lengths = self._sizes[ids]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._begins[ids] - ends + lengths, lengths)
+        return self._flat[places].tobytes()
+
+
 def encode(
     docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", pattern: str = PATTERN, keep_rows: bool = False,
+    decoded: bool = False,
 ) -> DataFrame:
-    """One row per input row: doc_id, ids (array of int); with `keep_rows` also `_row`. `vocabulary` is the path of a rank
-    file, which every executor has."""
+    """One row per input row: doc_id, ids (array of int); with `keep_rows` also `_row`, with `decoded` the bytes that the ids
+    stand for, from the same pass. `vocabulary` is the path of a rank file, which every executor has."""
     rows = as_rows(docs, {"doc_id": docs[id_column], "_text": text_of(docs, text)})
     rows = rows if keep_rows else rows.drop("_row")
     kept = [field for field in rows.schema.fields if field.name != "_text"]
-    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]
+    if decoded:
+        added.append(T.StructField("decoded", T.BinaryType(), False))
+    schema = T.StructType([*kept, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary, pattern)
+        decoder = Decoder(encoder.ranks) if decoded else None
         for batch in batches:
-            # a few texts at a time bounds the parts held at once
-            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(start, TEXTS_AT_ONCE)
-                packed = encoder.encode_all(some.column("_text").to_pylist())
-                columns = [some.column(field.name) for field in kept]
-                yield pa.RecordBatch.from_arrays([*columns, _lists(packed)], names=schema.fieldNames())
+            texts = batch.column("_text").to_pylist()
+            # some texts at a time bounds the parts held at once
+            for part in text_slices(texts):
+                some = batch.slice(part.start, part.stop - part.start)
+                packed = encoder.encode_all(texts[part])
+                columns = [*(some.column(field.name) for field in kept), _lists(packed)]
+                if decoder:
+                    columns.append(pa.array([decoder.decode(np.frombuffer(ids, dtype="<i4")) for ids in packed], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return rows.mapInArrow(run, schema)
 
@@ -259,21 +291,13 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "de
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _encoder(vocabulary, PATTERN).ranks
-        table = [ranks.bytes_of.get(i, b"") for i in range(max(ranks.bytes_of) + 1)]
-        flat = np.frombuffer(b"".join(table), dtype=np.uint8)
-        sizes = np.array([len(token) for token in table], dtype=np.int64)
-        begins = np.cumsum(sizes) - sizes
+        decoder = Decoder(_encoder(vocabulary, PATTERN).ranks)
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = batch.slice(start, TEXTS_AT_ONCE)
-                texts = []
-                for listed in some.column(ids):
-                    tokens = listed.values.drop_null().to_numpy() if listed.is_valid else np.empty(0, dtype=np.int32)
-                    lengths = sizes[tokens]
-                    ends = np.cumsum(lengths)
-                    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[tokens] - ends + lengths, lengths)
-                    texts.append(flat[places].tobytes())
+                texts = [
+                    decoder.decode(listed.values.drop_null().to_numpy()) if listed.is_valid else b"" for listed in some.column(ids)
+                ]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.binary())], names=schema.fieldNames())
 
     return encoded.mapInArrow(run, schema)
@@ -281,7 +305,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "de
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the documents' ids and of what they decode to."""
-    found = decode(encode(docs, vocabulary), vocabulary)
+    found = encode(docs, vocabulary, decoded=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),

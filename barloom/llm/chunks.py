@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
@@ -21,6 +21,18 @@ def parts_of(text: str) -> list[str]:
     return text.split(" ") if _ODD.search(text) is None else _CUT.split(text)
 
 
+def text_slices(texts: list[str], characters: int = 4_000_000) -> Iterator[slice]:
+    """Slices of consecutive texts with about so many characters; a longer text is a slice of its own."""
+    start, total = 0, 0
+    for i, text in enumerate(texts):
+        if total and total + len(text) > characters:
+            yield slice(start, i)
+            start, total = i, 0
+        total += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 class Recent:
     """A dictionary of what was asked for lately: two generations of `entries` each."""
 

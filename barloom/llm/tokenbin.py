@@ -26,12 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.chunks import PartCache
+from barloom.llm.chunks import PartCache, text_slices
 from barloom.llm.common import stored, text_of
 from barloom.llm.wavelet import WaveletMatrix
 
 SHARD_IDS = 1 << 18
-TEXTS_AT_ONCE = 128
 
 SHARDS = "part int, shard int, n_ids long, doc_ids array<bigint>, sizes array<bigint>, file binary"
 _SHARD_ARROW = pa.schema([
@@ -105,9 +104,9 @@ def write_shards(
             )
 
         for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(start, TEXTS_AT_ONCE)
-                for doc_id, found in zip(some.column("_id").to_pylist(), words.encode_all(some.column("_text").to_pylist()), strict=True):
+            doc_ids, texts = batch.column("_id").to_pylist(), batch.column("_text").to_pylist()
+            for some in text_slices(texts):
+                for doc_id, found in zip(doc_ids[some], words.encode_all(texts[some]), strict=True):
                     found += end
                     ids.append(doc_id)
                     sizes.append(len(found) // len(end))
