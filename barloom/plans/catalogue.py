@@ -252,6 +252,20 @@ def sequence_patterns(spark, folder):
     return flagged.select("id", *SERIES, *patterns.SEQUENCE_PATTERNS)
 
 
+@query
+def tick_patterns(spark, folder):
+    """Sequence patterns over prices in five steps, where neighbours often share highs and lows."""
+
+    def step(price: Column) -> Column:
+        return (
+            F.when(price < 500, 100.0).when(price < 1000, 200.0).when(price < 2000, 300.0).when(price < 8000, 400.0).otherwise(500.0)
+        )
+
+    ticks = {c: step(F.col(c)) for c in ("open", "high", "low", "close")}
+    featured = candles.add_candle_features(month_bars(spark, folder).withColumns(ticks))
+    return patterns.add_sequence_patterns(featured).select("id", *SERIES, *patterns.SEQUENCE_PATTERNS)
+
+
 def _indicator(name: str, indicator: Indicator, *extra: str) -> None:
     def run(spark, folder):
         return indicator.apply(month_bars(spark, folder)).select("id", *SERIES, *indicator.info.display_name, *extra)

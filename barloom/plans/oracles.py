@@ -199,6 +199,15 @@ add(
         lag(body_perc) {W} AS p1, lag(body_perc, 2) {W} AS p2, lag(mid_point, 2) {W} AS m2,
         lag(low) {W} AS l1, lag(high) {W} AS h1 FROM featured)""",
 )
+def step(price: str) -> str:
+    return (f"CASE WHEN {price} < 500 THEN 100.0 WHEN {price} < 1000 THEN 200.0 WHEN {price} < 2000 THEN 300.0 "
+            f"WHEN {price} < 8000 THEN 400.0 ELSE 500.0 END::DOUBLE AS {price}")
+
+
+STEPS = ", ".join(step(price) for price in ("open", "high", "low", "close"))
+ORACLES["tick_patterns"] = ORACLES["sequence_patterns"].replace(
+    "featured AS (", f"ticks AS (SELECT * REPLACE ({STEPS}) FROM bars), featured AS ("
+).replace("AS daily_range\n  FROM bars)", "AS daily_range\n  FROM ticks)")
 
 # Exponential means by definition: every earlier row of the series with its weight.
 NUMBERED = f"numbered AS (SELECT *, row_number() {W} - 1 AS i FROM bars)"
