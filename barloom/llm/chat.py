@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stored
+from barloom.llm.common import drop_stored, stored
 
 PART = 256
 BLOCK = 1024
@@ -61,9 +61,15 @@ def _prefix_hashes(turns: DataFrame) -> DataFrame:
     )
     running = Window.partitionBy(*key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     inside = digests.select(*key, "_pos", *[F.bit_xor(c).over(running).alias(c) for c in ("_x", "_y")])
-    return inside.join(sums, key).select(
-        "_nocid", "_cid", "_pos", F.col("_x").bitwiseXOR(F.col("_x0")).alias("_a"), F.col("_y").bitwiseXOR(F.col("_y0")).alias("_b")
+    found = stored(
+        inside.join(sums, key).select(
+            "_nocid", "_cid", "_pos", F.col("_x").bitwiseXOR(F.col("_x0")).alias("_a"),
+            F.col("_y").bitwiseXOR(F.col("_y0")).alias("_b"),
+        ),
+        "hashes",
     )
+    drop_stored(digests, sums)
+    return found
 
 
 def maximal(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +80,7 @@ def maximal(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.expr(f"turn div {BLOCK}"), F.lit(-(2**62))).alias("_block"), "turn", "role", "text",
     )
     turns = stored(_positions(turns), "turns")
-    hashes = stored(_prefix_hashes(turns), "hashes")
+    hashes = _prefix_hashes(turns)
     ends = hashes.groupBy("_nocid", "_cid").agg(F.max(F.struct("_pos", "_a", "_b")).alias("_end"))
     ends = stored(ends.select("_nocid", "_cid", "_end.*"), "ends")
     # the hash at a last position is a whole conversation, all others are proper prefixes
@@ -85,7 +91,9 @@ def maximal(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min(F.struct("_nocid", "_cid")).alias("_id"), F.count(F.lit(1)).alias("n_copies")
     )
     kept = whole.join(prefixes, ["_pos", "_a", "_b"], "left_anti")
-    return turns, kept.select("_id.*", F.col("_pos").alias("n_turns"), "n_copies")
+    kept = stored(kept.select("_id.*", F.col("_pos").alias("n_turns"), "n_copies"), "kept")
+    drop_stored(hashes, ends)
+    return turns, kept
 
 
 def render(conversations: DataFrame, part: int = PART) -> DataFrame:
@@ -95,7 +103,7 @@ def render(conversations: DataFrame, part: int = PART) -> DataFrame:
     role = F.coalesce("role", F.lit("unknown"))
     body = F.coalesce("text", F.lit(""))
     shown = F.concat(F.lit(OPEN), role, F.lit("\n"), body, F.lit(CLOSE + "\n"))
-    pieces = turns.join(stored(kept, "kept"), ["_nocid", "_cid"]).select(
+    pieces = turns.join(kept, ["_nocid", "_cid"]).select(
         "_nocid", "_cid", "n_turns", "n_copies", F.expr(f"(_pos - 1) div {part}").alias("part"), "_pos", shown.alias("_shown"),
         F.when(F.col("role") == "assistant", F.char_length(body)).otherwise(0).cast("long").alias("_chars"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.session import scratch_path
+from barloom.sources.files import remove
 
 # a word is a run of bytes other than these (space, tab to carriage return)
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -38,17 +39,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with freed_shuffles(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
 
 
 def drop_stored(*frames: DataFrame) -> None:
-    """Delete intermediate tables that no later plan reads."""
+    """Delete intermediate tables, as returned by `stored`, that no later plan reads."""
     for df in frames:
-        jvm = df.sparkSession._jvm
-        folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-        for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.stored_at)
 
 
 def text_of(docs: DataFrame, column: str = "text") -> Column:

@@ -13,10 +13,12 @@ are copies like any others: one of them stays. An empty table gives an empty res
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import as_rows, original, stored, text_of
+from barloom.llm.common import as_rows, drop_stored, original, stored, text_of
 
 FIRST_WIDTH = 56
 GROWTH = 8
@@ -29,9 +31,13 @@ def _groups(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     return stored(counts.select(*keys, F.monotonically_increasing_id().alias("_group")), label)
 
 
-def _split(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
+def _split(rows: DataFrame, keys: list[str], label: str, then: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows with the number of their group, or none for a row alone; written as `then` wants them."""
+    groups = _groups(rows, keys, f"{label}-groups")
     # the same join at every size: how many groups there are decides nothing
-    return rows.join(_groups(rows, keys, f"{label}-groups").hint("merge"), keys, "left")
+    found = stored(then(rows.join(groups.hint("merge"), keys, "left")), label)
+    drop_stored(groups)
+    return found
 
 
 def find_copies(
@@ -48,12 +54,12 @@ def find_copies(
         F.substring("_body", 1, first_width).alias("_digit"),
     )
     done = F.col("_group").isNull() | (F.col("_bytes") <= first_width)
-    first = stored(
-        _split(rows, ["_bytes", "_digit"], "radix-0").select(
+    first = _split(
+        rows, ["_bytes", "_digit"], "radix-0",
+        lambda found: found.select(
             F.monotonically_increasing_id().alias("_rid"), *carried, "_id", "_sha", "_bytes", "_group",
             F.when(~done, F.expr(f"substring(_body, {first_width + 1})")).alias("_rest"),
         ),
-        "radix-0",
     )
     singles = first.where("_group IS NULL")
     members = [first.where("_group IS NOT NULL AND _rest IS NULL").select("_rid", F.lit(0).alias("_level"), "_group")]
@@ -65,11 +71,10 @@ def find_copies(
             F.expr(f"substring(_rest, {width + 1})").alias("_tail"),
         )
         ended = F.col("_bytes") <= seen + width
-        level_rows = stored(
-            _split(digits, ["_parent", "_digit"], f"radix-{level}").select(
-                "_rid", "_bytes", "_group", F.when(F.col("_group").isNotNull() & ~ended, F.col("_tail")).alias("_rest"),
-            ),
-            f"radix-{level}",
+        going_on = F.when(F.col("_group").isNotNull() & ~ended, F.col("_tail"))
+        level_rows = _split(
+            digits, ["_parent", "_digit"], f"radix-{level}",
+            lambda found, rest=going_on: found.select("_rid", "_bytes", "_group", rest.alias("_rest")),
         )
         members.append(
             level_rows.where("_group IS NOT NULL AND _rest IS NULL").select("_rid", F.lit(level).alias("_level"), "_group")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import as_rows, original, payloads, stored, text_of
+from barloom.llm.common import as_rows, drop_stored, original, payloads, stored, text_of
 from barloom.llm.components import components
 from barloom.llm.shingles import fingerprints, shingle_sets
 
@@ -116,8 +116,8 @@ def _posted(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links between classes, enough to connect all that links connect."""
+def _connected(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all classes that have a link."""
     posted = stored(_posted(sets, percent), "posted")
     groups = posted.groupBy("_n", "_own", "_posted").agg(F.min("_uid").alias("_gid"))
     members = stored(
@@ -147,9 +147,9 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     label = members.select("_uid", "_gid", "_n").join(
         star.groupBy(F.col("a").alias("_uid")).agg(F.min("b").alias("_to")), "_uid", "left"
     ).select("_uid", "_gid", "_n", F.least("_uid", "_to").alias("_one"))
-    label = stored(label, "labels")
-    hop = label.select(F.col("_uid").alias("_one"), F.col("_one").alias("_two"))
-    label = stored(label.join(hop, "_one").select("_uid", "_gid", "_n", F.col("_two").alias("_label")), "labels")
+    first_label = stored(label, "labels")
+    hop = first_label.select(F.col("_uid").alias("_one"), F.col("_one").alias("_two"))
+    label = stored(first_label.join(hop, "_one").select("_uid", "_gid", "_n", F.col("_two").alias("_label")), "labels")
 
     # parts of groups that have one label, in the lists of their group
     parts = label.select("_gid", "_label", "_n").distinct()
@@ -177,7 +177,9 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     two = label.select(F.col("_gid").alias("_gid2"), F.col("_label").alias("_label2"), F.col("_uid").alias("b"))
     expanded = pairs.join(one, ["_gid", "_label"]).join(two, ["_gid2", "_label2"]).select("a", "b")
     more = stored(_verified(expanded, sets, percent), "links")
-    return star.unionByName(more)
+    found = components(star.unionByName(more))
+    drop_stored(posted, members, entries, star, first_label, label, in_lists, more)
+    return found
 
 
 def _classes(docs: DataFrame, id_column: str, text: str, width: int, percent: int, keep_rows: bool) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +209,9 @@ def _classes(docs: DataFrame, id_column: str, text: str, width: int, percent: in
     )
     chosen = every.select("_rid", "_text").join(left, F.col("_rid") == F.col("_uid")).select("_uid", "_text")
     sets = stored(_with_shingles(chosen, width, percent, whole=True), "sets")
-    return every, components(_links(sets, percent))
+    found = _connected(sets, percent)
+    drop_stored(left, sets)
+    return every, found
 
 
 def near_copies(

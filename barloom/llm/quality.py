@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WORD_PATTERN, as_rows, let, original, stored, text_of
+from barloom.llm.common import WORD_PATTERN, as_rows, drop_stored, let, original, stored, text_of
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -131,7 +131,9 @@ def score_rows(
     """One row per input row: doc_id, the counts, base_failed, kept, score; with `keep_rows` also
     the input row as struct `_row`."""
     # BUCKETS doubles, as a constant of the plan
-    known = fit(docs, labels, id_column, text).first()["ratios"]
+    fitted = fit(docs, labels, id_column, text)
+    known = fitted.first()["ratios"]
+    drop_stored(fitted)
     ratios = F.split(F.lit(",".join(map(repr, known))), ",").cast("array<double>")
     carried = ["_row"] if keep_rows else []
     rows = as_rows(docs, {"_id": docs[id_column], "_text": text_of(docs, text)}).select(*carried, "_id", "_text")

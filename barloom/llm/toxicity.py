@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stored, text_of
+from barloom.llm.common import drop_stored, stored, text_of
 
 PER_CLASS = 3_000
 LEXICON = 5_000
@@ -329,11 +329,14 @@ def train(
 ) -> Model | None:
     """The model, or none where there is nothing to learn from."""
     training = _training_rows(docs, labels, id_column, text, per_class)
-    lexicon = _lexicon(training, LEXICON)
-    if not lexicon:
-        return None
-    chain = _fit_chain(_windows(training, lexicon, WINDOWS), lexicon)
-    return Model(chain, _fit_score(training, chain))
+    try:
+        lexicon = _lexicon(training, LEXICON)
+        if not lexicon:
+            return None
+        chain = _fit_chain(_windows(training, lexicon, WINDOWS), lexicon)
+        return Model(chain, _fit_score(training, chain))
+    finally:
+        drop_stored(training)
 
 
 def score_documents(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text") -> DataFrame:

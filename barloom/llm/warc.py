@@ -39,6 +39,7 @@ MIN_BYTES = 1000
 CHUNK = 1 << 18
 ARCHIVE_BYTES = 1 << 29
 READ_BYTES = 1 << 20
+READ_TASKS = 20_000
 DATE = "2020-01-01T00:00:00Z"
 ROWS_AT_ONCE = 512
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -255,8 +256,9 @@ def read_archives(manifest: DataFrame, folder: str, chunk: int = CHUNK, with_dat
                 if waiting:
                     yield pa.RecordBatch.from_pylist(waiting, schema=_CHUNKS_ARROW)
 
-    # archives are read by as many tasks as there are partitions
-    return manifest.select("archive").repartition("archive").mapInArrow(read, CHUNKS)
+    # a stated number of partitions is not merged, however small the manifest is
+    tasks = max(1, min(READ_TASKS, manifest.count()))
+    return manifest.select("archive").repartition(tasks).mapInArrow(read, CHUNKS)
 
 
 def archive_pages(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
