@@ -15,13 +15,13 @@ a component is what links connect. The steps:
    its own (the likely centre of a family of copies), expanded to members and verified.
 5. What this leaves: pairs of groups of a list that are not connected yet, filtered by the
    overlap that is possible at most, expanded and verified. Groups that the largest part of a
-   list already connects are not paired with each other, as that could not change a component. So a family
-   of k copies costs about k pairs, and no link that could change a component is lost.
+   list already connects are not paired with each other, as that could not change a component. So
+   a family of k copies costs about k pairs, and no link that could change a component is lost.
 6. Components of all verified links.
 
 No list, bucket or number of partners has a cap. Null text counts as empty; empty sets link
-with nothing. Null ids are smaller than no id: a component is named by its smallest id that is
-not null. Rows with the same id are documents of their own. Empty tables give empty results.
+with nothing. A component is named by its smallest id that is not null, and by null if it has none.
+Rows with the same id are documents of their own. Empty tables give empty results.
 """
 
 from __future__ import annotations
