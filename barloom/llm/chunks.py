@@ -63,7 +63,7 @@ class Recent:
 class PartCache:
     """Token ids of parts; equal parts are encoded once as long as they are asked for."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 600_000):
         self._encode = encode
         # of the array module: bytes of an id
         self._code = code

@@ -72,7 +72,8 @@ class WaveletMatrix:
         for shift in range(levels - 1, -1, -1):
             flags = (values & values.dtype.type(1 << shift)) != 0
             planes.append(_Plane.of(flags))
-            values = np.concatenate((values[~flags], values[flags]))
+            # places are faster to gather from than flags
+            values = np.concatenate((values.take(np.flatnonzero(~flags)), values.take(np.flatnonzero(flags))))
         return cls(planes, len(ids))
 
     def access(self, at: int) -> int:
@@ -121,8 +122,8 @@ class WaveletMatrix:
         for shift, plane in enumerate(reversed(self.planes)):
             flags = plane.flags()
             above = np.empty_like(values)
-            above[~flags] = values[: plane.zeros]
-            above[flags] = values[plane.zeros:] | values.dtype.type(1 << shift)
+            above[np.flatnonzero(~flags)] = values[: plane.zeros]
+            above[np.flatnonzero(flags)] = values[plane.zeros:] | values.dtype.type(1 << shift)
             values = above
         return values
 
