@@ -32,6 +32,20 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_FREE_SHUFFLES, before)
 
 
+_tracked: list[list[DataFrame]] = []
+
+
+@contextmanager
+def tracked() -> Iterator[list[DataFrame]]:
+    """Collects the tables that `stored` writes meanwhile."""
+    made: list[DataFrame] = []
+    _tracked.append(made)
+    try:
+        yield made
+    finally:
+        _tracked.pop()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends here, and
     executors lost later cost no recomputation of what came before."""
@@ -41,6 +55,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found.stored_at = path
+    for made in _tracked:
+        made.append(found)
     return found
 
 

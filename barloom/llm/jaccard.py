@@ -187,7 +187,9 @@ def _classes(docs: DataFrame, id_column: str, text: str, width: int, percent: in
     goes by the _rid of its first row."""
     rows = as_rows(docs, {"_id": docs[id_column], "_text": text_of(docs, text)})
     rows = rows.select(F.monotonically_increasing_id().alias("_rid"), *(["_row"] if keep_rows else []), "_id", "_text")
-    every = stored(_with_shingles(rows, width, percent, whole=False), "shingled")
+    every = _with_shingles(rows, width, percent, whole=False)
+    # the text is stored once
+    every = stored(every.drop("_text") if keep_rows else every, "shingled")
 
     key = ["_n", "_f1", "_f2"]
     # shingles that one class only has
@@ -207,7 +209,8 @@ def _classes(docs: DataFrame, id_column: str, text: str, width: int, percent: in
         .select("_uid"),
         "classes",
     )
-    chosen = every.select("_rid", "_text").join(left, F.col("_rid") == F.col("_uid")).select("_uid", "_text")
+    texts = every.select("_rid", F.coalesce(F.col("_row")[text].cast("string"), F.lit("")).alias("_text") if keep_rows else "_text")
+    chosen = texts.join(left, F.col("_rid") == F.col("_uid")).select("_uid", "_text")
     sets = stored(_with_shingles(chosen, width, percent, whole=True), "sets")
     found = _connected(sets, percent)
     drop_stored(left, sets)
