@@ -63,8 +63,13 @@ class Recent:
 class PartCache:
     """Token ids of parts; equal parts are encoded once as long as they are asked for."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 600_000):
+    def __init__(
+        self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 600_000,
+        encode_joined: Callable[[list[str]], list[bytes]] | None = None,
+    ):
         self._encode = encode
+        # packed ids of parts that begin with a space, if there is a faster way for those
+        self._joined = encode_joined
         # of the array module: bytes of an id
         self._code = code
         # firsts are parts without a space before them
@@ -72,6 +77,9 @@ class PartCache:
 
     def _learn(self, cache: Recent, parts: set[str], lead: str) -> None:
         known, missing = cache.new, cache.missing(parts)
+        if lead and missing and self._joined:
+            known.update(zip(missing, self._joined([lead + part for part in missing]), strict=True))
+            return
         for part, ids in zip(missing, self._encode([lead + part for part in missing]), strict=True):
             known[part] = array(self._code, ids).tobytes()
 

@@ -59,11 +59,21 @@ class Vocabulary:
             rules.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") is True
             and not before.get("add_prefix_space")
         )
-        self._cache = PartCache(self._encode, "H" if self.levels <= 16 else "I")
+        self._cache = PartCache(self._encode, "H" if self.levels <= 16 else "I", encode_joined=self._encode_joined)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _encode_joined(self, parts: list[str]) -> list[bytes]:
+        """Parts that begin with a space, as one text: no token lies across two of them."""
+        found = self._tokenizer.encode("".join(parts), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=self.kind).tobytes()
+        # a token ends within its part or at its end, also where white space is left out of its place
+        token_ends = np.fromiter((end for _, end in found.offsets), dtype=np.int64, count=len(found.ids))
+        part_ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
+        cuts = (np.searchsorted(token_ends, part_ends, side="right") * np.dtype(self.kind).itemsize).tolist()
+        return [ids[start:end] for start, end in zip([0, *cuts], cuts, strict=False)]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         if self._cuts:

@@ -52,6 +52,17 @@ def test_encoder_equals_the_library(ranks, library):
             assert np.frombuffer(packed, dtype="<i4").tolist() == library.encode_ordinary(text)
 
 
+def test_shard_vocabulary_equals_the_library():
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    texts = [*random_texts(6000, 9), *[" ".join(random_texts(40, seed)) for seed in range(20, 60)], "<|endoftext|> x", "a" * 3000]
+    vocabulary = tokenbin.Vocabulary(JSON)
+    for start in range(0, len(texts), 500):
+        some = texts[start:start + 500]
+        want = [found.ids for found in tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(x, dtype="<u2").tolist() for x in vocabulary.encode_all(some)] == want
+
+
 def test_pairs_fit_as_merging_says(ranks):
     rng = random.Random(3)
     ids = list(ranks.bytes_of)
