@@ -112,11 +112,13 @@ class Scanner:
             for i, number in uses:
                 notice = self.notices[i]
                 length = len(notice.text.split())
-                low = max(0, at - number - notice.edits)
-                if (i, low) in tried:
+                # where the notice would start, also before the text; clamped, different windows would look alike
+                begin = at - number
+                if (i, begin) in tried:
                     continue
-                tried.add((i, low))
-                high = min(len(starts), at - number + length + notice.edits + 1)
+                tried.add((i, begin))
+                low = max(0, begin - notice.edits)
+                high = min(len(starts), begin + length + notice.edits + 1)
                 window = " ".join(text[starts[w]:ends[w]].decode("latin-1") for w in range(low, high))
                 for match in self.patterns[i].finditer(window, overlapped=True):
                     first = low + window.count(" ", 0, match.start())

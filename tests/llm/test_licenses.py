@@ -84,6 +84,19 @@ def test_notices_with_errors_are_found_and_spans_verified(documents):
             assert any(distance(span, n.text) <= find["edits"] <= n.edits for n in by_label[find["label"]])
 
 
+def test_seed_words_before_a_notice_at_the_start_hide_nothing(documents):
+    shown = [
+        ("License\n\nThe Mozilla Public License Version 2.0", "mpl"), ("License: GNU Lesser General Public License v3", "lgpl"),
+        ("Source code license: Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ]
+    for notice in licenses.NOTICES:
+        for word in sorted({word for word, _ in licenses.seeds(notice)}):
+            shown += [(f"{'x ' * before}{word} {'y ' * between}{notice.text} z", notice.label) for before in range(2) for between in range(4)]
+    got = {row["doc_id"]: row for row in licenses.scan(documents([(i, text) for i, (text, _) in enumerate(shown)])).collect()}
+    for i, (text, label) in enumerate(shown):
+        assert any(find["label"] == label and find["edits"] == 0 for find in got[i]["finds"]), (text, label)
+
+
 def test_clean_texts_have_no_finds(documents):
     rows = [(i, "a license for the general public and software by permission of the source " * 3) for i in range(5)]
     assert all(not row["finds"] and row["score"] == 0 for row in licenses.scan(documents(rows)).collect())
