@@ -5,7 +5,9 @@ documents, one of the whole corpus. A document's score is the mean of log(truste
 its n-grams, so length plays no part; it is kept if it has no failed base rule and its score
 reaches a fixed threshold. All documents are counted, whole; the trusted side is fitted on at
 most `TRUSTED_DOCUMENTS` of the labelled documents of good quality, those with the smallest
-hash of their id, so that their ids can be broadcast. Everything is column expressions.
+hash of their id, so that their ids can be broadcast. With `copies_once` each distinct text counts
+once on either side, trusted if any of its ids is: counted per row, a text with many copies weighs in the corpus only,
+and the score of a clean one falls with their number. Everything is column expressions.
 
 Null text counts as empty: no words, base_failed. Null ids are never trusted. Repeated rows are scored alike,
 each as a row. Without trusted documents all scores are 0. An empty table gives an empty result.
@@ -102,13 +104,19 @@ def trusted_ids(labels: DataFrame, at_most: int = TRUSTED_DOCUMENTS) -> DataFram
     return chosen.limit(at_most).select("_trusted")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def fit(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", copies_once: bool = False,
+) -> DataFrame:
     """One row with array `ratios`: log(trusted / corpus) of every bucket."""
     rows = docs.select(docs[id_column].alias("_id"), text_of(docs, text).alias("_text"))
     # at most TRUSTED_DOCUMENTS ids
     known = F.broadcast(trusted_ids(labels))
     rows = rows.join(known, F.col("_id") == F.col("_trusted"), "left")
-    grams = rows.select(F.col("_trusted").isNotNull().cast("long").alias("_good"), let(_hashes(F.col("_text")), _grams).alias("_b"))
+    rows = rows.select("_text", F.col("_trusted").isNotNull().cast("long").alias("_good"))
+    if copies_once:
+        # copies are combined before the shuffle
+        rows = rows.groupBy("_text").agg(F.max("_good").alias("_good"))
+    grams = rows.select("_good", let(_hashes(F.col("_text")), _grams).alias("_b"))
     counts = grams.select("_good", F.explode("_b").alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_good").alias("good")
     )
@@ -126,12 +134,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
 
 def score_rows(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-    keep_rows: bool = False,
+    keep_rows: bool = False, copies_once: bool = False,
 ) -> DataFrame:
     """One row per input row: doc_id, the counts, base_failed, kept, score; with `keep_rows` also
     the input row as struct `_row`."""
     # BUCKETS doubles, as a constant of the plan
-    fitted = fit(docs, labels, id_column, text)
+    fitted = fit(docs, labels, id_column, text, copies_once)
     known = fitted.first()["ratios"]
     drop_stored(fitted)
     ratios = F.split(F.lit(",".join(map(repr, known))), ",").cast("array<double>")
@@ -164,6 +172,8 @@ def score_rows(
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_good(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", copies_once: bool = False,
+) -> DataFrame:
     """The input rows that the rules keep."""
-    return original(score_rows(docs, labels, id_column, text, keep_rows=True).where("kept"))
+    return original(score_rows(docs, labels, id_column, text, keep_rows=True, copies_once=copies_once).where("kept"))

@@ -39,7 +39,7 @@ def op5_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.score_rows(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return quality.score_rows(_table(spark, folder, "documents"), _table(spark, folder, "labels"), copies_once=True)
 
 
 def op7_license_notices(spark: SparkSession, folder: str) -> DataFrame:

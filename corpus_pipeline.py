@@ -45,7 +45,7 @@ def _stage(body: Stage) -> Stage:
 
 @_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), copies_once=True)
 
 
 @_stage

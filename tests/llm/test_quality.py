@@ -7,7 +7,9 @@ from collections import Counter
 import pytest
 import xxhash
 
+import corpus_pipeline
 from barloom.llm import quality
+from barloom.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
@@ -109,3 +111,41 @@ def test_without_documents_or_trusted_ones(documents, labels, rows):
 def test_trusted_ids_are_bounded(labels):
     assert {row[0] for row in quality.trusted_ids(labels).collect()} == {100 + i for i in range(1, 40)} | {9999}
     assert quality.trusted_ids(labels, 5).count() == 5
+
+
+def distinct(rows, trusted):
+    """Each text once, with an id that is trusted if any of its ids is."""
+    return [(next((i for i, other in rows if other == text and i in trusted), None), text) for text in dict.fromkeys(text for _, text in rows)]
+
+
+def test_copies_count_once(documents, labels, rows):
+    trusted = {100 + i for i in range(1, 40)}
+    # copies of a trusted text under other ids, and of one that is not labelled
+    rows = rows + [(500, rows[-44][1]), *((501 + i, rows[-30][1]) for i in range(9))]
+    texts = distinct(rows, trusted)
+    score_of = dict(zip((text for _, text in texts), scores(texts, trusted), strict=True))
+    got = quality.score_rows(documents(rows), labels, copies_once=True).collect()
+    assert sorted((repr(r["doc_id"]), round(r["score"], 9)) for r in got) == sorted((repr(i), round(score_of[text], 9)) for i, text in rows)
+
+
+@pytest.fixture
+def crowded():
+    """Documents of which one clean text without a label is a third of the rows, and the ids of its copies."""
+    common = [f"word{i}" for i in range(80)]
+    docs = [(i, " ".join(common[(i * 7 + j * j + i * j) % 80] for j in range(40))) for i in range(400)]
+    return docs + [(1000 + i, docs[399][1]) for i in range(199)], {399, *range(1000, 1199)}
+
+
+@pytest.mark.parametrize("kept_ids", [
+    lambda spark, folder: {r["doc_id"] for r in QUERIES["op6_quality_rules"](spark, folder).where("kept").collect()},
+    lambda spark, folder: {
+        r["doc_id"] for r in corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()
+    },
+], ids=["op6_quality_rules", "pipeline"])
+def test_a_clean_text_with_a_third_of_the_rows_is_kept(spark, documents, crowded, tmp_path, kept_ids):
+    rows, copies = crowded
+    assert 3 * len(copies) >= len(rows)
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    good = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    good.write.parquet(f"{tmp_path}/labels.parquet")
+    assert copies <= kept_ids(spark, str(tmp_path))
