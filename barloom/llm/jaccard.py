@@ -202,7 +202,8 @@ def _classes(docs: DataFrame, id_column: str, text: str, width: int, percent: in
     )
     # outside the slice a shingle is known to be a set's own only where all sets that can link with it send all of theirs
     own = F.when(F.col("_n") * 100 <= SMALL_SET * percent, F.col("_lone_sent")).otherwise(F.col("_lone_slice"))
-    classes = every.where("_n > 1").groupBy(*key).agg(F.min("_rid").alias("_uid"))
+    # one shingle is at most half of a larger set, so above that a class of one links with nothing
+    classes = every.where("_n > 1" if percent > 50 else "_n > 0").groupBy(*key).agg(F.min("_rid").alias("_uid"))
     left = stored(
         classes.join(lone, "_f1", "left")
         .where((F.col("_n") - F.coalesce(own, F.lit(0))) * 100 >= F.col("_n") * percent)

@@ -89,6 +89,13 @@ def test_near_copies_equal_brute_force(documents, mixed_rows, width, percent):
     assert sorted((tuple(row) for row in got.collect()), key=repr) == expected_components(mixed_rows, width, percent)
 
 
+def test_sets_of_one_shingle_link_where_the_percentage_allows_it(documents, mixed_rows):
+    rows = [(1, "a b c d"), (2, "a b c d e"), (3, "b c d e"), (4, "v w x y"), (5, "v w x y z z"), (6, "k l m n")] + mixed_rows
+    for percent in (50, 51):
+        got = jaccard.near_copies(documents(rows), width=4, percent=percent).select("doc_id", "n_shingles", "component_id")
+        assert sorted((tuple(row) for row in got.collect()), key=repr) == expected_components(rows, 4, percent)
+
+
 def test_near_copies_of_odd_texts(documents, odd_texts):
     got = jaccard.near_copies(documents(odd_texts), width=4, percent=85)
     rows = got.select("doc_id", "n_shingles", "component_id", "component_size", "kept").collect()
