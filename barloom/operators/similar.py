@@ -47,16 +47,17 @@ def reduce_windows(windows: DataFrame, components: int = 12) -> DataFrame:
 def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20) -> DataFrame:
     """The `top` windows most similar to the first window in `sample`, the sample left out.
 
-    `sample` has rows (code, candle, end_time, values); one of them becomes constants, so
+    `sample` has rows (code, candle, end_time, prices, values); one of them becomes constants, so
     the other windows are only scanned, not joined.
     """
-    one = sample.select("code", "candle", "end_time", "values").first()
+    one = sample.select("code", "candle", "end_time", "values", F.size("prices").alias("size")).first()
     if one is None:
         raise ValueError("no sample window")
     wanted = F.array(*(F.lit(value) for value in one["values"]))
     length = F.sqrt(_dot(F.col("values"), F.col("values"))) * F.sqrt(_dot(wanted, wanted))
-    is_sample = (F.col("code") == one["code"]) & (F.col("end_time") == F.lit(one["end_time"]))
-    others = reduced.where((F.col("candle") == one["candle"]) & ~is_sample)
+    # null keys form a series too
+    is_sample = F.col("code").eqNullSafe(F.lit(one["code"])) & F.col("end_time").eqNullSafe(F.lit(one["end_time"]))
+    others = reduced.where(F.col("candle").eqNullSafe(F.lit(one["candle"])) & ~is_sample)
     ranked = others.withColumn("similarity", F.try_divide(_dot(F.col("values"), wanted), length))
     return (
         ranked.orderBy(F.desc_nulls_last("similarity"), "code", "end_time")
@@ -64,6 +65,9 @@ def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20) -> Dat
         .select(
             F.lit(one["code"]).alias("sample_code"),
             "candle",
+            # the sample's own
+            F.lit(one["size"]).cast("int").alias("window_size"),
+            wanted.alias("sample_values"),
             "code",
             rfc3339(F.col("end_time")).alias("end_time"),
             "similarity",

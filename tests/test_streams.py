@@ -113,6 +113,18 @@ def test_similar_windows_find_the_same_shape(spark):
     assert first.end_time == f"{base.trade_time.iloc[-1]:%Y-%m-%d}T00:00:00Z"
 
 
+def test_similar_windows_name_the_sample_and_keep_null_codes(spark):
+    base = walk("A", 40, 1)
+    pdf = pd.concat([base, base.assign(code=None, close=base.close * 3)])
+    reduced = similar.reduce_windows(similar.price_windows(spark_bars(spark, pdf), 12), 4)
+    sample = reduced.where("code = 'A'").orderBy(F.desc("end_time"))
+    found = similar.similar_windows(reduced, sample, top=100).collect()
+    assert len(found) == 2 * 29 - 1 and found[0].code is None and abs(found[0].similarity - 1) < 1e-9
+    assert {(row.window_size, tuple(row.sample_values)) for row in found} == {(12, tuple(sample.first()["values"]))}
+    keyless = reduced.withColumn("candle", F.lit(None).cast("string"))
+    assert similar.similar_windows(keyless, keyless.where("code IS NULL"), top=100).count() == 2 * 29 - 1
+
+
 def test_pages_put_missing_profits_last_or_first(spark):
     rows = [(1, '{"name":"s"}', '{"total_return": 5}'), (2, '{"name":"s"}', "{}"), (3, '{"name":"s"}', '{"total_return": 10.5}'),
             (4, '{"name":"t"}', '{"total_return": 7}')]
