@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, chat, dedup, jaccard, licenses, mixing, quality, tokenbin, toxicity, warc
+from barloom.llm import alignment, bpe, chat, dedup, jaccard, licenses, mixing, quality, tokenbin, toxicity, warc
 
 END_ID = 2
 
@@ -60,6 +60,11 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a_path, b_path = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_table(spark, folder, "documents"), a_path, b_path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_snapshots": op1_chat_snapshots,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_spans": op8_toxic_spans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
