@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import alignment, bpe, chat, dedup, jaccard, licenses, mixing, quality, tokenbin, toxicity, warc
+from barloom.llm import alignment, bpe, chat, dedup, jaccard, licenses, mixing, negatives, quality, tokenbin, toxicity, warc
 
 END_ID = 2
 
@@ -60,6 +61,13 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    vec_id, label = rows["vec_id"], rows["label"]
+    noisy = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(rows, vec_id % 100 == 0, noisy)
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     a_path, b_path = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.align(_table(spark, folder, "documents"), a_path, b_path)
@@ -76,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_spans": op8_toxic_spans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -83,6 +92,7 @@ ORACLES: dict[str, str] = {
     "op1_chat_snapshots": chat.ORACLE,
     "op4_mixing": mixing.ORACLE,
     "op5_warc_chunks": warc.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
     "op9_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
