@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import alignment, bpe, chat, dedup, jaccard, licenses, mixing, negatives, quality, tokenbin, toxicity, warc
+from barloom.llm import alignment, bpe, chat, dedup, jaccard, language, licenses, mixing, negatives, quality, tokenbin, toxicity, warc
 
 END_ID = 2
 
@@ -61,6 +61,11 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_word_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     vec_id, label = rows["vec_id"], rows["label"]
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_spans": op8_toxic_spans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_word_languages": op11_word_languages,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_alignment": op13_token_alignment,
 }
