@@ -35,7 +35,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # pairs whose fit is kept per worker
 PAIRS = 400_000
 # matches whose ids are kept per worker, twice
-PIECES = 100_000
+PIECES = 50_000
 TEXTS_AT_ONCE = 256
 
 

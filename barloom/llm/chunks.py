@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
@@ -21,7 +22,7 @@ def parts_of(text: str) -> list[str]:
     return text.split(" ") if _ODD.search(text) is None else _CUT.split(text)
 
 
-def text_slices(texts: list[str], characters: int = 4_000_000) -> Iterator[slice]:
+def text_slices(texts: list[str], characters: int = 1_000_000) -> Iterator[slice]:
     """Slices of consecutive texts with about so many characters; a longer text is a slice of its own."""
     start, total = 0, 0
     for i, text in enumerate(texts):
@@ -33,18 +34,32 @@ def text_slices(texts: list[str], characters: int = 4_000_000) -> Iterator[slice
         yield slice(start, len(texts))
 
 
+# what an entry of a dictionary takes besides the letters and bytes of its key and value
+_ENTRY = 190
+
+
 class Recent:
-    """A dictionary of what was asked for lately: two generations of `entries` each."""
+    """A dictionary of what was asked for lately: two generations of `entries` each, and of about `size` bytes if that is stated."""
 
-    def __init__(self, entries: int):
+    def __init__(self, entries: int, size: int | None = None):
         self._entries = entries
+        self._size = size
         self.new: dict = {}
         self._old: dict = {}
+        self._seen = self._letters = 0
 
     def age(self) -> dict:
         """Start a generation if the present one is full. Returns the present one."""
-        if len(self.new) > self._entries:
+        added = len(self.new) - self._seen
+        if added and self._size is not None:
+            # some of the newest entries stand for all that came since the last look
+            some = list(islice(reversed(self.new.items()), min(added, 1_000)))
+            self._letters += added * sum(len(key) + len(value) for key, value in some) // len(some)
+            self._seen += added
+        full = self._size is not None and self._letters + self._seen * _ENTRY > self._size
+        if full or len(self.new) > self._entries:
             self._old, self.new = self.new, {}
+            self._seen = self._letters = 0
         return self.new
 
     def missing(self, keys: set) -> list:
@@ -61,10 +76,11 @@ class Recent:
 
 
 class PartCache:
-    """Token ids of parts; equal parts are encoded once as long as they are asked for."""
+    """Token ids of parts; equal parts are encoded once as long as they are asked for. Both generations together hold
+    about twice `size` bytes, as workers live on and keep them."""
 
     def __init__(
-        self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 600_000,
+        self, encode: Callable[[list[str]], list[list[int]]], code: str, entries: int = 600_000, size: int = 24_000_000,
         encode_joined: Callable[[list[str]], list[bytes]] | None = None,
     ):
         self._encode = encode
@@ -73,7 +89,7 @@ class PartCache:
         # of the array module: bytes of an id
         self._code = code
         # firsts are parts without a space before them
-        self._first, self._rest = Recent(entries // 10), Recent(entries)
+        self._first, self._rest = Recent(entries // 10, size // 10), Recent(entries, size)
 
     def _learn(self, cache: Recent, parts: set[str], lead: str) -> None:
         known, missing = cache.new, cache.missing(parts)

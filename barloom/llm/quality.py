@@ -114,8 +114,10 @@ def fit(
     rows = rows.join(known, F.col("_id") == F.col("_trusted"), "left")
     rows = rows.select("_text", F.col("_trusted").isNotNull().cast("long").alias("_good"))
     if copies_once:
-        # copies are combined before the shuffle
-        rows = rows.groupBy("_text").agg(F.max("_good").alias("_good"))
+        # copies are combined before the shuffle. The key is a digest, as tables of whole texts take memory; a text as the
+        # aggregated value is sorted by key instead, and spills
+        key = (F.octet_length("_text").alias("_size"), F.sha2(F.col("_text").cast("binary"), 256).alias("_sha"))
+        rows = rows.groupBy(*key).agg(F.max("_good").alias("_good"), F.first("_text").alias("_text")).select("_text", "_good")
     grams = rows.select("_good", let(_hashes(F.col("_text")), _grams).alias("_b"))
     counts = grams.select("_good", F.explode("_b").alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_good").alias("good")

@@ -59,7 +59,7 @@ class Vocabulary:
             rules.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") is True
             and not before.get("add_prefix_space")
         )
-        self._cache = PartCache(self._encode, "H" if self.levels <= 16 else "I", encode_joined=self._encode_joined)
+        self._cache = PartCache(self._encode, "H" if self.levels <= 16 else "I", size=64_000_000, encode_joined=self._encode_joined)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
