@@ -44,6 +44,7 @@ SEGMENT = 64
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 
+_HASHES = 2**31
 _BASE = 0x9E3779B97F4A7C15
 _KINDS = {"first": 1, "last": 2, "inside": 3}
 
@@ -250,12 +251,17 @@ class Model:
 def _training_rows(docs: DataFrame, id_column: str, text: str, language: str, per_language: int) -> DataFrame:
     rows = docs.select(docs[id_column].alias("_id"), docs[language].cast("string").alias("_lang"), text_of(docs, text).alias("_text"))
     rows = rows.where("_id IS NOT NULL AND _lang IS NOT NULL").where(~held_out(F.col("_id")))
-    # limited per input partition before the shuffle
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = rows.select("_id", "_lang").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+    # a language's share of hash values is chosen so that about four times as many rows as needed are left to be numbered
+    sizes = stored(rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_rows")), "languages")
+    share = F.lit(4.0 * per_language * _HASHES) / F.col("_rows")
+    near = rows.select("_id", "_lang").join(sizes, "_lang").where(F.pmod(F.xxhash64("_id"), F.lit(_HASHES)) <= share)
+    order = Window.partitionBy("_lang").orderBy(F.pmod(F.xxhash64("_id"), F.lit(_HASHES)), "_id")
+    chosen = near.select("_id", "_lang").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
     # ids that several rows have are one training row
     found = rows.join(chosen.select("_id", "_lang"), ["_id", "_lang"]).groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))
-    return stored(found, "training")
+    training = stored(found, "training")
+    drop_stored(sizes)
+    return training
 
 
 def _word_counts(training: DataFrame, at_most: int) -> list[str]:
