@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.functions.numeric import safe_ln
 from barloom.functions.times import to_time
 from barloom.operators.clean import drop_incomplete, first_per_date
-from barloom.operators.series import BARS, Frame, SeriesSpec, decide, over_rows, running_sum
+from barloom.operators.series import BARS, Frame, SeriesSpec, over_rows, running_sum
 
 Basis = Literal["rows", "calendar"]
 DAYS_PER_YEAR = 365.25
@@ -38,7 +38,6 @@ def preprocess_bars(df: DataFrame, spec: SeriesSpec = BARS) -> DataFrame:
     if dict(df.dtypes)["trade_time"] == "string":
         typed = typed.withColumn("trade_time", to_time(F.col("trade_time"))).dropna(subset=["trade_time"])
     daily = first_per_date(typed, spec.keys, (spec.time, *spec.tie))
-    spec = decide(daily, spec)
     returns = add_log_returns(daily, spec=spec)
     return add_growth(returns, spec=spec).drop("id")
 

@@ -1,30 +1,32 @@
 """Row-ordered work on bar series that stays parallel when one series is huge.
 
-A window partitioned by (code, candle) puts a whole series into one task. That is
-the best plan while every series is small, and unusable when one series holds a
-third of a large table. `over_rows` measures the longest series and picks:
-
-* short series: plain windows per series, one shuffle;
-* long series: every row gets its exact position in its series, the series is cut into
-  blocks with equally many rows that have a value (`observed`), and the rows with the last
-  `back` values of a block are copied in front of the next one. Windows then run per
-  block, so no task ever holds more than one block and the rows without value within it.
-
-Both give the same rows, also where keys or values are null. Positions come from counts
-per time slice, never from a window over the whole series.
+A window partitioned by (code, candle) puts a whole series into one task. Instead every row gets its
+exact position in its series and the series is cut into blocks with equally many rows
+that have a value (`observed`); the rows with the last `back` values of a block are copied in front of the next one.
+Windows then run per block, so no task holds more than one block and the rows without value within it.
+
+Positions come from counts per slice of time, never from a window over the whole series. How wide a slice is
+follows from the rows themselves, by an aggregate within the query: as wide as a block's rows are on
+average in the densest of the series that are longer than a block; without such a series there is one slice. Nothing is
+measured while a plan is built, and all sizes take the same way. A block has as many rows as fit the session's advisory
+partition size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+import re
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-POSITION, SEEN, BLOCK, OWNED, SLICE = "_pos", "_seen", "_blk", "_own", "_slice"
-SLICE_UNITS = ("DAY", "HOUR", "MINUTE", "SECOND")
+POSITION, SEEN, BLOCK, OWNED, SLICE, _SLOT = "_pos", "_seen", "_blk", "_own", "_slice", "_slot"
+# rows without time come first
+_BEFORE_ALL = -(2**62)
+_UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
 
 
 @dataclass(frozen=True)
@@ -37,16 +39,8 @@ class SeriesSpec:
     tie: tuple[str, ...] = ("id",)
     # rows without this value do not count towards a block or the rows before it
     observed: str = "close"
-    # a series up to this many rows is one window partition
-    whole_rows: int = 1_000_000
-    block_rows: int = 262_144
-    # positions are counted per slice of time, so a slice must fit in a task; None takes
-    # the longest unit whose slices have at most `whole_rows` rows
-    slice_unit: str | None = None
-    # None measures the data; True / False fix the choice
-    split: bool | None = None
-    # rows of the longest series, once measured
-    longest: int | None = None
+    # rows of a block; None follows the session's advisory partition size
+    block_rows: int | None = None
 
     def order(self, df: DataFrame) -> tuple[str, ...]:
         return (self.time, *(c for c in self.tie if c in df.columns))
@@ -57,11 +51,10 @@ BARS = SeriesSpec()
 
 @dataclass(frozen=True)
 class Frame:
-    """The window partition a computation runs in: a series or one block of it."""
+    """The window partition a computation runs in: one block of a series."""
 
     parts: tuple[str, ...]
     by: tuple[str, ...]
-    split: bool = False
     # a column that never falls along the series: sorting by it first changes nothing,
     # but lets windows share the sort of others that need it
     lead: tuple[str, ...] = ()
@@ -79,79 +72,88 @@ def longest_series(df: DataFrame, spec: SeriesSpec = BARS) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def decide(df: DataFrame, spec: SeriesSpec = BARS) -> SeriesSpec:
-    """Fix `split` from the data, so that several steps share one measurement."""
-    if spec.split is not None:
-        return spec
-    return _measured(df, spec)
+def _row_bytes(schema: T.StructType) -> int:
+    """A row's size as a plan assumes it: texts 20 bytes, other values 8."""
+    return 8 + sum(20 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 8 for f in schema.fields)
 
 
-def _measured(df: DataFrame, spec: SeriesSpec) -> SeriesSpec:
-    longest = longest_series(df, spec) if spec.longest is None else spec.longest
-    split = longest > spec.whole_rows if spec.split is None else spec.split
-    return replace(spec, longest=longest, split=split)
+def block_rows(df: DataFrame, spec: SeriesSpec) -> int:
+    if spec.block_rows is not None:
+        return spec.block_rows
+    size = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgt]?)b?", size.strip().lower()).groups()
+    return max(1, int(number) * _UNITS[unit] // _row_bytes(df.schema))
 
 
-def _sliced(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, SeriesSpec]:
-    """Add the time slice of each row, and fix its unit."""
+def _names_of(on: Sequence[str], column_names: Sequence[str]) -> str:
+    name = "_key"
+    while name in column_names or name in on:
+        name += "_"
+    return name
 
-    def sliced(unit: str) -> DataFrame:
-        return df.withColumn(SLICE, F.date_trunc(unit, F.col(spec.time)))
 
-    if spec.slice_unit is None:
-        by_slice = replace(spec, keys=(*spec.keys, SLICE))
-        for unit in SLICE_UNITS[:-1]:
-            if longest_series(sliced(unit), by_slice) <= spec.whole_rows:
-                break
-        else:
-            unit = SLICE_UNITS[-1]
-        spec = replace(spec, slice_unit=unit)
-    return sliced(spec.slice_unit), spec
+def join_back(df: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join an aggregate back to its rows; null keys match, as a null group is a group.
 
+    The keys are compared as one struct, which makes nulls equal. It also gives the aggregate a shuffle of its own for the join
+    (its keys' partitioning says nothing about the struct's), so adaptive execution can split a hot key's rows over
+    tasks, which it does not where an aggregate is joined straight from its own shuffle.
+    """
+    key = _names_of(on, [*df.columns, *right.columns])
+    keyed = right.select(F.struct(*on).alias(key), *(c for c in right.columns if c not in on))
+    return df.withColumn(key, F.struct(*on)).join(keyed, key, how).drop(key)
 
-def measure(df: DataFrame, spec: SeriesSpec = BARS) -> SeriesSpec:
-    """Like `decide`, and also know the length of the longest series."""
-    return _measured(df, spec)
 
+def _sliced(df: DataFrame, spec: SeriesSpec, rows: int) -> DataFrame:
+    """Add the slice of time of each row."""
+    at = F.unix_micros(F.col(spec.time).cast("timestamp"))
+    series = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), (F.max(at) - F.min(at)).alias("span"))
+    width = series.agg(F.min(F.when(F.col("n") > rows, F.greatest(F.lit(1), F.col("span") * rows / F.col("n"))))).scalar()
+    # without a long series there is no width, and one slice
+    number = F.coalesce(F.floor(at / width), F.lit(0))
+    return df.withColumn(SLICE, F.when(at.isNull(), F.lit(_BEFORE_ALL)).otherwise(number))
 
-def match_all(left: dict[str, str] | list[str] | tuple[str, ...], other: DataFrame, df: DataFrame) -> Column:
-    """Null-safe equality on same-named columns; `other` carries them with prefix `_r_`."""
-    condition = F.lit(True)
-    for name in left:
-        condition = condition & df[name].eqNullSafe(other[f"_r_{name}"])
-    return condition
 
+@dataclass(frozen=True)
+class Running:
+    """A sum along the series: of the rows before, or with the row itself."""
 
-def join_back(df: DataFrame, right: DataFrame, on: tuple[str, ...], how: str = "inner") -> DataFrame:
-    """Join an aggregate back to its rows; null keys match, as a null group is a group."""
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    joined = df.join(renamed, match_all(on, renamed, df), how)
-    return joined.drop(*(f"_r_{c}" for c in on))
+    value: Column
+    with_own: bool = False
 
 
-def _place(df: DataFrame, spec: SeriesSpec, values: dict[str, Column]) -> DataFrame:
-    """Add, for each name, how many of the rows before in the series have the value."""
-    sliced, spec = _sliced(df, spec)
+def _add_running(df: DataFrame, spec: SeriesSpec, sums: dict[str, Running], rows: int) -> DataFrame:
+    """Add the sums (0 before the first value). Sums of slices are added up over the slices of a series, those within a slice by a window."""
+    sliced = _sliced(df, spec, rows)
     part = (*spec.keys, SLICE)
-    counts = sliced.groupBy(*part).agg(*(F.count(value).alias(f"_before{name}") for name, value in values.items()))
+    of_slices = sliced.groupBy(*part).agg(*(F.sum(s.value).alias(f"_before{name}") for name, s in sums.items()))
     earlier = Window.partitionBy(*spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, *(F.coalesce(F.sum(f"_before{n}").over(earlier), F.lit(0)).alias(f"_before{n}") for n in values))
-    inside = Window.partitionBy(*part).orderBy(*spec.order(df)).rowsBetween(Window.unboundedPreceding, -1)
-    placed = join_back(sliced, offsets, part).withColumns(
-        {name: (F.col(f"_before{name}") + F.count(value).over(inside)).cast("long") for name, value in values.items()}
-    )
-    return placed.drop(SLICE, *(f"_before{name}" for name in values))
+    key = F.struct(*part).alias(_SLOT)
+    offsets = of_slices.select(key, *(F.sum(f"_before{name}").over(earlier).alias(f"_before{name}") for name in sums))
+    # the join's shuffle serves the windows too
+    joined = sliced.select("*", key).join(offsets, _SLOT)
+    inside = Window.partitionBy(_SLOT).orderBy(*spec.order(df))
+
+    def total(name: str, s: Running) -> Column:
+        frame = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow if s.with_own else -1)
+        return F.coalesce(f"_before{name}", F.lit(0)) + F.coalesce(F.sum(s.value).over(frame), F.lit(0))
+
+    return joined.withColumns({name: total(name, s) for name, s in sums.items()}).drop(SLICE, _SLOT, *(f"_before{name}" for name in sums))
 
 
 def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) -> DataFrame:
     """Add the 0-based position of each row in its series. A known position is kept."""
     if name in df.columns:
         return df
-    spec = decide(df, spec)
-    if not spec.split:
-        window = Window.partitionBy(*spec.keys).orderBy(*spec.order(df))
-        return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
-    return _place(df, spec, {name: F.lit(1)})
+    return _add_running(df, spec, {name: Running(F.lit(1).cast("long"))}, block_rows(df, spec))
+
+
+def laid_out(df: DataFrame, spec: SeriesSpec = BARS) -> DataFrame:
+    """Add the position of each row and the number of values before it, for several steps over the same rows."""
+    observed = F.col(spec.observed).isNotNull().cast("long") if spec.observed in df.columns else F.lit(1).cast("long")
+    wanted = {POSITION: Running(F.lit(1).cast("long")), SEEN: Running(observed)}
+    missing = {name: s for name, s in wanted.items() if name not in df.columns}
+    return _add_running(df, spec, missing, block_rows(df, spec)) if missing else df
 
 
 def over_rows(
@@ -165,55 +167,25 @@ def over_rows(
 
     `compute` adds columns with windows taken from the frame it is given.
     """
-    spec = decide(df, spec)
-    if not spec.split:
-        return compute(df, Frame(spec.keys, spec.order(df)))
-    block = max(spec.block_rows, 4 * back)
+    block = max(block_rows(df, spec), 4 * back)
     own = F.floor(F.col(SEEN) / block)
     home = F.struct(own.alias("b"), F.lit(True).alias("o"))
     ahead = F.struct((own + 1).alias("b"), F.lit(False).alias("o"))
     in_tail = F.col(SEEN) % block >= block - back
-    observed = F.col(spec.observed) if spec.observed in df.columns else F.lit(1)
-    counted = {SEEN: observed} if POSITION in df.columns else {SEEN: observed, POSITION: F.lit(1)}
     copies = F.when(in_tail, F.array(home, ahead)).otherwise(F.array(home))
     framed = (
-        _place(df, spec, counted)
+        laid_out(df, spec)
         .withColumn("_copy", F.explode(copies))
         .withColumns({BLOCK: F.col("_copy.b"), OWNED: F.col("_copy.o")})
-        .drop("_copy", SEEN)
+        .drop("_copy")
         # one shuffle by block serves all windows, also those with finer partitions
         .repartition(*spec.keys, BLOCK)
     )
-    result = compute(framed, Frame((*spec.keys, BLOCK), (POSITION,), split=True)).where(F.col(OWNED))
-    kept = result.drop(BLOCK, OWNED)
-    return kept if POSITION in df.columns else kept.drop(POSITION)
+    result = compute(framed, Frame((*spec.keys, BLOCK), (POSITION,))).where(F.col(OWNED))
+    return result.drop(BLOCK, OWNED, *(c for c in (POSITION, SEEN) if c not in df.columns))
 
 
 def running_sum(df: DataFrame, value: str, out: str, spec: SeriesSpec = BARS) -> DataFrame:
     """Cumulative sum along each series; nulls are skipped and stay null."""
-    spec = decide(df, spec)
-    if not spec.split:
-        window = (
-            Window.partitionBy(*spec.keys)
-            .orderBy(*spec.order(df))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        total = F.sum(value).over(window)
-        return df.withColumn(out, F.when(F.col(value).isNotNull(), total))
-    placed = with_index(df, spec).withColumn(BLOCK, F.floor(F.col(POSITION) / spec.block_rows))
-    in_block = (
-        Window.partitionBy(*spec.keys, BLOCK)
-        .orderBy(POSITION)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    earlier = Window.partitionBy(*spec.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        placed.groupBy(*spec.keys, BLOCK)
-        .agg(F.sum(value).alias("_block_sum"))
-        .select(*spec.keys, BLOCK, F.coalesce(F.sum("_block_sum").over(earlier), F.lit(0.0)).alias("_carried"))
-    )
-    summed = placed.withColumn(out, F.sum(value).over(in_block))
-    joined = join_back(summed, carried, (*spec.keys, BLOCK))
-    total = F.when(F.col(value).isNotNull(), F.col(out) + F.col("_carried"))
-    kept = joined.withColumn(out, total).drop(BLOCK, "_carried")
-    return kept if POSITION in df.columns else kept.drop(POSITION)
+    summed = _add_running(df, spec, {out: Running(F.col(value), with_own=True)}, block_rows(df, spec))
+    return summed.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))

@@ -14,7 +14,7 @@ from barloom.functions.numeric import calendar_days
 from barloom.operators.candles import add_trend_direction
 from barloom.operators.clean import select_once
 from barloom.operators.indicators import Indicator, apply_indicators
-from barloom.operators.series import BARS, POSITION, Frame, SeriesSpec, over_rows
+from barloom.operators.series import BARS, POSITION, SEEN, Frame, SeriesSpec, over_rows
 
 # Trade actions, and the columns every strategy reads.
 BUY, SELL, NO_ACTION = 1, -1, 0
@@ -63,7 +63,7 @@ def prepare_bars(df: DataFrame, strategy: Strategy, spec: SeriesSpec = BARS) ->
     """Direction, indicators, the columns the strategy reads, and an empty signal."""
     ready = apply_indicators(add_trend_direction(df), strategy.indicators, spec)
     shown = [name for indicator in strategy.indicators for name in indicator.info.display_name]
-    tie = [c for c in (*spec.tie, POSITION) if c in df.columns]
+    tie = [c for c in (*spec.tie, POSITION, SEEN) if c in df.columns]
     chosen = select_once(ready, spec.keys, tie, STRATEGY_COLUMNS, shown, strategy.extra_columns)
     return chosen.withColumn("SIGNAL", F.lit(NO_ACTION))
 
@@ -82,7 +82,7 @@ def mark_signals(df: DataFrame, rule: Rule, shift: bool = False, fill: bool = Tr
         return rows.withColumn("SIGNAL", F.lag("SIGNAL", 1).over(frame.ordered()))
 
     shifted = over_rows(marked, 1, compute, spec)
-    placing = {*spec.keys, *spec.order(df)}
+    placing = {*spec.keys, *spec.order(df), POSITION, SEEN}
     numeric = [f.name for f in shifted.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in placing]
     return shifted.fillna(NO_ACTION, subset=numeric if fill else ["SIGNAL"])
 

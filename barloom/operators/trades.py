@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BARS, POSITION, SeriesSpec, join_back, measure, with_index
+from barloom.operators.series import BARS, POSITION, SeriesSpec, join_back, longest_series, with_index
 from barloom.operators.signals import BUY, SELL
 from barloom.schema import TRADE_SCHEMA
 
@@ -109,18 +109,20 @@ def find_trades(
     close_open_trades: bool = True,
     spec: SeriesSpec = BARS,
     fan: int = FAN,
+    longest: int | None = None,
 ) -> DataFrame:
     """One row per entry bar, from bars with SIGNAL, TP and SL.
 
     A trade opens at the open of its entry bar. It closes on a later sell bar: at the
     high if that reaches TP, else at the low if that reaches SL. Entries do not limit
     each other. With `close_open_trades` the others are valued at the last close of
-    their series and keep the status "open". Zero values become null.
+    their series and keep the status "open". Zero values become null. `longest` is the row count of the
+    longest series, if known.
     """
     keys = spec.keys
-    spec = measure(df, spec)
+    longest = longest_series(df, spec) if longest is None else longest
     bars = with_index(df, spec)
-    levels = _sell_levels(bars, keys, tree_height(spec.longest, fan), fan)
+    levels = _sell_levels(bars, keys, tree_height(longest, fan), fan)
     entries = bars.where(F.col("SIGNAL") == entry_signal).select(*keys, POSITION, "trade_time", "open", "TP", "SL")
     closed = _find_exits(entries, levels, keys, fan)
     hit = F.col("exit").isNotNull()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BARS, SeriesSpec, decide, join_back, measure, with_index
+from barloom.operators.series import BARS, SEEN, SeriesSpec, join_back, laid_out, longest_series
 from barloom.operators.signals import ExitFactors, Strategy, add_levels, last_signals, mark_signals, prepare_bars
 from barloom.operators.trades import find_trades, trade_summary
 from barloom.plans.results import report_rows, strategy_json
@@ -22,35 +22,34 @@ class BackTest:
     shift_signal: bool = True
     spec: SeriesSpec = BARS
 
-    def marked(self, bars: DataFrame, spec: SeriesSpec | None = None, store: str | None = None) -> DataFrame:
+    def marked(self, bars: DataFrame, store: str | None = None) -> DataFrame:
         """Bars with indicators, SIGNAL, TP and SL.
 
         Trades read the marked bars several times. With `store` they are written there
         once and read back; without it they are computed again each time.
         """
-        spec = decide(bars, self.spec) if spec is None else spec
-        prepared = prepare_bars(with_index(bars, spec), self.strategy, spec)
+        spec = self.spec
+        prepared = prepare_bars(laid_out(bars, spec), self.strategy, spec)
         shifted = mark_signals(prepared, self.strategy.rule, self.shift_signal, spec=spec)
-        levelled = add_levels(shifted, self.exits.levels)
+        levelled = add_levels(shifted, self.exits.levels).drop(SEEN)
         if store is None:
             return levelled
         levelled.write.mode("overwrite").parquet(store)
         return bars.sparkSession.read.schema(levelled.schema).parquet(store)
 
     def trades(self, bars: DataFrame, store: str | None = None) -> DataFrame:
-        spec = measure(bars, self.spec)
-        return find_trades(self.marked(bars, spec, store), spec=spec)
+        longest = longest_series(bars, self.spec)
+        return find_trades(self.marked(bars, store), spec=self.spec, longest=longest)
 
     def summaries(self, bars: DataFrame, store: str | None = None) -> DataFrame:
         """One row per series, also for series without trades."""
-        spec = measure(bars, self.spec)
-        marked = self.marked(bars, spec, store)
-        keys = spec.keys
+        spec, keys = self.spec, self.spec.keys
+        marked = self.marked(bars, store)
         spans = marked.groupBy(*keys).agg(
             F.min("trade_time").alias("start_time"), F.max("trade_time").alias("end_time")
         )
         # one row per series on every side of these joins
-        summed = trade_summary(find_trades(marked, spec=spec), spec)
+        summed = trade_summary(find_trades(marked, spec=spec, longest=longest_series(bars, spec)), spec)
         joined = join_back(join_back(spans, summed, keys, "left"), last_signals(marked, spec=spec), keys, "left")
         return joined.fillna(0, subset=["trades", "closed", "wins", "total_return", "total_return_rate"])
 

@@ -338,9 +338,8 @@ def log_returns(spark, folder):
 
 @query
 def growth(spark, folder):
-    bars = month_bars(spark, folder)
-    spec = series.decide(bars)
-    return returns.add_growth(returns.add_log_returns(bars, spec=spec), spec=spec).select("id", *SERIES, "log_returns", "cusum_rewards")
+    grown = returns.add_growth(returns.add_log_returns(month_bars(spark, folder)))
+    return grown.select("id", *SERIES, "log_returns", "cusum_rewards")
 
 
 @query
@@ -394,9 +393,8 @@ def signal_levels(spark, folder):
 
 @query
 def shifted_signals(spark, folder):
-    bars = month_bars(spark, folder)
-    spec = series.decide(bars)
-    marked = signals.mark_signals(MA(5).apply(bars, spec), turn_rule, shift=True, spec=spec)
+    bars = series.laid_out(month_bars(spark, folder))
+    marked = signals.mark_signals(MA(5).apply(bars), turn_rule, shift=True)
     return marked.select("id", *SERIES, "SIGNAL", "MA_5")
 
 

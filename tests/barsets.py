@@ -5,11 +5,11 @@ import pandas as pd
 
 from barloom.operators.series import SeriesSpec
 
-# The three layouts every series operator must agree on.
+# Block sizes every series operator must agree on: whole series, and series cut into blocks and slices.
 LAYOUTS = {
-    "whole": SeriesSpec(split=False),
-    "blocks": SeriesSpec(split=True, block_rows=16, slice_unit="DAY"),
-    "hourly_slices": SeriesSpec(split=True, block_rows=64, slice_unit="HOUR"),
+    "whole": SeriesSpec(),
+    "blocks": SeriesSpec(block_rows=16),
+    "longer_blocks": SeriesSpec(block_rows=64),
 }
 
 

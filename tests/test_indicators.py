@@ -4,11 +4,15 @@ import pytest
 from barsets import LAYOUTS, assert_same, flat, market, per_series, spark_bars, walk
 from pyspark.sql import functions as F
 
+from barloom.operators.candles import add_candle_features
 from barloom.operators.ewm import Decay, Ewm, add_ewms, drop_run_columns
 from barloom.operators.indicators import (
     ATR, BIAS, EMA, MA, MACD, RSI, BollingerBands, Engulfing, KeltnerChannels, apply_indicators,
 )
-from barloom.operators.series import SeriesSpec, decide, over_rows, running_sum, with_index
+from barloom.operators.patterns import add_sequence_patterns
+from barloom.operators.returns import add_log_returns
+from barloom.operators.series import SeriesSpec, block_rows, over_rows, running_sum, with_index
+from barloom.operators.signals import mark_signals
 
 ALL = [BollingerBands(), ATR(), KeltnerChannels(), RSI(), MACD(), EMA(), MA(), BIAS(), Engulfing()]
 
@@ -136,18 +140,49 @@ def test_null_keys_are_a_series_in_both_layouts(spark):
     assert sum("code=None" in row and "MA_3=None" not in row for row in rows["whole"]) == 7
 
 
-def test_measured_layouts(spark):
-    """Sizes decide between whole series and blocks, and pick a slice that fits."""
-    pdf = pd.concat([walk("HOT", 900, 1, step="7min"), walk("A", 50, 2)])
-    bars = spark_bars(spark, pdf)
-    assert not decide(bars, SeriesSpec(whole_rows=900)).split
-    tight = SeriesSpec(whole_rows=100, block_rows=64)
-    assert decide(bars, tight).split
-    got = apply_indicators(bars, [MA(5), EMA(3)], tight)
+def test_layout_follows_the_rows(spark):
+    """Uneven times, rows without time, series of other density: the same rows, in blocks of a bounded size."""
+    hot = walk("HOT", 900, 1, step="7min")
+    # half of the rows within three minutes
+    hot.loc[:449, "trade_time"] = hot.trade_time[0] - pd.to_timedelta(np.arange(450)[::-1] * 400, unit="ms")
+    pdf = pd.concat([hot, walk("A", 50, 2), walk("B", 200, 3, step="90D").head(90)])
+    tight = SeriesSpec(block_rows=64)
+    got = apply_indicators(spark_bars(spark, pdf), [MA(5), EMA(3)], tight)
     want = per_series(pdf, lambda g: g.assign(MA_5=g.close.rolling(5).mean(), EMA_3=ema(g.close, 3)))
     assert_same(got, want, ["MA_5", "EMA_3"])
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "date_trunc(HOUR" in plan
+    timeless = pdf.assign(trade_time=pdf.trade_time.where(pdf.id % 90 != 7))
+    index = with_index(spark_bars(spark, timeless), tight, "i").toPandas()
+    for _, rows in index.groupby("code"):
+        ordered = rows.sort_values(["trade_time", "id"], na_position="first")
+        assert ordered.i.tolist() == list(range(len(rows)))
+
+
+def test_no_job_runs_before_the_action(spark):
+    bars = spark_bars(spark, market())
+    bars.count()
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    frames = [
+        apply_indicators(bars, [MA(5), EMA(3), RSI(7)]), running_sum(bars, "close", "s"), add_log_returns(bars),
+        add_sequence_patterns(add_candle_features(bars)), mark_signals(bars, lambda: F.lit(1), shift=True),
+    ]
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert all(frame.columns for frame in frames)
+
+
+def test_blocks_follow_the_session(spark):
+    bars = spark_bars(spark, walk("A", 5, 1))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    given = spark.conf.get(name)
+    try:
+        sizes = []
+        for text in ("64MB", "67108864", "67108864b", "1g"):
+            spark.conf.set(name, text)
+            sizes.append(block_rows(bars, SeriesSpec()))
+    finally:
+        spark.conf.set(name, given)
+    assert sizes[0] == sizes[1] == sizes[2] == sizes[3] // 16 > 100_000
+    assert block_rows(bars, SeriesSpec(block_rows=7)) == 7
 
 
 def test_indicator_info():

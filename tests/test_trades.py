@@ -53,7 +53,7 @@ def marked(spark, pdf):
     return signals.add_levels(signals.mark_signals(spark_bars(spark, pdf), rule), FACTORS.levels)
 
 
-@pytest.mark.parametrize("layout, fan", [("whole", 3), ("whole", 128), ("blocks", 9), ("hourly_slices", 128)])
+@pytest.mark.parametrize("layout, fan", [("whole", 3), ("whole", 128), ("blocks", 9), ("longer_blocks", 128)])
 def test_trades_equal_a_plain_loop(spark, layout, fan):
     pdf = market()
     got = find_trades(marked(spark, pdf), spec=LAYOUTS[layout], fan=fan)
