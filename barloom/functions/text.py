@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +21,11 @@ WHITE_SPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# a double as Spark writes it; the strings, numbers and marks of a JSON text; the escapes of a JSON string and what is between
+_DOUBLE_TEXT = r"^-?([0-9]+)\.([0-9]+)(?:E(-?[0-9]+))?$"
+_JSON_TOKENS = r'"(?:[^"\\]|\\.)*"|[-+.0-9E]+|[^-+.0-9E"]+'
+_ESCAPES = r"\\u[0-9A-Fa-f]{4}|\\.|[^\\]+"
+
 DATASET_PATTERN = r"([^/]+)_([^/_]+)_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})\.parquet"
 
 
@@ -102,10 +107,93 @@ def json_path(value: Column, path: str) -> Column:
     return F.get_json_object(value, f"$.{path}")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def canonical_number(number: Column) -> Column:
+    """Text of a double in the key's form, from the text Spark gives it (1.0E-4, 1.0E16, 5.0).
+
+    The fewest digits that give the same double back; plain from 0.0001 to below 1e16, else with a signed exponent of two digits or
+    more (1e-05, 1e+16). Of several texts with as few digits the nearest is taken below 2**63; beyond that and for small fractions the
+    one that the Java version gives.
+    """
+    whole, part = (F.regexp_extract(number, _DOUBLE_TEXT, i) for i in (1, 2))
+    power = F.coalesce(F.try_to_number(F.regexp_extract(number, _DOUBLE_TEXT, 3), F.lit("S999")).cast("int"), F.lit(0))
+    bare = F.ltrim(F.concat(whole, part), F.lit("0"))
+    # the value is 0.digits * 10 ** point
+    point = F.length(bare) - F.length(part) + power
+    parsed = F.struct(F.rtrim(bare, F.lit("0")).alias("digits"), point.alias("point"))
+
+    def shortest(x: Column) -> Column:
+        """A digit less if a neighbour of that length is the same double, as the text has one too many at times."""
+        digits, count = x["digits"].cast("long"), F.length(x["digits"])
+        below = F.floor(digits / 10)
+        near = F.when(digits % 10 < 5, F.array(below, below + 1)).otherwise(F.array(below + 1, below))
+
+        def same(candidate: Column) -> Column:
+            text = F.concat(candidate.cast("string"), F.lit("E"), (x["point"] - count + 1).cast("string"))
+            return text.cast("double") == F.abs(number.cast("double"))
+
+        found = F.get(F.filter(near, same), F.lit(0))
+        shorter = F.struct(
+            F.rtrim(found.cast("string"), F.lit("0")).alias("digits"), (x["point"] - count + 1 + F.length(found.cast("string"))).alias("point")
+        )
+        return F.when((count > 1) & found.isNotNull() & (found > 0), shorter).otherwise(x)
+
+    def shown(x: Column) -> Column:
+        digits, at = x["digits"], x["point"]
+        count, zero = F.length(digits), F.lit("0")
+        plain = (
+            F.when(at <= 0, F.concat(F.lit("0."), F.repeat(zero, -at), digits))
+            .when(at >= count, F.concat(digits, F.repeat(zero, at - count), F.lit(".0")))
+            .otherwise(F.concat(F.left(digits, at), F.lit("."), F.substring(digits, at + 1, count)))
+        )
+        rest = F.when(count > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), count))).otherwise("")
+        power = F.abs(at - 1).cast("string")
+        raised = F.concat(
+            F.left(digits, F.lit(1)), rest, F.when(at > 0, "e+").otherwise("e-"), F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power)
+        )
+        # The powers of ten from and below which numbers are written plainly
+        return F.when(digits == "", "0.0").when((at > -4) & (at <= 16), plain).otherwise(raised)
+
+    def nearest(x: Column) -> Column:
+        """Of as many digits, those that are nearest to the double; a whole number without fraction can be compared."""
+        whole_value = F.abs(number.cast("double"))
+        zeros = x["point"] - F.length(x["digits"])
+        unit = F.pow(F.lit(10.0), zeros).cast("decimal(19,0)")
+
+        def off(candidate: Column) -> Column:
+            return F.abs(candidate.cast("decimal(19,0)") * unit - whole_value.cast("bigint").cast("decimal(19,0)"))
+
+        around = F.transform(F.array(*(F.lit(i) for i in (-1, 0, 1))), lambda i: x["digits"].cast("long") + i)
+        best = F.array_min(F.transform(around, lambda c: F.struct(off(c).alias("off"), c.alias("c"))))["c"].cast("string")
+        found = F.struct(F.rtrim(best, F.lit("0")).alias("digits"), (zeros + F.length(best)).alias("point"))
+        return F.when((whole_value >= 2.0**53) & (whole_value < 2.0**63) & (zeros >= 0), found).otherwise(x)
+
+    sign = F.when(number.startswith("-"), "-").otherwise("")
+    return F.concat(sign, _let(_let(_let(parsed, shortest), nearest), shown))
+
+
+def canonical_json(value: Column) -> Column:
+    """JSON text as Spark writes it in the key's form: doubles as `canonical_number`, escapes of control characters in lower case.
+    NaN and infinite values keep Spark's quotes."""
+
+    def inside(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(_ESCAPES), F.lit(0))
+        lowered = F.transform(pieces, lambda p: F.when(p.startswith("\\u"), F.lower(p)).otherwise(p))
+        return F.when(F.contains(text, F.lit("\\u")), F.array_join(lowered, "")).otherwise(text)
+
+    def token(t: Column) -> Column:
+        return F.when(t.startswith('"'), inside(t)).when(t.rlike(_DOUBLE_TEXT), canonical_number(t)).otherwise(t)
+
+    return F.array_join(F.transform(F.regexp_extract_all(value, F.lit(_JSON_TOKENS), F.lit(0)), token), "")
+
+
 def deterministic_key(fields: dict[str, Column]) -> Column:
-    """MD5 of the compact JSON object with sorted names; null fields are kept."""
+    """MD5 of the compact JSON object with sorted names; null fields are kept, numbers have their shortest text."""
     ordered = [fields[name].alias(name) for name in sorted(fields)]
-    return F.md5(F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"}))
+    return F.md5(canonical_json(F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})))
 
 
 def file_key(fields: dict[str, Column], at: Column) -> Column:

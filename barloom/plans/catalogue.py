@@ -765,7 +765,12 @@ def results_filtered(spark, folder):
 
 @query
 def result_keys(spark, folder):
-    fields = {"name": F.col("o_orderpriority"), "code": F.col("o_custkey").cast("string"), "n": F.col("o_orderkey")}
+    # Numbers whose text differs from the one Spark gives them
+    odd = F.get(F.array(*(F.lit(x) for x in (0.0001, 1e16, 1e-7, 5.0, -0.0))), (F.col("o_orderkey") % 5).cast("int"))
+    fields = {
+        "name": F.col("o_orderpriority"), "code": F.col("o_custkey").cast("string"), "n": F.col("o_orderkey"), "factor": odd,
+        "half": F.col("o_orderkey") / 2,
+    }
     at = F.col("o_orderdate").cast("timestamp")
     return table(spark, folder, "orders").select(
         "o_orderkey",

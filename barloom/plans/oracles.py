@@ -592,7 +592,10 @@ add("results_filtered", f"{_SHOWN} WHERE name = '3-MEDIUM'", _RESULTS)
 
 # --- scalar functions ----------------------------------------------------------------
 
-_KEY_JSON = """md5('{"code":"' || o_custkey || '","n":' || o_orderkey || ',"name":"' || o_orderpriority || '"}')"""
+_ODD_NUMBERS = "list_extract(['0.0001', '1e+16', '1e-07', '5.0', '-0.0'], o_orderkey % 5 + 1)"
+_HALF = "o_orderkey // 2 || CASE WHEN o_orderkey % 2 = 1 THEN '.5' ELSE '.0' END"
+_KEY_JSON = f"""md5('{{"code":"' || o_custkey || '","factor":' || {_ODD_NUMBERS} || ',"half":' || {_HALF} || ',"n":' || o_orderkey
+  || ',"name":"' || o_orderpriority || '"}}')"""
 add(
     "result_keys",
     f"SELECT o_orderkey, {_KEY_JSON} AS digest, {_KEY_JSON} || strftime(o_orderdate, '%Y%m%d%H%M%S') AS file_key FROM orders",
