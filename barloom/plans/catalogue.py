@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -854,6 +854,15 @@ def _table_stream(spark, folder, name) -> DataFrame:
     return messages.file_stream(spark, folder, schema, f"{name}.parquet")
 
 
+def _orders_arriving(spark, folder) -> Iterator[DataFrame]:
+    """The stream of a landing folder, after each of three loads of different orders has arrived there."""
+    landing = scratch_path(spark, "landing")
+    orders = table(spark, folder, "orders")
+    for part in range(3):
+        orders.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(landing)
+        yield messages.file_stream(spark, landing, orders.schema)
+
+
 @query
 def stream_messages(spark, folder):
     """Messages parsed from a stream into a table; bad ones keep their problem."""
@@ -882,22 +891,45 @@ def stream_claims(spark, folder):
     )
     stored = KeyedTable(spark, scratch_path(spark, "tasks"), "id", known.schema, buckets=4)
     stored.upsert(known, ["status"])
-    requests = _table_stream(spark, folder, "orders").select(_uuid(F.col("o_custkey")).alias("task_id"))
     claims = scratch_path(spark, "claims")
-    messages.run_available(requests, messages.ClaimJob(stored, claims), f"{claims}-checkpoint")
-    return stored.read().select("id", "status")
+    for arrived in _orders_arriving(spark, folder):
+        requests = arrived.select(_uuid(F.col("o_custkey")).alias("task_id"))
+        messages.run_available(requests, messages.ClaimJob(stored, claims), f"{claims}-checkpoint")
+    # which batch claimed a task, next to its status
+    claimed = spark.read.parquet(claims).select("id", F.col("batch").cast("int").alias("batch"))
+    return stored.read().join(claimed, "id", "left").select("id", "status", "batch")
 
 
 @query
 def stream_status(spark, folder):
-    """Newest status per task, from a stream of status rows."""
-    rows = _table_stream(spark, folder, "orders").select(
-        F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status"),
-        F.col("o_orderdate").cast("timestamp").alias("updated_at"), F.col("o_orderkey").alias("seq"),
-    )
-    stored = KeyedTable(spark, scratch_path(spark, "status"), "id", rows.schema, buckets=4)
-    messages.run_available(rows, messages.StatusJob(stored, ("updated_at", "seq")), scratch_path(spark, "checkpoint"))
-    return stored.read()
+    """Newest status per task, from a stream of status rows that arrive in three loads, not in order of time."""
+    log, path = None, scratch_path(spark, "status")
+    for arrived in _orders_arriving(spark, folder):
+        rows = arrived.select(
+            F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status"),
+            F.col("o_orderdate").cast("timestamp").alias("updated_at"), F.col("o_orderkey").alias("seq"),
+        )
+        log = messages.StatusLog(spark, path, "id", rows.schema, ("updated_at", "seq"))
+        log.follow(rows, f"{path}-checkpoint")
+    log.compact()
+    return log.read()
+
+
+@query
+def stream_first_messages(spark, folder):
+    """A customer's first order of each year is a message; repeats count as such for 60 days only."""
+    orders = table(spark, folder, "orders").where("o_orderdate IS NOT NULL AND o_custkey IS NOT NULL")
+    year = F.year("o_orderdate").alias("year")
+    firsts = orders.groupBy("o_custkey", year).agg(F.min("o_orderdate").cast("timestamp").alias("at"))
+    rows = firsts.select(F.col("o_custkey").cast("string").alias("task_id"), "at", "year")
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "firsts")
+    for years in ("year < 1995", "year BETWEEN 1995 AND 1996", "year > 1996"):
+        # a batch has one message of each customer, the latest of its years
+        load = rows.where(years).groupBy("task_id").agg(F.max("at").alias("at"))
+        load.write.mode("append").parquet(landing)
+        stream = messages.first_messages(messages.file_stream(spark, landing, load.schema), "at", "60 days")
+        messages.run_available(stream, lambda df, _: df.write.mode("append").parquet(path), f"{path}-checkpoint")
+    return spark.read.parquet(path).select("task_id", F.to_date("at").alias("at"))
 
 
 @query

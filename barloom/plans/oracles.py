@@ -645,11 +645,27 @@ add(
 add(
     "stream_claims",
     f"""SELECT {uuid_of('c_custkey')} AS id, CASE WHEN c_acctbal < 0 THEN 'failed'
-        WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'running' ELSE 'pending' END AS status FROM customer""",
+        WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'running' ELSE 'pending' END AS status,
+        CASE WHEN c_acctbal >= 0 THEN (SELECT min(o_orderkey % 3) FROM orders WHERE o_custkey = c_custkey) END AS batch FROM customer""",
 )
 _STATUS = """SELECT o_custkey AS id, o_orderstatus AS status, o_orderdate AS updated_at, o_orderkey AS seq FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
 add("stream_status", _STATUS)
+# Of three batches: a message passes unless its task is still remembered. A task is forgotten when its message is older than twice
+# the delay against the newest of the batches before.
+add(
+    "stream_first_messages",
+    """WITH firsts AS (SELECT o_custkey, year(o_orderdate) AS y, min(o_orderdate) AS t FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1, 2),
+     loads AS (SELECT CAST(o_custkey AS VARCHAR) AS task_id, CASE WHEN y < 1995 THEN 1 WHEN y <= 1996 THEN 2 ELSE 3 END AS b, max(t) AS t
+       FROM firsts GROUP BY 1, 2),
+     newest AS (SELECT b, max(max(t)) OVER (ORDER BY b) AS upto FROM loads GROUP BY b),
+     e1 AS (SELECT task_id, t FROM loads WHERE b = 1),
+     k1 AS (SELECT * FROM e1 WHERE t + INTERVAL 120 DAY > (SELECT upto FROM newest WHERE b = 1)),
+     e2 AS (SELECT task_id, t FROM loads WHERE b = 2 AND task_id NOT IN (SELECT task_id FROM k1)),
+     k2 AS (SELECT * FROM (FROM k1 UNION ALL FROM e2) WHERE t + INTERVAL 120 DAY > (SELECT upto FROM newest WHERE b = 2)),
+     e3 AS (SELECT task_id, t FROM loads WHERE b = 3 AND task_id NOT IN (SELECT task_id FROM k2))
+     SELECT task_id, strftime(t, '%Y-%m-%d') AS at FROM (FROM e1 UNION ALL FROM e2 UNION ALL FROM e3)""",
+)
 add("current_status", _STATUS)
 add(
     "stream_features",

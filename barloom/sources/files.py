@@ -39,6 +39,15 @@ def remove_all(spark: SparkSession, paths: Iterable[str], at_once: int = 16) ->
             pass
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under a path whose write has ended."""
+    system, location = _file_system(spark, path)
+    if not system.exists(location):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(location) if status.isDirectory()]
+    return [name for name in names if exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds any part file; stops at the first one."""
     system, location = _file_system(spark, path)

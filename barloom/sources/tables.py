@@ -206,11 +206,6 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, replaced: Sequence[str], newest_by: Sequence[str] = ("updated_at",)) -> None:
         self._replace(upsert(self.touched(batch), batch, self.key, replaced, newest_by))
 
-    def keep_newest(self, batch: DataFrame, order: Sequence[str] = ("updated_at",)) -> None:
-        """Add rows; per key only the newest of stored and new rows is kept."""
-        union = self.touched(batch).unionByName(batch.select(*self.schema.names))
-        self._replace(newest_per_key(union, [self.key], list(order)))
-
     def update(self, changes: DataFrame, fields: Sequence[str]) -> None:
         """Set non-null fields of known keys. No fields or no rows: nothing happens."""
         if self.is_empty() or not set(fields) & set(changes.columns) or changes.isEmpty():

@@ -10,6 +10,7 @@ from barloom.operators import similar
 from barloom.plans.results import ResultQuery, list_results
 from barloom.plans.testbars import table
 from barloom.session import scratch_path
+from barloom.sources.files import complete_folders
 from barloom.sources.tables import BarTable, KeyedTable
 from barloom.streaming import bars as bar_stream
 from barloom.streaming import messages
@@ -71,11 +72,35 @@ def test_repeated_batch_claims_nothing_new(spark):
 
 def test_status_keeps_the_newest_even_if_late(spark):
     schema = "id string, status string, updated_at timestamp"
-    stored = KeyedTable(spark, scratch_path(spark, "s"), "id", spark.createDataFrame([], schema).schema, buckets=2)
-    job = messages.StatusJob(stored)
-    job(spark.createDataFrame([("a", "running", datetime(2024, 1, 2)), ("b", "pending", datetime(2024, 1, 1))], schema), 0)
-    job(spark.createDataFrame([("a", "pending", datetime(2024, 1, 1)), ("b", "completed", datetime(2024, 1, 3))], schema), 1)
-    assert {r.id: r.status for r in stored.read().collect()} == {"a": "running", "b": "completed"}
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "status")
+    loads = [
+        [("a", "running", datetime(2024, 1, 2)), ("b", "pending", datetime(2024, 1, 1)), ("c", "failed", datetime(2024, 1, 1))],
+        [("a", "pending", datetime(2024, 1, 1)), ("b", "completed", datetime(2024, 1, 3))],
+        [("d", "pending", datetime(2024, 1, 4))],
+    ]
+    log = None
+    for n, load in enumerate(loads):
+        spark.createDataFrame(load, schema).coalesce(1).write.mode("append").parquet(landing)
+        rows = messages.file_stream(spark, landing, spark.createDataFrame([], schema).schema)
+        log = messages.StatusLog(spark, path, "id", rows.schema)
+        log.follow(rows, f"{path}-checkpoint")
+        # a batch writes the tasks it has rows of, and no other
+        written = spark.read.parquet(f"{path}/batch={n:09d}").collect()
+        assert {r.id for r in written} == {row[0] for row in load}
+    want = {"a": "running", "b": "completed", "c": "failed", "d": "pending"}
+    assert {r.id: r.status for r in log.read().collect()} == want
+    # a repeated batch, and compactions
+    log(spark.createDataFrame(loads[2], schema), 2)
+    log.compact()
+    log.compact()
+    assert {r.id: r.status for r in log.read().collect()} == want
+    log(spark.createDataFrame([("d", "running", datetime(2024, 1, 5))], schema), 3)
+    log.compact()
+    assert {r.id: r.status for r in log.read().collect()} == {**want, "d": "running"}
+    assert sorted(complete_folders(spark, path)) == ["base=000000002", "base=000000003", "batch=000000003"]
+    empty = messages.StatusLog(spark, scratch_path(spark, "none"), "id", log.schema)
+    assert empty.read().count() == 0
+    empty.compact()
 
 
 def test_bars_stream_with_late_and_repeated_bars(spark):
