@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The time formats tried, in this order, for mixed text columns; the month comes before the day.
-TIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
-    "yyyyMMdd HHmmss",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "MMM d, yyyy",
-    "d MMM yyyy",
+# English names of months and days, known by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+
+# What a time of day, its zone, and a date may look like, in lower case.
+_CLOCK = r"(?<![0-9])(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*([ap])?(?:\.?m\.?)?(?![0-9:a-y])"
+_COMPACT_CLOCK = r"^\d{8}[t ]?(\d{2})(\d{2})(\d{2})$"
+_ZONE = r"\s*(z|utc|gmt|[+-]\d{2}:?\d{2})$"
+_MONTH = f"({'|'.join(MONTHS)})[a-z]*"
+_DAY, _YEAR, _GAP = r"(\d{1,2})(?:st|nd|rd|th)?", r"(\d{4}|\d{2})", r"[-\s./]+"
+# pattern, and which of its groups are year, month and day; `first` and `second` are month and day unless that cannot be
+_DATES = (
+    (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$", ("year", "month", "day")),
+    (r"^(\d{4})(\d{2})(\d{2})(?:[t ]?\d{6})?$", ("year", "month", "day")),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})$", ("first", "second", "year")),
+    (f"^{_DAY}{_GAP}{_MONTH}{_GAP}{_YEAR}$", ("day", "month", "year")),
+    (f"^{_MONTH}{_GAP}{_DAY}{_GAP}{_YEAR}$", ("month", "day", "year")),
+    (f"^(\\d{{4}}){_GAP}{_MONTH}{_GAP}{_DAY}$", ("year", "month", "day")),
+    (f"^{_MONTH}{_GAP}(\\d{{4}})$", ("month", "year")),
+    (r"^(\d{4})[-/](\d{1,2})$", ("year", "month")),
+    (r"^(\d{1,2})[-/](\d{4})$", ("month", "year")),
+    (r"^(\d{4})$", ("year",)),
 )
+# two digits of a year: up to this one of 2000, from the next on of 1900
+_PIVOT = 68
 
 
 def utc_naive(value: Column) -> Column:
@@ -32,10 +44,71 @@ def local_naive(value: Column, zone: str = "UTC") -> Column:
     return F.convert_timezone(None, F.lit(zone), value.cast("timestamp_ntz"))
 
 
-def to_time(value: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
-    """Text in any of the known forms to a timestamp, null when none fits."""
+def _number(text: Column) -> Column:
+    return F.when(text != "", text).cast("int")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _date_parts(text: Column) -> Column:
+    """Struct of year, month and day of a text without time of day; null where no pattern fits."""
+
+    def part(name: str) -> Column:
+        found = [(pattern, names.index(name) + 1) for pattern, names in _DATES if name in names]
+        return F.coalesce(*(F.nullif(F.regexp_extract(text, pattern, group), F.lit("")) for pattern, group in found))
+
+    def month_number(text: Column) -> Column:
+        place = F.array_position(F.array(*(F.lit(name) for name in MONTHS)), text)
+        return F.when(text.rlike("^[a-z]"), place.cast("int")).otherwise(text.try_cast("int"))
+
+    year = part("year")
+    short = year.cast("int") + F.when(year.cast("int") <= _PIVOT, 2000).otherwise(1900)
+    first, second = part("first").cast("int"), part("second").cast("int")
+    swapped = first > 12
+    return F.struct(
+        F.when(F.length(year) == 2, short).otherwise(year.cast("int")).alias("year"),
+        F.coalesce(F.when(swapped, second).otherwise(first), month_number(part("month")), F.when(year.isNotNull(), 1)).alias("month"),
+        F.coalesce(F.when(swapped, first).otherwise(second), part("day").cast("int"), F.when(year.isNotNull(), 1)).alias("day"),
+    )
+
+
+def _general_time(value: Column) -> Column:
+    """Text with a date in one of many forms, with or without time of day and zone."""
+    text = F.lower(F.trim(F.regexp_replace(value, "[,\\s]+", " ")))
+    has_clock = text.rlike(_CLOCK)
+    zone = F.when(has_clock, F.regexp_extract(text, _ZONE, 1)).otherwise("")
+    bare = F.when(has_clock, F.regexp_replace(text, _ZONE, "")).otherwise(text)
+    clock = [F.when(has_clock, F.regexp_extract(bare, _CLOCK, i)).otherwise("") for i in range(1, 6)]
+    compact = [F.when(has_clock, "").otherwise(F.regexp_extract(text, _COMPACT_CLOCK, i)) for i in range(1, 4)]
+    half = clock[4]
+    hour = F.coalesce(_number(clock[0]), _number(compact[0]), F.lit(0))
+    hour = F.when(half == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+    minute = F.coalesce(_number(clock[1]), _number(compact[1]), F.lit(0))
+    second = F.coalesce(F.nullif(clock[2], F.lit("")), F.nullif(compact[2], F.lit("")), F.lit("0"))
+    exact = F.concat(second, F.lit("."), F.rpad(F.left(clock[3], F.lit(6)), 6, "0")).cast("decimal(8,6)")
+    day = F.regexp_replace(F.when(has_clock, F.regexp_replace(bare, r"[t\s]*" + _CLOCK, "")).otherwise(text), f"^({'|'.join(WEEKDAYS)})[a-z]*\\.?\\s+", "")
+    hours, minutes = (F.substring(F.replace(zone, F.lit(":")), start, 2) for start in (2, 4))
+    ahead = F.when(zone.rlike("^[+-]"), F.concat(F.left(zone, F.lit(1)), F.lit("1")).cast("int") * (hours.cast("int") * 60 + minutes.cast("int")))
+
+    def made(d: Column) -> Column:
+        return F.try_make_timestamp(d["year"], d["month"], d["day"], hour, minute, exact)
+
+    return _let(_date_parts(F.trim(day)), made) - F.make_dt_interval(mins=F.coalesce(ahead, F.lit(0)))
+
+
+def to_time(value: Column) -> Column:
+    """Text with a date in any common form to a timestamp, null when it has none.
+
+    Year, month and day in this order, or month, day and year (day first where the first cannot be a month), month
+    names, dates without day (the first), a time of day with seconds, fraction and AM or PM, and a zone (Z, UTC, GMT or an
+    offset); texts without zone are UTC. A time of day without a date is none.
+    """
     text = value.cast("string")
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats), F.try_to_timestamp(text))
+    # the common form needs no patterns
+    plain = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"), F.try_to_timestamp(text))
+    return F.coalesce(plain, _general_time(text))
 
 
 def day_start(value: Column) -> Column:

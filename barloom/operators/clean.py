@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,8 +70,17 @@ def doubles_to_decimal(df: DataFrame, precision: int | None = None) -> DataFrame
     return df.withColumns({c: to_decimal(F.col(c), precision) for c in doubles})
 
 
-def column_to_time(df: DataFrame, column: str = "trade_time") -> DataFrame:
-    return df.withColumn(column, to_time(F.col(column)))
+def column_to_time(
+    df: DataFrame, column: str = "trade_time", failed: str | None = None, failures: Observation | None = None
+) -> DataFrame:
+    """Mixed values to times; what cannot be read becomes null. `failed` names a column that marks those rows, and
+    `failures` gets their number as `failed`, once an action has run."""
+    mark = failed or "_failed"
+    read = df.withColumn("_time", to_time(F.col(column))).withColumn(mark, F.col(column).isNotNull() & F.col("_time").isNull())
+    if failures is not None:
+        read = read.observe(failures, F.count_if(mark).alias("failed"))
+    timed = read.withColumn(column, F.col("_time")).drop("_time")
+    return timed if failed else timed.drop(mark)
 
 
 def drop_zone(df: DataFrame, columns: Sequence[str] | None = None, zone: str = "UTC") -> DataFrame:

@@ -148,12 +148,16 @@ def mixed_times(spark, folder):
         F.when(kind == "click", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
         .when(kind == "view", F.date_format(ts, "yyyy/MM/dd"))
         .when(kind == "error", F.lit("no date"))
+        .when(F.col("event_id") % 11 == 0, F.concat(F.date_format(ts, "EEE, dd MMMM yyyy hh:mm:ss a"), F.lit(" +08:00")))
+        .when(F.col("event_id") % 11 == 1, F.date_format(ts, "d'th' MMM, yyyy HH:mm'Z'"))
+        # read as day first only where the day cannot be a month
+        .when(F.col("event_id") % 11 == 2, F.date_format(ts, "dd.MM.yyyy HH:mm:ss"))
         .when(F.col("event_id") % 5 == 0, F.date_format(ts, "MMM d, yyyy"))
         .when(F.col("event_id") % 5 == 1, F.date_format(ts, "MM/dd/yyyy"))
         .when(F.col("event_id") % 5 == 2, F.date_format(ts, "yyyyMMdd HHmmss"))
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("trade_time"),
     )
-    return clean.column_to_time(raw)
+    return clean.column_to_time(raw, failed="failed")
 
 
 @query

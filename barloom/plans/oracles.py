@@ -110,7 +110,13 @@ add(
 add(
     "mixed_times",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'click' THEN date_trunc('second', ts)
-       WHEN event_type = 'view' OR event_id % 5 < 2 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS trade_time FROM events""",
+       WHEN event_type = 'view' THEN date_trunc('day', ts)
+       WHEN event_id % 11 = 0 THEN date_trunc('second', ts) - INTERVAL 8 HOUR WHEN event_id % 11 = 1 THEN date_trunc('minute', ts)
+       WHEN event_id % 11 = 2 AND day(ts) <= 12
+         THEN make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), CAST(second(ts) AS DOUBLE))
+       WHEN event_id % 11 = 2 THEN date_trunc('second', ts)
+       WHEN event_id % 5 < 2 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS trade_time,
+       event_type = 'error' AS failed FROM events""",
 )
 add("drop_zone", "SELECT event_id, ts + INTERVAL 8 HOUR AS ts FROM events")
 TREND = "CAST(CASE WHEN close > open THEN 1 WHEN close < open THEN -1 ELSE 0 END AS BIGINT) AS direction"
