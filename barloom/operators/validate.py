@@ -1,10 +1,12 @@
-"""Checks on tables. Each gate is one aggregate over the data and reports all failures."""
+"""Checks on tables. Gates report all failures; a watched one counts while the rows pass it on their way to a sink."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,25 +34,75 @@ def type_failures(df: DataFrame, expected: T.StructType) -> list[tuple[str, str]
     return failures
 
 
+class EmptyDataSet(ValueError):
+    """The load matched no rows."""
+
+
+def _required(df: DataFrame, expected: T.StructType) -> list[str]:
+    return [f.name for f in expected.fields if not f.nullable and f.name in df.columns]
+
+
+def _nulls_in(names: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in names]
+
+
 def null_counts(df: DataFrame, expected: T.StructType) -> DataFrame:
     """(column, nulls) for each column that must not be null; one pass, one row per column."""
-    required = [f.name for f in expected.fields if not f.nullable and f.name in df.columns]
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in required))
+    required = _required(df, expected)
+    counts = df.agg(*_nulls_in(required))
     pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in required))
     return counts.select(F.inline(pairs))
 
 
-def require(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Return the table, or raise with all failures."""
-    failures = [f"{name}: {what}" for name, what in type_failures(df, expected)]
-    # at most one row per schema column
-    bad = null_counts(df, expected).where("nulls > 0").collect()
-    failures += [f"{row['column']}: {row['nulls']} nulls" for row in bad]
+_ROWS = "rows passed"
+
+
+def _judge(failures: list[tuple[str, str]], counted: dict[str, int], not_empty: bool) -> None:
+    if not_empty and not counted[_ROWS]:
+        raise EmptyDataSet("empty data set")
+    failures = failures + [(name, f"{n} nulls") for name, n in counted.items() if n and name != _ROWS]
     if failures:
-        raise SchemaError("; ".join(failures))
+        raise SchemaError("; ".join(f"{name}: {what}" for name, what in failures))
+
+
+def require(df: DataFrame, expected: T.StructType, not_empty: bool = False) -> DataFrame:
+    """Return the table, or raise with all failures; one pass."""
+    counted = df.agg(F.count(F.lit(1)).alias(_ROWS), *_nulls_in(_required(df, expected))).first()
+    _judge(type_failures(df, expected), counted.asDict(), not_empty)
     return df
 
 
+@dataclass
+class Watch:
+    """A gate that costs no pass of its own: rows are counted as they pass, and judged after the action that made them pass.
+
+    Columns that are missing or of another type are refused at once. Put it on one frame only.
+    """
+
+    expected: T.StructType
+    not_empty: bool = False
+    _seen: Observation = field(default_factory=Observation, init=False)
+    _gated: DataFrame | None = field(default=None, init=False)
+    _counts: list[Column] = field(default_factory=list, init=False)
+
+    def over(self, df: DataFrame) -> DataFrame:
+        failures = type_failures(df, self.expected)
+        if failures:
+            raise SchemaError("; ".join(f"{name}: {what}" for name, what in failures))
+        self._counts = [F.count(F.lit(1)).alias(_ROWS), *_nulls_in(_required(df, self.expected))]
+        self._gated = df
+        return df.observe(self._seen, *self._counts)
+
+    def check(self) -> None:
+        """Raise with all failures. Waits for an action over the frame."""
+        try:
+            counted = dict(self._seen.get)
+        except Py4JJavaError:
+            # a plan that is known to have no rows loses its counts; this pass reads nothing either
+            counted = self._gated.agg(*self._counts).first().asDict()
+        _judge([], counted, self.not_empty)
+
+
 def require_bars(df: DataFrame) -> DataFrame:
     return require(df, BAR_SCHEMA)
 

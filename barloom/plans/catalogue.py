@@ -209,6 +209,44 @@ def output_gate(spark, folder):
     return validate.null_counts(preprocess.run_stages(event_bars(spark, folder)), FEATURE_SCHEMA)
 
 
+@query
+def load_gate(spark, folder):
+    """What becomes of three loads: one that is fine, one that matches nothing and one with missing codes."""
+    bars = event_bars(spark, folder)
+    loads = {
+        "all": lambda: select_bars(bars),
+        "none": lambda: select_bars(bars, "nobody"),
+        "gaps": lambda: bars.withColumn("code", F.when(F.col("code") != "error", F.col("code"))),
+    }
+    outcomes = []
+    for name, load in loads.items():
+        path = scratch_path(spark, "gated")
+        job = preprocess.PrepareJob(load, lambda df, path=path: df.write.parquet(path), stages=preprocess.PREPARE_STAGES[1:2])
+        try:
+            job.run()
+            outcomes.append((name, "stored", spark.read.parquet(path).count()))
+            files.remove(spark, path)
+        except preprocess.StageError as error:
+            outcomes.append((name, str(error), 0))
+    return spark.createDataFrame(outcomes, "name string, outcome string, bars long")
+
+
+@query
+def prepared_datasets(spark, folder):
+    """Two loads of bars through the whole job: each is stored as datasets, whose series are merged afterwards and noted by
+    a second action."""
+    store = DatasetStore(spark, scratch_path(spark, "prepared"))
+    noted = scratch_path(spark, "noted")
+    actions = [preprocess.merge_written_pairs(store), lambda df: clean.distinct_pairs(df, ordered=False).write.mode("append").parquet(noted)]
+    bars = event_bars(spark, folder)
+    for load in (bars.where("hour(trade_time) < 12"), bars.where("hour(trade_time) >= 8 AND code <> 'view'")):
+        preprocess.PrepareJob(lambda load=load: load, preprocess.into_datasets(store), actions=actions).run()
+    loads = spark.read.parquet(noted).groupBy("code", "candle").agg(F.count(F.lit(1)).alias("loads"))
+    stored = store.read().groupBy("code", "candle").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"))
+    named = store.datasets().groupBy("code", "candle").agg(F.count(F.lit(1)).alias("datasets"), F.max("name").alias("name"))
+    return stored.join(loads, ["code", "candle"]).join(named, ["code", "candle"])
+
+
 @query
 def repeated_keys(spark, folder):
     return validate.repeated_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])

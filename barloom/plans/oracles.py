@@ -161,6 +161,20 @@ add(
     "gated AS (SELECT * REPLACE (CASE WHEN code <> 'error' THEN code END AS code, CASE WHEN volume > 1 THEN close END AS close) FROM bars)",
 )
 add("output_gate", "SELECT 'direction' AS column, count(*) FILTER (direction IS NULL) AS nulls FROM featured", HOUR_BARS, FEATURES)
+add(
+    "load_gate",
+    """SELECT 'all' AS name, 'stored' AS outcome, count(*) AS bars FROM bars
+       UNION ALL SELECT 'none', 'load gate: empty data set', 0
+       UNION ALL SELECT 'gaps', 'load gate: code: ' || count(*) || ' nulls', 0 FROM bars WHERE code = 'error'""",
+    HOUR_BARS,
+)
+add(
+    "prepared_datasets",
+    """SELECT code, candle, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume, CASE WHEN code = 'view' THEN 1 ELSE 2 END AS loads, 1 AS datasets,
+       code || '_' || candle || '_' || strftime(min(trade_time), '%Y-%m-%d') || '_' || strftime(max(trade_time), '%Y-%m-%d') || '.parquet' AS name
+       FROM bars WHERE hour(trade_time) < 12 OR code <> 'view' GROUP BY code, candle""",
+    HOUR_BARS,
+)
 add(
     "repeated_keys",
     "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",

@@ -6,10 +6,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from barloom.operators.candles import add_candle_features
 from barloom.operators.clean import add_date_range, clean_rows, distinct_pairs, drop_row_stamps
-from barloom.operators.validate import require_features
+from barloom.operators.validate import Watch
+from barloom.schema import BAR_SCHEMA, FEATURE_SCHEMA
+from barloom.session import scratch_path
+from barloom.sources.files import remove
 from barloom.sources.tables import BarTable, DatasetStore
 
 Step = Callable[[DataFrame], DataFrame]
@@ -54,20 +58,34 @@ def run_stages(df: DataFrame, stages: Sequence[Stage] = PREPARE_STAGES) -> DataF
 
 @dataclass(frozen=True)
 class PrepareJob:
-    """Load, prepare, store and follow up; stops at the first error."""
+    """Load, prepare, store and follow up; stops at the first error.
+
+    The rows are written to the shared folder once, and both gates count them on the way there. Only if those find nothing are
+    they stored; storing and the actions read the written rows.
+    """
 
     load: Callable[[], DataFrame]
     store: Action
     stages: Sequence[Stage] = PREPARE_STAGES
-    gate: Step = require_features
+    needs: StructType = BAR_SCHEMA
+    gives: StructType = FEATURE_SCHEMA
     actions: Sequence[Action] = field(default_factory=tuple)
 
     def run(self) -> DataFrame:
-        loaded = _named("load", self.load)
-        ready = _named("output gate", self.gate, run_stages(loaded, self.stages))
-        _named("store", self.store, ready)
-        for number, action in enumerate(self.actions, 1):
-            _named(f"action {number}", action, ready)
+        load_gate, output_gate = Watch(self.needs, not_empty=True), Watch(self.gives)
+        loaded = _named("load gate", load_gate.over, _named("load", self.load))
+        ready = _named("output gate", output_gate.over, run_stages(loaded, self.stages))
+        spark, path = ready.sparkSession, scratch_path(ready.sparkSession, "prepared")
+        try:
+            _named("write", ready.write.parquet, path)
+            _named("load gate", load_gate.check)
+            _named("output gate", output_gate.check)
+            written = spark.read.schema(ready.schema).parquet(path)
+            _named("store", self.store, written)
+            for number, action in enumerate(self.actions, 1):
+                _named(f"action {number}", action, written)
+        finally:
+            remove(spark, path)
         return ready
 
 

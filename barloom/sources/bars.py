@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from barloom.functions.text import parse_codes
 from barloom.operators.clean import coerce_prices
-from barloom.operators.validate import require_bars
+from barloom.operators.validate import EmptyDataSet, require
+from barloom.schema import BAR_SCHEMA
 from barloom.session import prepare
 
-ALL_CODES = "*"
-
+__all__ = ["ALL_CODES", "EmptyDataSet", "in_time_order", "load_bars", "read_table", "select_bars"]
 
-class EmptyDataSet(ValueError):
-    """The load matched no bars."""
+ALL_CODES = "*"
 
 
 def read_table(spark: SparkSession, path: str | None = None, form: str = "parquet", **options: str) -> DataFrame:
@@ -68,8 +67,6 @@ def in_time_order(df: DataFrame, column: str = "trade_time") -> DataFrame:
 
 
 def load_bars(df: DataFrame, **filters) -> DataFrame:
-    """Select bars and pass them through the load gate: not empty, right types, no missing values."""
-    bars = select_bars(df, **filters)
-    if bars.isEmpty():
-        raise EmptyDataSet("empty data set")
-    return require_bars(bars)
+    """Select bars and pass them through the load gate: not empty, right types, no missing values. The gate is
+    a pass of its own here; a `PrepareJob` over `select_bars` counts while it writes."""
+    return require(select_bars(df, **filters), BAR_SCHEMA, not_empty=True)

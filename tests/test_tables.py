@@ -36,7 +36,7 @@ def two_series():
 def job(spark, pdf, store):
     bars = spark_bars(spark, pdf, 1)
     return preprocess.PrepareJob(
-        load=lambda: bar_source.load_bars(bars),
+        load=lambda: bar_source.select_bars(bars),
         store=preprocess.into_datasets(store),
         actions=[preprocess.merge_written_pairs(store)],
     )
