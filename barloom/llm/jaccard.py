@@ -119,7 +119,8 @@ def _posted(sets: DataFrame, percent: int) -> DataFrame:
 def _connected(sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of all classes that have a link."""
     posted = stored(_posted(sets, percent), "posted")
-    groups = posted.groupBy("_n", "_own", "_posted").agg(F.min("_uid").alias("_gid"))
+    # what is found per group and list is written, so that adaptive execution can split the joins with it at hot keys
+    groups = stored(posted.groupBy("_n", "_own", "_posted").agg(F.min("_uid").alias("_gid")), "groups")
     members = stored(
         posted.join(groups, ["_n", "_own", "_posted"]).select("_uid", "_gid", "_n", "_own"), "members"
     )
@@ -131,7 +132,7 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame:
     )
 
     # each group with the centre of each of its lists
-    centres = entries.groupBy("_h").agg(F.min(F.struct("_own", "_gid", "_n")).alias("_c"))
+    centres = stored(entries.groupBy("_h").agg(F.min(F.struct("_own", "_gid", "_n")).alias("_c")), "centres")
     starred = (
         entries.join(centres, "_h")
         .where(F.col("_gid") != F.col("_c._gid"))
@@ -143,13 +144,10 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame:
     in_group = members.where("_uid <> _gid").select(F.col("_uid").alias("a"), F.col("_gid").alias("b"))
     star = stored(_verified(to_centre.unionByName(in_group).distinct(), sets, percent), "links")
 
-    # classes with the same label are connected; connected classes may still differ in it
-    label = members.select("_uid", "_gid", "_n").join(
-        star.groupBy(F.col("a").alias("_uid")).agg(F.min("b").alias("_to")), "_uid", "left"
-    ).select("_uid", "_gid", "_n", F.least("_uid", "_to").alias("_one"))
-    first_label = stored(label, "labels")
-    hop = first_label.select(F.col("_uid").alias("_one"), F.col("_one").alias("_two"))
-    label = stored(first_label.join(hop, "_one").select("_uid", "_gid", "_n", F.col("_two").alias("_label")), "labels")
+    # classes that the links so far connect have one label
+    reached = components(star).select(F.col("node").alias("_uid"), "component")
+    label = members.select("_uid", "_gid", "_n").join(reached, "_uid", "left")
+    label = stored(label.select("_uid", "_gid", "_n", F.coalesce("component", "_uid").alias("_label")), "labels")
 
     # parts of groups that have one label, in the lists of their group
     parts = label.select("_gid", "_label", "_n").distinct()
@@ -159,8 +157,9 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame:
     most = in_lists.groupBy("_h", "_label").agg(F.count(F.lit(1)).alias("_k"))
     most = most.groupBy("_h").agg(
         F.max(F.struct("_k", "_label")).alias("_top"), F.count(F.lit(1)).alias("_labels")
-    ).where("_labels > 1").select("_h", F.col("_top._label").alias("_main"))
-    mixed = in_lists.join(most, "_h")
+    )
+    main = stored(most.where("_labels > 1").select("_h", F.col("_top._label").alias("_main")), "main")
+    mixed = in_lists.join(main, "_h")
     rest = mixed.where("_label <> _main").select(
         "_h", *[F.col(name).alias(f"{name}2") for name in ("_gid", "_label", "_n", "_skip")]
     )
@@ -178,7 +177,7 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame:
     expanded = pairs.join(one, ["_gid", "_label"]).join(two, ["_gid2", "_label2"]).select("a", "b")
     more = stored(_verified(expanded, sets, percent), "links")
     found = components(star.unionByName(more))
-    drop_stored(posted, members, entries, star, first_label, label, in_lists, more)
+    drop_stored(posted, groups, members, entries, centres, star, label, in_lists, main, more)
     return found
 
 
@@ -237,9 +236,9 @@ def near_copies(
         "_component", F.coalesce("component", "_uid")
     )
     named = stored(named.select(*key, "_component", "_least", "_rows", "_first"), "classes")
-    totals = named.groupBy("_component").agg(
+    totals = stored(named.groupBy("_component").agg(
         F.min("_least").alias("component_id"), F.sum("_rows").alias("component_size"), F.min("_first").alias("_first")
-    )
+    ), "totals")
     placed = named.select(*key, "_component").join(totals, "_component").drop("_component")
     joined = facts.where("_n > 0").join(placed, key).select(
         *carried, F.col("_id").alias("doc_id"), F.col("_n").alias("n_shingles"), "component_id", "component_size",
