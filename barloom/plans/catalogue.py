@@ -21,7 +21,7 @@ from barloom.plans.testbars import event_bars, month_bars, table
 from barloom.schema import BAR_SCHEMA, FEATURE_SCHEMA, RUN_LOG_SCHEMA, TRADE_SCHEMA
 from barloom.session import scratch_path
 from barloom.sources import files
-from barloom.sources.bars import select_bars
+from barloom.sources.bars import select_bars, write_in_time_order
 from barloom.sources.tables import BarTable, DatasetStore, KeyedTable
 from barloom.streaming import bars as bar_stream
 from barloom.streaming import messages
@@ -209,6 +209,14 @@ def output_gate(spark, folder):
     return validate.null_counts(preprocess.run_stages(event_bars(spark, folder)), FEATURE_SCHEMA)
 
 
+@query
+def ordered_bars(spark, folder):
+    """Bars written in the order of time, with their place in it."""
+    path = scratch_path(spark, "ordered")
+    write_in_time_order(month_bars(spark, folder), path)
+    return spark.read.parquet(path).select("id", *SERIES, "close", "position")
+
+
 @query
 def load_gate(spark, folder):
     """What becomes of three loads: one that is fine, one that matches nothing and one with missing codes."""

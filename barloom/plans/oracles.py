@@ -161,6 +161,11 @@ add(
     "gated AS (SELECT * REPLACE (CASE WHEN code <> 'error' THEN code END AS code, CASE WHEN volume > 1 THEN close END AS close) FROM bars)",
 )
 add("output_gate", "SELECT 'direction' AS column, count(*) FILTER (direction IS NULL) AS nulls FROM featured", HOUR_BARS, FEATURES)
+add(
+    "ordered_bars",
+    f"SELECT {ROW}, round(close, 4) AS close, row_number() OVER (ORDER BY trade_time, code, candle, id) - 1 AS position FROM bars",
+    MONTH_BARS,
+)
 add(
     "load_gate",
     """SELECT 'all' AS name, 'stored' AS outcome, count(*) AS bars FROM bars

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from barloom.functions.text import parse_codes
 from barloom.operators.clean import coerce_prices
+from barloom.operators.series import SeriesSpec, with_index
 from barloom.operators.validate import EmptyDataSet, require
 from barloom.schema import BAR_SCHEMA
 from barloom.session import prepare
 
-__all__ = ["ALL_CODES", "EmptyDataSet", "in_time_order", "load_bars", "read_table", "select_bars"]
+__all__ = ["ALL_CODES", "EmptyDataSet", "in_numbered_order", "in_time_order", "load_bars", "read_table", "select_bars", "write_in_time_order"]
 
 ALL_CODES = "*"
 
@@ -66,6 +67,20 @@ def in_time_order(df: DataFrame, column: str = "trade_time") -> DataFrame:
     return df.orderBy(column)
 
 
+TIME_ORDER = SeriesSpec(keys=(), tie=("code", "candle", "id"))
+
+
+def in_numbered_order(df: DataFrame, spec: SeriesSpec = TIME_ORDER, position: str = "position") -> DataFrame:
+    """All rows with their place in the order of time, from 0. Counts per slice of time give it, so nothing is sorted as a whole."""
+    return with_index(df, spec, position)
+
+
+def write_in_time_order(df: DataFrame, path: str, spec: SeriesSpec = TIME_ORDER) -> None:
+    """Parquet files that hold ranges of the order of time, each sorted, with every row's place in it."""
+    numbered = in_numbered_order(df, spec)
+    numbered.repartitionByRange("position").sortWithinPartitions("position").write.mode("overwrite").parquet(path)
+
+
 def load_bars(df: DataFrame, **filters) -> DataFrame:
     """Select bars and pass them through the load gate: not empty, right types, no missing values. The gate is
     a pass of its own here; a `PrepareJob` over `select_bars` counts while it writes."""

@@ -61,21 +61,31 @@ def has_files(spark: SparkSession, path: str) -> bool:
 
 
 def read_parquet_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet table with the columns of all its files.
-
-    Finding those reads every footer; a known schema saves that.
-    """
+    """A Parquet table with the columns of all its files, those that the table's note names. Only for a table
+    without note every footer is read."""
     reader = prepare(spark).read
+    schema = schema or stored_schema(spark, path)
     if schema is not None:
         return reader.schema(schema).parquet(path)
     return reader.option("mergeSchema", "true").parquet(path)
 
 
 LAYOUT_FILE = "_layout"
+_SCHEMA = "schema"
 
 
 def stored_layout(spark: SparkSession, path: str) -> dict[str, str]:
     """What a table says about how its rows are laid out; empty for a table without such a note."""
+    return {name: value for name, value in _note(spark, path).items() if name != _SCHEMA}
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns that any write to the table had."""
+    noted = _note(spark, path).get(_SCHEMA)
+    return T.StructType.fromJson(json.loads(noted)) if noted else None
+
+
+def _note(spark: SparkSession, path: str) -> dict[str, str]:
     fs, where = _file_system(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
     if not fs.exists(where):
         return {}
@@ -86,19 +96,40 @@ def stored_layout(spark: SparkSession, path: str) -> dict[str, str]:
         stream.close()
 
 
-def keep_layout(spark: SparkSession, path: str, layout: dict[str, str]) -> None:
-    """Note the layout with the table. A table that has another one is refused: rows placed by
-    two rules would be stored twice. Readers pass over the file, as its name starts with `_`."""
-    known = stored_layout(spark, path)
+def _write_note(spark: SparkSession, path: str, note: dict[str, str]) -> None:
+    fs, where = _file_system(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(json.dumps(note, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def _with_columns_of(known: T.StructType | None, added: T.StructType, path: str) -> T.StructType:
+    """The known columns, then new ones; a column of another type is refused."""
+    types = {f.name: f.dataType for f in known.fields} if known else {}
+    for f in added.fields:
+        if types.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"{f.name} of {path} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+def keep_layout(spark: SparkSession, path: str, layout: dict[str, str], schema: T.StructType | None = None) -> None:
+    """Note the layout with the table, and the columns of a write that is to come. A table that has another layout is refused, and
+    so is one that has rows but no note: rows placed by two rules would be stored twice. Readers pass over the file, as its name starts
+    with `_`."""
+    note = _note(spark, path)
+    known = {name: value for name, value in note.items() if name != _SCHEMA}
     if known and known != layout:
         raise ValueError(f"{path} has the layout {known}, not {layout}")
-    if not known:
-        fs, where = _file_system(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
-        stream = fs.create(where, True)
-        try:
-            stream.write(bytearray(json.dumps(layout, sort_keys=True).encode()))
-        finally:
-            stream.close()
+    if not known and has_files(spark, path):
+        raise ValueError(f"{path} has rows, but no note of their layout, so it cannot be {layout}")
+    wanted = dict(layout)
+    if schema is not None or _SCHEMA in note:
+        noted = stored_schema(spark, path) if _SCHEMA in note else None
+        wanted[_SCHEMA] = (_with_columns_of(noted, schema, path) if schema is not None else noted).json()
+    if wanted != note:
+        _write_note(spark, path, wanted)
 
 
 def write_partitioned(
@@ -219,6 +250,9 @@ def partition_value(folder: Column, name: str) -> Column:
 
 def _rewrite(spark: SparkSession, path: str, affected: DataFrame, partitions: Sequence[str], change) -> None:
     table = read_parquet_table(spark, path)
+    note = _note(spark, path)
+    if _SCHEMA in note:
+        _write_note(spark, path, {**note, _SCHEMA: change(table).schema.json()})
     folders = affected.select("folder").distinct()
     if partitions:
         touched = folders.select(*(partition_value(F.col("folder"), c).alias(c) for c in partitions))

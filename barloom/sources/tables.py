@@ -51,7 +51,7 @@ class BarTable:
     path: str
     buckets: int = 16
     period: Literal["YEAR", "MONTH", "DAY"] = "YEAR"
-    # columns of the bars; found from the files when not given
+    # columns of the bars; those noted with the table when not given
     schema: T.StructType | None = None
 
     PARTITIONS = ("candle", "code_bucket", "trade_period")
@@ -81,7 +81,7 @@ class BarTable:
         batch, the highest id counts.
         """
         placed = self._placed(batch)
-        keep_layout(self.spark, self.path, {"buckets": str(self.buckets), "period": self.period})
+        keep_layout(self.spark, self.path, {"buckets": str(self.buckets), "period": self.period}, placed.schema)
         if self.is_empty():
             merged = newest_per_key(placed, BAR_KEY, [c for c in ("id",) if c in placed.columns])
             write_partitioned(merged, self.path, self.PARTITIONS, ("code", "trade_time"))
@@ -115,6 +115,9 @@ class DatasetStore:
     def _append(self, df: DataFrame, number: int) -> None:
         """Write a generation. Its folders are new, so the commit only adds files."""
         numbered = df.withColumn("generation", F.lit(f"{number:09d}"))
+        # what stands in folder names is read back as text
+        noted = numbered.withColumns({c: F.col(c).cast("string") for c in self.PARTITIONS}).schema
+        keep_layout(self.spark, self.path, {"named_by": ",".join(self.NAMED_BY)}, noted)
         write_partitioned(numbered, self.path, self.PARTITIONS, ("trade_time",), mode="append")
 
     def is_empty(self) -> bool:

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pandas as pd
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from barloom.operators import clean, numbering, upsert
 from barloom.plans import preprocess
 from barloom.schema import RESULT_SCHEMA, TRADE_SCHEMA
-from barloom.session import scratch_path, shared_folder
+from barloom.session import prepare, scratch_path, shared_folder
 from barloom.sources import bars as bar_source
 from barloom.sources import files
 from barloom.sources.tables import BarTable, DatasetStore, KeyedTable
@@ -291,6 +292,51 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_tables_note_their_columns(spark, monkeypatch):
+    bars = spark_bars(spark, walk("A", 30, 1))
+    wider = spark_bars(spark, walk("B", 5, 2)).withColumn("venue", F.lit("x"))
+    path = scratch_path(spark, "bars")
+    table = BarTable(spark, path, buckets=2)
+    table.upsert(bars)
+    table.upsert(wider)
+    table.upsert(bars)
+    assert files.stored_schema(spark, path).names == [*bars.columns, "code_bucket", "trade_period", "venue"]
+    assert table.read().where("venue = 'x'").count() == 5 and table.read().count() == 35
+    # the columns are known without a look at the files
+    monkeypatch.setattr(files, "prepare", lambda spark: pytest.fail("footers") if files.stored_schema(spark, path) is None else prepare(spark))
+    assert "venue" in BarTable(spark, path, buckets=2).read().columns
+    with pytest.raises(ValueError, match="venue of .* is string, not int"):
+        table.upsert(bars.withColumn("venue", F.lit(1)))
+    files.drop_columns(spark, path, ["venue"], BarTable.PARTITIONS)
+    assert "venue" not in table.read().columns and table.read().count() == 35
+    store = DatasetStore(spark, scratch_path(spark, "sets"))
+    store.write(preprocess.run_stages(spark_bars(spark, factory_rows(), 1)))
+    assert "body_perc" in files.stored_schema(spark, store.path).names
+
+
+def test_tables_without_a_note_are_refused(spark):
+    bars = spark_bars(spark, walk("A", 10, 1))
+    path = scratch_path(spark, "old")
+    bars.write.partitionBy("candle").parquet(path)
+    with pytest.raises(ValueError, match="no note"):
+        BarTable(spark, path).upsert(bars)
+    assert files.read_parquet_table(spark, path).count() == 10
+
+
+def test_rows_are_written_in_the_order_of_time(spark):
+    pdf = pd.concat([walk("B", 90, 1, step="7h"), walk("A", 50, 2, step="13h")])
+    for spec in (bar_source.TIME_ORDER, replace(bar_source.TIME_ORDER, block_rows=16)):
+        path = scratch_path(spark, "ordered")
+        bar_source.write_in_time_order(spark_bars(spark, pdf), path, spec)
+        rows = spark.read.parquet(path).withColumn("file", F.input_file_name())
+        ordered = rows.orderBy("position").toPandas()
+        assert ordered.position.tolist() == list(range(140))
+        want = pdf.sort_values(["trade_time", "code", "candle", "id"])
+        assert ordered.id.tolist() == want.id.tolist()
+        spans = rows.groupBy("file").agg(F.min("position").alias("a"), F.max("position").alias("b"), F.count("*").alias("n")).collect()
+        assert all(row.b - row.a + 1 == row.n for row in spans)
+
+
 def test_tables_refuse_another_layout(spark):
     rows = spark.createDataFrame([(str(i), i) for i in range(20)], "id string, v int")
     path = scratch_path(spark, "keyed")
