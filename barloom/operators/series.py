@@ -104,14 +104,22 @@ def join_back(df: DataFrame, right: DataFrame, on: Sequence[str], how: str = "in
     return df.withColumn(key, F.struct(*on)).join(keyed, key, how).drop(key)
 
 
-def _sliced(df: DataFrame, spec: SeriesSpec, rows: int) -> DataFrame:
-    """Add the slice of time of each row."""
-    at = F.unix_micros(F.col(spec.time).cast("timestamp"))
+def _micros(spec: SeriesSpec) -> Column:
+    return F.unix_micros(F.col(spec.time).cast("timestamp"))
+
+
+def _slice_width(df: DataFrame, spec: SeriesSpec, rows: int) -> Column:
+    """Microseconds of a slice, one value for all rows; null where no series is longer than a block."""
+    at = _micros(spec)
     series = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), (F.max(at) - F.min(at)).alias("span"))
-    width = series.agg(F.min(F.when(F.col("n") > rows, F.greatest(F.lit(1), F.col("span") * rows / F.col("n"))))).scalar()
-    # without a long series there is no width, and one slice
-    number = F.coalesce(F.floor(at / width), F.lit(0))
-    return df.withColumn(SLICE, F.when(at.isNull(), F.lit(_BEFORE_ALL)).otherwise(number))
+    return series.agg(F.min(F.when(F.col("n") > rows, F.greatest(F.lit(1), F.col("span") * rows / F.col("n"))))).scalar()
+
+
+def _sliced(df: DataFrame, spec: SeriesSpec, width: Column) -> DataFrame:
+    """Add the slice of time of each row: one for all where there is no width."""
+    at = _micros(spec)
+    number = F.when(width.isNull(), F.lit(0)).when(at.isNull(), F.lit(_BEFORE_ALL)).otherwise(F.floor(at / width))
+    return df.withColumn(SLICE, number)
 
 
 @dataclass(frozen=True)
@@ -124,14 +132,16 @@ class Running:
 
 def _add_running(df: DataFrame, spec: SeriesSpec, sums: dict[str, Running], rows: int) -> DataFrame:
     """Add the sums (0 before the first value). Sums of slices are added up over the slices of a series, those within a slice by a window."""
-    sliced = _sliced(df, spec, rows)
+    width = _slice_width(df, spec, rows)
+    sliced = _sliced(df, spec, width)
     part = (*spec.keys, SLICE)
-    of_slices = sliced.groupBy(*part).agg(*(F.sum(s.value).alias(f"_before{name}") for name, s in sums.items()))
+    # a single slice has nothing before it: then no row passes, and nothing is summed
+    of_slices = sliced.where(width.isNotNull()).groupBy(*part).agg(*(F.sum(s.value).alias(f"_before{name}") for name, s in sums.items()))
     earlier = Window.partitionBy(*spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     key = F.struct(*part).alias(_SLOT)
     offsets = of_slices.select(key, *(F.sum(f"_before{name}").over(earlier).alias(f"_before{name}") for name in sums))
     # the join's shuffle serves the windows too
-    joined = sliced.select("*", key).join(offsets, _SLOT)
+    joined = sliced.select("*", key).join(offsets, _SLOT, "left")
     inside = Window.partitionBy(_SLOT).orderBy(*spec.order(df))
 
     def total(name: str, s: Running) -> Column:

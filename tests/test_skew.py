@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators.clean import add_date_range
-from barloom.operators.series import SLICE, SeriesSpec, _sliced, join_back, over_rows, running_sum
+from barloom.operators.series import SLICE, SeriesSpec, _slice_width, _sliced, join_back, over_rows, running_sum
 
 FORCED = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -68,7 +68,7 @@ def test_join_back_keeps_rows_and_null_keys(spark, how):
 
 def test_a_hot_series_is_cut_into_bounded_slices_and_blocks(spark):
     bars, spec = hot_bars(spark), SeriesSpec(block_rows=2_000)
-    longest = _sliced(bars, spec, 2_000).groupBy("code", "candle", SLICE).count().agg(F.max("count")).first()[0]
+    longest = _sliced(bars, spec, _slice_width(bars, spec, 2_000)).groupBy("code", "candle", SLICE).count().agg(F.max("count")).first()[0]
     assert longest <= 2_001
     counted = over_rows(bars, 10, lambda rows, frame: rows.withColumn("n", F.count("close").over(frame.ordered())), spec)
     assert counted.count() == bars.count()
