@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from barloom.functions.times import rfc3339
 from barloom.operators.series import BARS, Frame, SeriesSpec, over_rows
@@ -27,21 +28,56 @@ def price_windows(df: DataFrame, size: int, spec: SeriesSpec = BARS) -> DataFram
 def growth_shape(prices: Column) -> Column:
     """Prices relative to the mean of the window, less 1, so that level does not matter."""
     mean = F.aggregate(prices, F.lit(0.0), lambda total, p: total + p) / F.size(prices)
-    return F.transform(prices, lambda p: p / mean - 1)
+    # the mean is computed once per window, not for each price
+    return F.element_at(F.transform(F.array(mean), lambda m: F.transform(prices, lambda p: p / m - 1)), 1)
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, p: total + p)
 
 
+def principal_components(shapes: DataFrame, components: int) -> np.ndarray:
+    """The first principal components of a column of arrays of one length, a row each; of either sign the
+    one whose largest entry is positive.
+
+    One pass: each task adds up its products of all pairs of entries, and the tasks' sums are added by entry. What reaches
+    the driver is one number per pair of places in a window.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            column = batch.column(0).drop_null()
+            if len(column):
+                rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+                extended = np.column_stack((np.ones(len(rows)), rows))
+                found = extended.T @ extended
+                total = found if total is None else total + found
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["products"])
+
+    parts = shapes.mapInArrow(sums, "products array<double>")
+    summed = parts.select(F.posexplode("products").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).toPandas()
+    size = round(len(summed) ** 0.5)
+    if size < 2:
+        return np.empty((0, 0))
+    products = summed.sort_values("at")["x"].to_numpy().reshape(size, size)
+    # the first row and column are sums, of ones at the corner
+    count, means = products[0, 0], products[0, 1:] / products[0, 0]
+    spread = (products[1:, 1:] - count * np.outer(means, means)) / max(1.0, count - 1)
+    _, vectors = np.linalg.eigh(spread)
+    chosen = vectors[:, ::-1][:, :components].T
+    largest = chosen[np.arange(len(chosen)), np.abs(chosen).argmax(axis=1)]
+    return chosen * np.where(largest < 0, -1.0, 1.0)[:, None]
+
+
 def reduce_windows(windows: DataFrame, components: int = 12) -> DataFrame:
     """Add `values`: the window's shape in its first principal components."""
-    shaped = windows.withColumn("_shape", array_to_vector(growth_shape(F.col("prices"))))
-    # fitting reads the vectors several times; they spill to disk, and lost ones are rebuilt
-    vectors = shaped.select("_shape").persist(StorageLevel.MEMORY_AND_DISK)
-    model = PCA(k=components, inputCol="_shape", outputCol="_reduced").fit(vectors)
-    vectors.unpersist()
-    return model.transform(shaped).withColumn("values", vector_to_array("_reduced")).drop("_shape", "_reduced")
+    shape = growth_shape(F.col("prices"))
+    found = principal_components(windows.select(shape.alias("shape")), components)
+    axes = F.array(*(F.array(*(F.lit(float(x)) for x in row)) for row in found)) if len(found) else F.array().cast("array<array<double>>")
+    shaped = windows.withColumn("_shape", shape)
+    return shaped.withColumn("values", F.transform(axes, lambda axis: _dot(F.col("_shape"), axis))).drop("_shape")
 
 
 def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20) -> DataFrame:

@@ -2,6 +2,7 @@ import json
 import uuid
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from barsets import spark_bars, walk
 from pyspark.sql import functions as F
@@ -138,6 +139,19 @@ def test_similar_windows_find_the_same_shape(spark):
     assert first.end_time == f"{base.trade_time.iloc[-1]:%Y-%m-%d}T00:00:00Z"
 
 
+def test_reduced_values_equal_numpy(spark):
+    pdf = pd.concat([walk("A", 200, 1), walk("B", 90, 2), walk("C", 60, 3)])
+    windows = similar.price_windows(spark_bars(spark, pdf), 10)
+    got = similar.reduce_windows(windows, 4).select("prices", "values").toPandas()
+    prices = np.array(got.prices.tolist())
+    shapes = prices / prices.mean(axis=1, keepdims=True) - 1
+    weights, vectors = np.linalg.eigh(np.cov(shapes.T))
+    first = vectors[:, np.argsort(-weights)[:4]]
+    first *= np.sign(first[np.abs(first).argmax(axis=0), range(4)])
+    np.testing.assert_allclose(np.array(got["values"].tolist()), shapes @ first, atol=1e-9)
+    assert similar.reduce_windows(windows.where("code = 'none'"), 4).count() == 0
+
+
 def test_similar_windows_name_the_sample_and_keep_null_codes(spark):
     base = walk("A", 40, 1)
     pdf = pd.concat([base, base.assign(code=None, close=base.close * 3)])
