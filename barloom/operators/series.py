@@ -8,8 +8,9 @@ Windows then run per block, so no task holds more than one block and the rows wi
 Positions come from counts per slice of time, never from a window over the whole series. How wide a slice is
 follows from the rows themselves, by an aggregate within the query: as wide as a block's rows are on
 average in the densest of the series that are longer than a block; without such a series there is one slice. Nothing is
-measured while a plan is built, and all sizes take the same way. A block has as many rows as fit the session's advisory
-partition size.
+measured while a plan is built. A block has as many rows as fit the session's advisory partition size. Where all
+rows fit into that by the size the optimizer knows for its own choices, no series can be cut, and the steps that would find nothing to
+cut are left out of the plan; the rows are the same.
 """
 
 from __future__ import annotations
@@ -80,9 +81,21 @@ def _row_bytes(schema: T.StructType) -> int:
 def block_rows(df: DataFrame, spec: SeriesSpec) -> int:
     if spec.block_rows is not None:
         return spec.block_rows
+    return max(1, _block_bytes(df) // _row_bytes(df.schema))
+
+
+def _block_bytes(df: DataFrame) -> int:
     size = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     number, unit = re.fullmatch(r"(\d+)\s*([bkmgt]?)b?", size.strip().lower()).groups()
-    return max(1, int(number) * _UNITS[unit] // _row_bytes(df.schema))
+    return int(number) * _UNITS[unit]
+
+
+def _fits_a_block(df: DataFrame, spec: SeriesSpec) -> bool:
+    """Whether all rows are less than a block by the optimizer's estimate, which needs no job."""
+    if spec.block_rows is not None:
+        return False
+    known = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(known) <= _block_bytes(df)
 
 
 def _names_of(on: Sequence[str], column_names: Sequence[str]) -> str:
@@ -151,15 +164,24 @@ def _add_running(df: DataFrame, spec: SeriesSpec, sums: dict[str, Running], rows
     return joined.withColumns({name: total(name, s) for name, s in sums.items()}).drop(SLICE, _SLOT, *(f"_before{name}" for name in sums))
 
 
+def _whole(df: DataFrame, spec: SeriesSpec) -> Frame:
+    return Frame(spec.keys, spec.order(df))
+
+
 def with_index(df: DataFrame, spec: SeriesSpec = BARS, name: str = POSITION) -> DataFrame:
     """Add the 0-based position of each row in its series. A known position is kept."""
     if name in df.columns:
         return df
+    if _fits_a_block(df, spec):
+        return df.withColumn(name, F.row_number().over(_whole(df, spec).ordered()).cast("long") - 1)
     return _add_running(df, spec, {name: Running(F.lit(1).cast("long"))}, block_rows(df, spec))
 
 
 def laid_out(df: DataFrame, spec: SeriesSpec = BARS) -> DataFrame:
-    """Add the position of each row and the number of values before it, for several steps over the same rows."""
+    """Add the position of each row and the number of values before it, for several steps over the same rows; not where
+    all rows fit a block, and steps need neither."""
+    if _fits_a_block(df, spec):
+        return df
     observed = F.col(spec.observed).isNotNull().cast("long") if spec.observed in df.columns else F.lit(1).cast("long")
     wanted = {POSITION: Running(F.lit(1).cast("long")), SEEN: Running(observed)}
     missing = {name: s for name, s in wanted.items() if name not in df.columns}
@@ -177,6 +199,8 @@ def over_rows(
 
     `compute` adds columns with windows taken from the frame it is given.
     """
+    if _fits_a_block(df, spec):
+        return compute(df, _whole(df, spec))
     block = max(block_rows(df, spec), 4 * back)
     own = F.floor(F.col(SEEN) / block)
     home = F.struct(own.alias("b"), F.lit(True).alias("o"))
@@ -197,5 +221,8 @@ def over_rows(
 
 def running_sum(df: DataFrame, value: str, out: str, spec: SeriesSpec = BARS) -> DataFrame:
     """Cumulative sum along each series; nulls are skipped and stay null."""
+    if _fits_a_block(df, spec):
+        so_far = _whole(df, spec).ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.when(F.col(value).isNotNull(), F.sum(value).over(so_far)))
     summed = _add_running(df, spec, {out: Running(F.col(value), with_own=True)}, block_rows(df, spec))
     return summed.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))
