@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import as_rows, drop_stored, original, payloads, stored, text_of
+from barloom.llm.common import as_rows, drop_stored, in_chunks, original, payloads, stored, text_of
 from barloom.llm.components import components
 from barloom.llm.shingles import fingerprints, shingle_sets
 
 # sets up to this size send all their shingles to the pruning count, larger ones a slice
 SMALL_SET = 96
+# of texts whose sets a task holds at once
+TEXT_BYTES = 4_000_000
 
 
 def _long_lists(values: list[np.ndarray]) -> pa.Array:
@@ -64,22 +66,26 @@ def _with_shingles(rows: DataFrame, width: int, percent: int, whole: bool) -> Da
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                sets = shingle_sets(payloads(batch.column("_text")), width)
-                columns = [batch.column(field.name) for field in kept]
-                columns.append(pa.array([len(values) for values in sets], pa.int64()))
-                if whole:
-                    columns.append(_long_lists(sets))
-                else:
-                    first, second = fingerprints(sets)
-                    columns += [pa.array(first), pa.array(second)]
-                    columns.append(_long_lists([
-                        values if len(values) <= SMALL_SET else values[: np.searchsorted(values, slice_end)]
-                        for values in sets
-                    ]))
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=[field.name for field in kept] + [field.name for field in added]
-                )
+            for whole_batch in batches:
+                texts = payloads(whole_batch.column("_text"))
+                # some texts at a time bounds the sets held at once
+                for part in in_chunks(texts, TEXT_BYTES):
+                    batch = whole_batch.slice(part.start, part.stop - part.start)
+                    sets = shingle_sets(texts[part], width)
+                    columns = [batch.column(field.name) for field in kept]
+                    columns.append(pa.array([len(values) for values in sets], pa.int64()))
+                    if whole:
+                        columns.append(_long_lists(sets))
+                    else:
+                        first, second = fingerprints(sets)
+                        columns += [pa.array(first), pa.array(second)]
+                        columns.append(_long_lists([
+                            values if len(values) <= SMALL_SET else values[: np.searchsorted(values, slice_end)]
+                            for values in sets
+                        ]))
+                    yield pa.RecordBatch.from_arrays(
+                        columns, names=[field.name for field in kept] + [field.name for field in added]
+                    )
 
     return rows.mapInArrow(add, T.StructType(kept + added))
 
