@@ -1,12 +1,12 @@
 """Token ids in binary files, one wavelet matrix per shard.
 
 Documents are range-partitioned and sorted by id; each task encodes its texts in that order and
-closes a shard at the first document end after `SHARD_IDS` ids. A shard is one compressed file (the ids' planes with
-their rank and select counts) and the list of its documents; files are kept in a Parquet table, one row each, so any
-store that Spark can write holds them and a task that is run again replaces its own. Ids, counts
-and places of a token come from a shard's file alone.
+closes a shard at the first document end after `SHARD_IDS` ids. A shard is one compressed file: the ids' planes with
+their rank and select counts, a plane of bits with a one at each document's end id, and the documents' ids. Files are kept in a
+Parquet table, one row each with the shard's numbers, so any store that Spark can write holds them and a task that is run again
+replaces its own. Everything that is read, a document's bounds too, comes from the files alone.
 
-Where documents start in the whole sequence follows from the shards' sizes, summed within
+Where documents start in the whole sequence follows from the lengths read, summed within
 partitions and over partitions, of which there are as many as shuffle partitions.
 
 Null text counts as empty: only the end id is written. Null ids come first, repeated ids stand in order of a
@@ -17,26 +17,89 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.chunks import PartCache, text_slices
 from barloom.llm.common import stored, text_of
-from barloom.llm.wavelet import WaveletMatrix
+from barloom.llm.wavelet import BitPlane, WaveletMatrix
 
 SHARD_IDS = 1 << 18
 
-SHARDS = "part int, shard int, n_ids long, doc_ids array<bigint>, sizes array<bigint>, file binary"
-_SHARD_ARROW = pa.schema([
-    ("part", pa.int32()), ("shard", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-    ("sizes", pa.list_(pa.int64())), ("file", pa.binary()),
-])
+SHARDS = "part int, shard int, file binary"
+_SHARD_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("file", pa.binary())])
+
+_HEAD = struct.Struct("<4sqQQQ")
+_MAGIC = b"TKS1"
+
+
+class ShardFile:
+    """Ids of consecutive documents, where they end, and whose they are. Parts are inflated when asked for."""
+
+    def __init__(self, matrix: WaveletMatrix, ends: BitPlane, names: bytes, end_id: int):
+        self.matrix = matrix
+        self.end_id = end_id
+        self._ends = ends
+        self._names = names
+
+    @classmethod
+    def of(cls, ids: np.ndarray, levels: int, doc_ids: list[int | None], sizes: list[int], end_id: int) -> ShardFile:
+        ends = np.zeros(len(ids), dtype=bool)
+        ends[np.cumsum(sizes) - 1] = True
+        known = np.array([i is not None for i in doc_ids], dtype=bool)
+        names = np.array([i or 0 for i in doc_ids], dtype="<i8").tobytes() + known.tobytes()
+        return cls(WaveletMatrix.of(ids, levels), BitPlane.of(ends), zstandard.ZstdCompressor(level=1).compress(names), end_id)
+
+    def to_bytes(self) -> bytes:
+        parts = [self._names, self._ends.to_bytes(), self.matrix.to_bytes()]
+        return b"".join((_HEAD.pack(_MAGIC, self.end_id, *map(len, parts)), *parts))
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> ShardFile:
+        magic, end_id, *sizes = _HEAD.unpack_from(data)
+        if magic != _MAGIC:
+            raise ValueError("not a shard of token ids")
+        parts, at = [], _HEAD.size
+        for size in sizes:
+            parts.append(data[at:at + size])
+            at += size
+        return cls(WaveletMatrix.from_bytes(parts[2]), BitPlane.from_bytes(parts[1]), parts[0], end_id)
+
+    @property
+    def n_documents(self) -> int:
+        return self._ends.length - self._ends.zeros
+
+    def doc_ids(self) -> pa.Array:
+        n = self.n_documents
+        names = zstandard.ZstdDecompressor().decompress(self._names, max_output_size=9 * n)
+        known = np.frombuffer(names, dtype=bool, offset=8 * n)
+        return pa.array(np.frombuffer(names, dtype="<i8", count=n), pa.int64(), mask=~known)
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each document starts and where the next one does."""
+        after = self._ends.places() + 1
+        return np.concatenate((np.zeros(1, dtype=after.dtype), after[:-1])), after
+
+    def span(self, nth: int) -> tuple[int, int]:
+        """The bounds of the nth document (from 0)."""
+        return (self._ends.place(1, nth - 1) + 1 if nth else 0), self._ends.place(1, nth) + 1
+
+    def document_at(self, places: np.ndarray) -> np.ndarray:
+        """Which document the id at each place belongs to (from 0)."""
+        return self._ends.ones_each(places)
+
+    def document(self, nth: int) -> np.ndarray:
+        """The ids of the nth document, without unpacking the others."""
+        start, end = self.span(nth)
+        return self.matrix.access_each(np.arange(start, end))
 
 
 class Vocabulary:
@@ -106,12 +169,8 @@ def write_shards(
 
         def close() -> pa.RecordBatch:
             values = np.frombuffer(b"".join(packed), dtype=words.kind)
-            file = WaveletMatrix.of(values, words.levels).to_bytes()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([value], field.type) for value, field in
-                 zip((part, shard, len(values), list(ids), list(sizes), file), _SHARD_ARROW, strict=True)],
-                schema=_SHARD_ARROW,
-            )
+            file = ShardFile.of(values, words.levels, ids, sizes, end_id).to_bytes()
+            return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "file": file}], schema=_SHARD_ARROW)
 
         for batch in batches:
             doc_ids, texts = batch.column("_id").to_pylist(), batch.column("_text").to_pylist()
@@ -133,35 +192,35 @@ def write_shards(
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
-    """From the files: one row per document with doc_id, start (ids of all documents before it), n_tokens and ids_crc32 (of
-    all its ids as little-endian unsigned 32-bit integers)."""
-    schema = "part int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long"
-    arrow = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("doc_id", pa.int64()), ("inside", pa.int64()),
-                       ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    """From the files: one row per document with doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of
+    all its ids as little-endian unsigned 32-bit integers) and n_end_ids (how often the end id occurs in it)."""
+    schema = "part int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long, n_end_ids long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, shard, doc_ids, sizes, file in zip(*(batch.column(i) for i in range(5)), strict=True):
-                ids = WaveletMatrix.from_bytes(file.as_py()).ids().astype("<u4")
-                lengths = sizes.values.to_numpy()
-                ends = np.cumsum(lengths)
-                sums = [zlib.crc32(ids[end - n:end]) for end, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                n = len(lengths)
+            for part, shard, data in zip(*batch.columns, strict=True):
+                file = ShardFile.from_bytes(data.as_py())
+                starts, ends = file.bounds()
+                ids = file.matrix.ids().astype("<u4")
+                sums = [zlib.crc32(ids[start:end]) for start, end in zip(starts.tolist(), ends.tolist(), strict=True)]
+                n = len(sums)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part.as_py(), dtype=np.int32)), pa.array(np.full(n, shard.as_py(), dtype=np.int32)),
-                     doc_ids.values, pa.array(ends - lengths), pa.array(lengths), pa.array(sums, pa.int64())],
-                    schema=arrow,
+                     file.doc_ids(), pa.array(starts, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(sums, pa.int64()),
+                     pa.array(file.matrix.count_each(file.end_id, starts, ends), pa.int64())],
+                    names=["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32", "n_end_ids"],
                 )
 
-    found = shards.select("part", "shard", "doc_ids", "sizes", "file").mapInArrow(read, schema)
-    return found.join(_starts(shards), ["part", "shard"]).select(
-        "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
+    # read once: the sizes of the shards are sums over what was read
+    found = stored(shards.select("part", "shard", "file").mapInArrow(read, schema), "read")
+    return found.join(_starts(found), ["part", "shard"]).select(
+        "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "n_end_ids"
     )
 
 
-def _starts(shards: DataFrame) -> DataFrame:
+def _starts(found: DataFrame) -> DataFrame:
     """(part, shard, base): ids of all shards before."""
-    sizes = shards.select("part", "shard", "n_ids")
+    sizes = found.groupBy("part", "shard").agg(F.sum("n_tokens").alias("n_ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")
@@ -173,14 +232,15 @@ def _starts(shards: DataFrame) -> DataFrame:
 
 def count_tokens(shards: DataFrame, tokens: list[int]) -> DataFrame:
     """(part, shard, token, n) for the given tokens, from the planes, without unpacking the ids."""
+    arrow = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("token", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                matrix = WaveletMatrix.from_bytes(row["file"])
+            for part, shard, data in zip(*batch.columns, strict=True):
+                matrix = ShardFile.from_bytes(data.as_py()).matrix
                 yield pa.RecordBatch.from_pylist([
-                    {"part": row["part"], "shard": row["shard"], "token": token, "n": matrix.count(token)} for token in tokens
-                ], schema=pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("token", pa.int32()), ("n", pa.int64())]))
+                    {"part": part.as_py(), "shard": shard.as_py(), "token": token, "n": matrix.count(token)} for token in tokens
+                ], schema=arrow)
 
     return shards.select("part", "shard", "file").mapInArrow(count, "part int, shard int, token int, n long")
 
@@ -190,13 +250,29 @@ def find_token(shards: DataFrame, token: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                places = np.array(WaveletMatrix.from_bytes(row["file"]).places(token), dtype=np.int64)
-                ends = np.cumsum(np.array(row["sizes"], dtype=np.int64))
-                docs = np.searchsorted(ends, places, side="right")
-                starts = ends - np.array(row["sizes"], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["doc_ids"][i] for i in docs], pa.int64()), pa.array(places - starts[docs])], names=["doc_id", "place"]
-                )
+            for data in batch.column("file"):
+                file = ShardFile.from_bytes(data.as_py())
+                places = np.array(file.matrix.places(token), dtype=np.int64)
+                if len(places):
+                    docs = file.document_at(places)
+                    yield pa.RecordBatch.from_arrays(
+                        [file.doc_ids().take(pa.array(docs)), pa.array(places - file.bounds()[0][docs])], names=["doc_id", "place"]
+                    )
+
+    return shards.select("file").mapInArrow(find, "doc_id long, place long")
+
 
-    return shards.select("doc_ids", "sizes", "file").mapInArrow(find, "doc_id long, place long")
+def read_document(shards: DataFrame, doc_id: int) -> DataFrame:
+    """(doc_id, ids) of the documents of one id, by access to their places alone."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("file"):
+                file = ShardFile.from_bytes(data.as_py())
+                for nth, name in enumerate(file.doc_ids().to_pylist()):
+                    if name == doc_id:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name], pa.int64()), pa.array([file.document(nth)], pa.list_(pa.int64()))], names=["doc_id", "ids"]
+                        )
+
+    return shards.select("file").mapInArrow(read, "doc_id long, ids array<bigint>")

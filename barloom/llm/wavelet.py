@@ -1,35 +1,74 @@
 """A wavelet matrix: a sequence of ids as planes of bits, the highest first. After each plane the
 ids with a 0 there stand before those with a 1, in the order they had. With counts of ones before
 each block of bits, an id, the number of times a token occurs and its places are found in time that
-grows with the planes, without unpacking the sequence.
+grows with the planes, without unpacking the sequence. In a file each plane is compressed apart and inflated when first asked for.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import zstandard
 
 BLOCK = 512  # bits whose ones are counted together
-_HEAD = struct.Struct("<4sBQQ")
-_MAGIC = b"WMX1"
+_HEAD = struct.Struct("<4sBQ")
+_PLANE_HEAD = struct.Struct("<QQ")
+_MAGIC = b"WMX2"
 
 
-class _Plane:
-    def __init__(self, bits: np.ndarray, before: np.ndarray, length: int):
-        self.bits = bits  # packed, low bit first, whole blocks
-        self.before = before  # ones before each block
+class BitPlane:
+    """A sequence of bits with rank (`ones`) and select (`place`)."""
+
+    def __init__(self, length: int, zeros: int, load: Callable[[], tuple[np.ndarray, np.ndarray]]):
         self.length = length
-        self.zeros = length - self.ones(length)
+        self.zeros = zeros
+        self._load = load
+
+    @cached_property
+    def _arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._load()
+
+    @property
+    def bits(self) -> np.ndarray:
+        """Packed, low bit first, whole blocks."""
+        return self._arrays[0]
+
+    @property
+    def before(self) -> np.ndarray:
+        """Ones before each block."""
+        return self._arrays[1]
+
+    @staticmethod
+    def _blocks(length: int) -> int:
+        return -(-(length + 1) // BLOCK)
 
     @classmethod
-    def of(cls, flags: np.ndarray) -> _Plane:
+    def of(cls, flags: np.ndarray) -> BitPlane:
         packed = np.packbits(flags, bitorder="little")
-        padded = np.zeros(-(-(len(flags) + 1) // BLOCK) * (BLOCK // 8), dtype=np.uint8)
+        padded = np.zeros(cls._blocks(len(flags)) * (BLOCK // 8), dtype=np.uint8)
         padded[: len(packed)] = packed
         counts = np.bitwise_count(padded.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
-        return cls(padded, (np.cumsum(counts, dtype=np.uint32) - counts), len(flags))
+        before = np.cumsum(counts, dtype=np.uint32) - counts
+        return cls(len(flags), len(flags) - int(counts.sum()), lambda: (padded, before))
+
+    def to_bytes(self) -> bytes:
+        body = zstandard.ZstdCompressor(level=1).compress(self.bits.tobytes() + self.before.astype("<u4").tobytes())
+        return _PLANE_HEAD.pack(self.length, self.zeros) + body
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> BitPlane:
+        length, zeros = _PLANE_HEAD.unpack_from(data)
+        blocks = cls._blocks(length)
+        size = blocks * (BLOCK // 8)
+
+        def load() -> tuple[np.ndarray, np.ndarray]:
+            body = zstandard.ZstdDecompressor().decompress(data[_PLANE_HEAD.size:], max_output_size=size + 4 * blocks)
+            return np.frombuffer(body, dtype=np.uint8, count=size), np.frombuffer(body, dtype="<u4", count=blocks, offset=size)
+
+        return cls(length, zeros, load)
 
     def get(self, at: int) -> int:
         return int(self.bits[at >> 3] >> (at & 7)) & 1
@@ -56,12 +95,33 @@ class _Plane:
         flags = np.unpackbits(self.bits[start // 8:start // 8 + BLOCK // 8], bitorder="little")
         return start + int(np.flatnonzero(flags == value)[left])
 
+    @cached_property
+    def _words(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bits as words of 64, and the ones before each."""
+        words = self.bits.view("<u8")
+        counts = np.bitwise_count(words).astype(np.int64)
+        return words, np.cumsum(counts) - counts
+
+    def get_each(self, places: np.ndarray) -> np.ndarray:
+        return (self.bits[places >> 3] >> (places & 7).astype(np.uint8)) & np.uint8(1)
+
+    def ones_each(self, ends: np.ndarray) -> np.ndarray:
+        """`ones` of many ends at once."""
+        words, before = self._words
+        at = ends >> 6
+        below = (np.uint64(1) << (ends & 63).astype(np.uint64)) - np.uint64(1)
+        return before[at] + np.bitwise_count(words[at] & below)
+
+    def places(self) -> np.ndarray:
+        """Where all ones stand."""
+        return np.flatnonzero(self.flags())
+
     def flags(self) -> np.ndarray:
         return np.unpackbits(self.bits, count=self.length, bitorder="little").view(bool)
 
 
 class WaveletMatrix:
-    def __init__(self, planes: list[_Plane], length: int):
+    def __init__(self, planes: list[BitPlane], length: int):
         self.planes = planes
         self.length = length
 
@@ -71,7 +131,7 @@ class WaveletMatrix:
         planes = []
         for shift in range(levels - 1, -1, -1):
             flags = (values & values.dtype.type(1 << shift)) != 0
-            planes.append(_Plane.of(flags))
+            planes.append(BitPlane.of(flags))
             # places are faster to gather from than flags
             values = np.concatenate((values.take(np.flatnonzero(~flags)), values.take(np.flatnonzero(flags))))
         return cls(planes, len(ids))
@@ -85,6 +145,16 @@ class WaveletMatrix:
             value = value << 1 | bit
         return value
 
+    def access_each(self, places: np.ndarray) -> np.ndarray:
+        """The ids at many places."""
+        at = places.astype(np.int64)
+        values = np.zeros(len(at), dtype=np.int64)
+        for plane in self.planes:
+            bit, ones = plane.get_each(at), plane.ones_each(at)
+            at = np.where(bit == 1, plane.zeros + ones, at - ones)
+            values = values << 1 | bit
+        return values
+
     def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
         """Where the token's occurrences between start and end stand after the last plane."""
         levels = len(self.planes)
@@ -103,6 +173,19 @@ class WaveletMatrix:
         low, high = self._range(token, start, self.length if end is None else end)
         return high - low
 
+    def count_each(self, token: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """`count` of many ranges at once."""
+        low, high = starts.astype(np.int64), ends.astype(np.int64)
+        if token >> len(self.planes):
+            return np.zeros_like(low)
+        for shift, plane in zip(range(len(self.planes) - 1, -1, -1), self.planes, strict=True):
+            ones_low, ones_high = plane.ones_each(low), plane.ones_each(high)
+            if token >> shift & 1:
+                low, high = plane.zeros + ones_low, plane.zeros + ones_high
+            else:
+                low, high = low - ones_low, high - ones_high
+        return high - low
+
     def places(self, token: int, first: int = 0, last: int | None = None) -> list[int]:
         """Where the token occurs for the first-th to before the last-th time."""
         if token >> len(self.planes):
@@ -128,23 +211,19 @@ class WaveletMatrix:
         return values
 
     def to_bytes(self) -> bytes:
-        """One compressed file: head, then bits and counts of each plane."""
-        size = len(self.planes[0].bits) if self.planes else 0
-        parts = [part.tobytes() for plane in self.planes for part in (plane.bits, plane.before.astype("<u4"))]
-        body = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-        return _HEAD.pack(_MAGIC, len(self.planes), self.length, size) + body
+        """Head, sizes of the planes, planes."""
+        planes = [plane.to_bytes() for plane in self.planes]
+        sizes = np.array([len(plane) for plane in planes], dtype="<u4").tobytes()
+        return b"".join((_HEAD.pack(_MAGIC, len(planes), self.length), sizes, *planes))
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, levels, length, size = _HEAD.unpack_from(data)
+        magic, levels, length = _HEAD.unpack_from(data)
         if magic != _MAGIC:
             raise ValueError("not a wavelet matrix")
-        counts = size * 8 // BLOCK
-        body = zstandard.ZstdDecompressor().decompress(data[_HEAD.size:], max_output_size=levels * (size + 4 * counts))
-        planes, at = [], 0
-        for _ in range(levels):
-            bits = np.frombuffer(body, dtype=np.uint8, count=size, offset=at)
-            before = np.frombuffer(body, dtype="<u4", count=counts, offset=at + size)
-            planes.append(_Plane(bits, before, length))
-            at += size + 4 * counts
+        sizes = np.frombuffer(data, dtype="<u4", count=levels, offset=_HEAD.size)
+        planes, at = [], _HEAD.size + 4 * levels
+        for size in sizes.tolist():
+            planes.append(BitPlane.from_bytes(data[at:at + size]))
+            at += size
         return cls(planes, length)

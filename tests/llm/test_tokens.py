@@ -131,6 +131,12 @@ def test_wavelet_matrix_equals_the_array(length, levels):
     assert matrix.ids().tolist() == ids.tolist()
     for at in range(0, length, 97):
         assert matrix.access(at) == ids[at]
+    places = np.arange(length)
+    assert matrix.access_each(places).tolist() == ids.tolist()
+    starts, ends = places // 3, places
+    for token in {*ids[:5].tolist(), (1 << levels) - 1, 1 << levels}:
+        want = [int((ids[start:end] == token).sum()) for start, end in zip(starts, ends, strict=True)]
+        assert matrix.count_each(token, starts, ends).tolist() == want
     for token in {*ids[:5].tolist(), 0, (1 << levels) - 1, 1 << levels}:
         places = np.flatnonzero(ids == token).tolist()
         assert matrix.places(token) == places
@@ -147,6 +153,7 @@ def test_shards_give_back_the_ids(spark, documents, odd_texts):
     nulls = sorted([[*tokenizer.encode(text or "", add_special_tokens=False).ids, 2] for i, text in rows if i is None], key=len)
     shards = tokenbin.write_shards(documents(rows).repartition(3), JSON, 2, shard_ids=5000)
     assert shards.count() > 3
+    assert shards.columns == ["part", "shard", "file"]
     got = tokenbin.read_documents(shards).orderBy("start").collect()
     assert [row["doc_id"] for row in got] == [None, None, *sorted(ids)]
     at = sum(map(len, nulls))
@@ -154,6 +161,7 @@ def test_shards_give_back_the_ids(spark, documents, odd_texts):
         own = ids[row["doc_id"]]
         assert (row["start"], row["n_tokens"]) == (at, len(own))
         assert row["ids_crc32"] == zlib.crc32(np.array(own, dtype="<u4").tobytes())
+        assert row["n_end_ids"] == own.count(2)
         at += len(own)
     assert sorted(row["n_tokens"] for row in got[:2]) == [len(x) for x in nulls]
     every = [x for own in [*ids.values(), *nulls] for x in own]
@@ -162,6 +170,18 @@ def test_shards_give_back_the_ids(spark, documents, odd_texts):
     assert {row[0]: row[1] for row in counts} == {token: every.count(token), 2: every.count(2)}
     found = sorted(tuple(row) for row in tokenbin.find_token(shards, token).where("doc_id IS NOT NULL").collect())
     assert found == sorted((i, at) for i, own in ids.items() for at, x in enumerate(own) if x == token)
+    for doc_id in (9, -5, 10**15):
+        assert [row["ids"] for row in tokenbin.read_document(shards, doc_id).collect()] == [ids[doc_id]]
+
+
+def test_shard_file_inflates_only_what_is_asked_for():
+    ids = np.arange(1000, dtype=np.uint16) % 7
+    file = tokenbin.ShardFile.from_bytes(tokenbin.ShardFile.of(ids, 3, [5, None, 9], [400, 1, 599], 2).to_bytes())
+    assert file.doc_ids().to_pylist() == [5, None, 9] and file.n_documents == 3
+    assert [file.span(i) for i in range(3)] == [(0, 400), (400, 401), (401, 1000)]
+    assert file.document_at(np.array([0, 399, 400, 401, 999])).tolist() == [0, 0, 1, 2, 2]
+    assert not any("_arrays" in plane.__dict__ for plane in file.matrix.planes)
+    assert file.document(2).tolist() == ids[401:].tolist()
 
 
 def test_no_documents_no_shards(documents):
