@@ -94,8 +94,8 @@ def add_levels(df: DataFrame, levels: Levels) -> DataFrame:
 
 
 def last_rows(df: DataFrame, k: int, spec: SeriesSpec = BARS) -> DataFrame:
-    """The newest k rows of each series. Each input partition keeps at most k rows
-    per series before the shuffle (window group limit), so series length does not matter."""
+    """The newest k rows of each series. Up to the session's window group limit (k of 1,000 by default) each input
+    partition keeps at most k rows per series before the shuffle; with a greater k a series is sorted in one task."""
     newest_first = Window.partitionBy(*spec.keys).orderBy(*(F.desc(c) for c in spec.order(df)))
     ranked = df.withColumn("_rank", F.row_number().over(newest_first))
     return ranked.where(F.col("_rank") <= k).drop("_rank")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,10 +35,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def remove_all(spark: SparkSession, paths: Iterable[str], at_once: int = 16) -> None:
-    """Remove many folders; the requests overlap, as each one mostly waits."""
+    """Remove many folders; the requests overlap, as each one mostly waits. The names are taken as they come, some at a time."""
     with ThreadPoolExecutor(at_once) as pool:
-        for _ in pool.map(lambda path: remove(spark, path), paths):
-            pass
+        for some in batched(paths, 64 * at_once):
+            for _ in pool.map(lambda path: remove(spark, path), some):
+                pass
 
 
 def complete_folders(spark: SparkSession, path: str) -> list[str]:
@@ -150,6 +153,18 @@ def write_partitioned(
     )
 
 
+@contextmanager
+def written_once(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows of a frame, written to the shared folder, for a block that reads them several times. They are removed after it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 def overwrite_staged(
     spark: SparkSession, df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()
 ) -> None:

@@ -31,6 +31,7 @@ from barloom.sources.files import (
     read_parquet_table,
     remove_all,
     write_partitioned,
+    written_once,
 )
 
 
@@ -156,9 +157,12 @@ class DatasetStore:
         chosen = many if pairs is None else many.join(pairs.select("code", "candle").distinct(), ["code", "candle"])
         if chosen.isEmpty():
             return
-        old = only_pairs(self._folders(), chosen)
-        # folder names only; the old ones are listed before the new generation is written
-        superseded = [row["folder"] for row in old.select("folder").toLocalIterator()]
+        # fixed before the new generation adds folders; one row per folder
+        with written_once(only_pairs(self._folders(), chosen).select("folder"), "superseded") as superseded:
+            self._write_merged(chosen)
+            remove_all(self.spark, (row["folder"] for row in superseded.toLocalIterator()))
+
+    def _write_merged(self, chosen: DataFrame) -> None:
         bars = self._resolved(only_pairs(read_parquet_table(self.spark, self.path), chosen))
         number = self._last_generation() + 1
         merged = named_after_range(bars).withColumns(
@@ -168,7 +172,6 @@ class DatasetStore:
             }
         )
         self._append(merged, number)
-        remove_all(self.spark, superseded)
 
 
 @dataclass(frozen=True)

@@ -118,6 +118,24 @@ def test_bars_stream_with_late_and_repeated_bars(spark):
     assert len(got) == 30 and (got.close == -1.0).sum() == 3 and got.direction.isin([1, -1]).all()
 
 
+def test_a_batch_of_bars_is_computed_once(spark):
+    table = BarTable(spark, scratch_path(spark, "bars"), buckets=2)
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            passed.add(len(frame))
+            yield frame
+
+    bars = spark_bars(spark, walk("A", 30, 1))
+    upsert = bar_stream.UpsertJob(table)
+    for batch_id in range(2):
+        upsert(bars.mapInPandas(count, bars.schema), batch_id)
+        assert passed.value == 30 * (batch_id + 1)
+    upsert(bars.limit(0), 2)
+    assert table.read().count() == 30
+
+
 def test_first_messages_drop_repeats(spark):
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
     rows = [("a", datetime(2024, 1, 1, 0, 1)), ("a", datetime(2024, 1, 1, 0, 2)), ("b", datetime(2024, 1, 1, 0, 3))]

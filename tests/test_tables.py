@@ -94,6 +94,13 @@ def test_merge_of_listed_and_of_absent_series(spark):
     assert set(store.read().toPandas().code) == {"0050", "2330"}
 
 
+def test_many_folders_are_removed_some_at_a_time(spark):
+    root = scratch_path(spark, "many")
+    spark.range(70).selectExpr("id", "id AS part").write.partitionBy("part").parquet(root)
+    files.remove_all(spark, (f"{root}/part={i}" for i in range(69)), at_once=1)
+    assert [row.id for row in spark.read.parquet(root).collect()] == [69]
+
+
 def test_store_needs_the_naming_columns(spark):
     with pytest.raises(ValueError, match="start_date"):
         DatasetStore(spark, scratch_path(spark, "t")).write(spark_bars(spark, factory_rows(), 1))
