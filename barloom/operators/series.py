@@ -125,7 +125,9 @@ def _slice_width(df: DataFrame, spec: SeriesSpec, rows: int) -> Column:
     """Microseconds of a slice, one value for all rows; null where no series is longer than a block."""
     at = _micros(spec)
     series = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), (F.max(at) - F.min(at)).alias("span"))
-    return series.agg(F.min(F.when(F.col("n") > rows, F.greatest(F.lit(1), F.col("span") * rows / F.col("n"))))).scalar()
+    # as doubles: microseconds times rows soon pass the range of a long
+    wide = F.greatest(F.lit(1.0), F.col("span").cast("double") * rows / F.col("n"))
+    return series.agg(F.min(F.when(F.col("n") > rows, wide))).scalar()
 
 
 def _sliced(df: DataFrame, spec: SeriesSpec, width: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from barloom.functions import numeric, text, times
-from barloom.operators import candles, clean, patterns, returns, validate
+from barloom.operators import candles, clean, patterns, returns, series, validate
 from barloom.schema import BAR_SCHEMA
 
 
@@ -248,3 +248,12 @@ def test_texts(spark):
     want = hashlib.md5(json.dumps(fields, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
     columns = {"name": F.lit("策略"), "code": F.lit("0050"), "n": F.lit(3), "gone": F.lit(None).cast("string")}
     assert one(spark, text.deterministic_key(columns), x=1) == want
+
+
+def test_slices_of_a_long_span(spark):
+    # microseconds of the whole calendar times the rows of a block are beyond a long
+    pdf = walk("A", 40, 1).drop(columns="trade_time")
+    year = F.make_date(F.pmod(F.col("id"), F.lit(40)).cast("int") * 250 + 1, F.lit(1), F.lit(1))
+    bars = spark.createDataFrame(pdf).withColumn("trade_time", year.cast("timestamp"))
+    got = series.with_index(bars, series.SeriesSpec(block_rows=35)).select("id", "_pos").collect()
+    assert {row.id % 40: row._pos for row in got} == {n: n for n in range(40)}
