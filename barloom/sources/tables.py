@@ -98,28 +98,38 @@ class DatasetStore:
 
     Every write is a new generation, so a dataset of the same name never hides rows
     that are missing from the new one; `merge` keeps the newest row per bar.
+
+    The datasets of a bucket of series share files, sorted by dataset, and their names are columns: folders
+    grow with writes and buckets, not with series. Each write and each merge is a commit that only adds folders.
     """
 
     spark: SparkSession
     path: str
+    buckets: int = 32
 
     NAMED_BY = ("code", "candle", "start_date", "end_date")
-    PARTITIONS = (*NAMED_BY, "generation")
+    DATASET = (*NAMED_BY, "generation")
+    PARTITIONS = ("commit", "dataset_bucket")
 
     def write(self, df: DataFrame) -> None:
         missing = [c for c in self.NAMED_BY if c not in df.columns]
         if missing:
             raise ValueError(f"missing columns for grouping: {missing}")
-        number = 0 if self.is_empty() else self._last_generation() + 1
-        self._append(df, number)
+        number = 0 if self.is_empty() else self._last_commit() + 1
+        self._append(df.withColumn("generation", self._numbered(number)), number)
+
+    def _numbered(self, number: int) -> Column:
+        return F.lit(f"{number:09d}")
+
+    def _bucket(self) -> Column:
+        return hash_bucket(F.struct("code", "candle"), self.buckets)
 
     def _append(self, df: DataFrame, number: int) -> None:
-        """Write a generation. Its folders are new, so the commit only adds files."""
-        numbered = df.withColumn("generation", F.lit(f"{number:09d}"))
-        # what stands in folder names is read back as text
-        noted = numbered.withColumns({c: F.col(c).cast("string") for c in self.PARTITIONS}).schema
-        keep_layout(self.spark, self.path, {"named_by": ",".join(self.NAMED_BY)}, noted)
-        write_partitioned(numbered, self.path, self.PARTITIONS, ("trade_time",), mode="append")
+        """Write a commit. Its folders are new, so nothing stored is touched."""
+        named = df.withColumns({c: F.col(c).cast("string") for c in self.NAMED_BY})
+        placed = named.withColumns({"commit": self._numbered(number), "dataset_bucket": self._bucket()})
+        keep_layout(self.spark, self.path, {"named_by": ",".join(self.NAMED_BY), "buckets": str(self.buckets)}, placed.schema)
+        write_partitioned(placed, self.path, self.PARTITIONS, (*self.DATASET, "trade_time"), mode="append")
 
     def is_empty(self) -> bool:
         return not has_files(self.spark, self.path)
@@ -128,50 +138,57 @@ class DatasetStore:
         parts = list_parts(self.spark, self.path).select("folder").distinct()
         return parts.select("folder", *(partition_value(F.col("folder"), c).alias(c) for c in self.PARTITIONS))
 
-    def _last_generation(self) -> int:
-        return int(self._folders().agg(F.max("generation")).first()[0])
+    def _last_commit(self) -> int:
+        return int(self._folders().agg(F.max("commit")).first()[0])
+
+    def _stored(self) -> DataFrame:
+        return read_parquet_table(self.spark, self.path)
 
     def datasets(self) -> DataFrame:
-        """Stored datasets with their names, from file names only."""
+        """Stored datasets with their names, from the naming columns only."""
         name = dataset_name(F.col("code"), F.col("candle"), F.col("start_date"), F.col("end_date"))
-        stored = self._folders().withColumn("name", name)
+        stored = self._stored().select(*self.DATASET).distinct().withColumn("name", name)
         return stored.withColumn("dataset", F.concat_ws("/", "name", "generation"))
 
     def read(self) -> DataFrame:
         """All bars, newest row per bar."""
-        return self._resolved(read_parquet_table(self.spark, self.path))
+        return self._resolved(self._stored())
+
+    def _newest(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return newest_per_key(df, keys, ["generation", *(c for c in ("id",) if c in df.columns)])
 
     def _resolved(self, df: DataFrame) -> DataFrame:
-        newest_by = ["generation", *(c for c in ("id",) if c in df.columns)]
-        return newest_per_key(df, BAR_KEY, newest_by).drop(*(c for c in self.PARTITIONS if c not in BAR_KEY))
+        helpers = (*self.DATASET, *self.PARTITIONS)
+        return self._newest(df, BAR_KEY).drop(*(c for c in helpers if c not in BAR_KEY))
 
     def merge(self, pairs: DataFrame | None = None) -> None:
         """Merge each listed series into one dataset; by default all spread over several.
 
-        The merged generation is complete before the old folders are removed, so a
-        reader and a repeated merge get the same bars at any point.
+        The buckets of these series are written anew, their other datasets as they are. That commit is complete before
+        the old folders of the buckets are removed, so a reader and a repeated merge get the same bars at any point.
         """
         if self.is_empty():
             return
         many = multi_part_pairs(self.datasets())
         chosen = many if pairs is None else many.join(pairs.select("code", "candle").distinct(), ["code", "candle"])
-        if chosen.isEmpty():
-            return
-        # fixed before the new generation adds folders; one row per folder
-        with written_once(only_pairs(self._folders(), chosen).select("folder"), "superseded") as superseded:
-            self._write_merged(chosen)
-            remove_all(self.spark, (row["folder"] for row in superseded.toLocalIterator()))
-
-    def _write_merged(self, chosen: DataFrame) -> None:
-        bars = self._resolved(only_pairs(read_parquet_table(self.spark, self.path), chosen))
-        number = self._last_generation() + 1
-        merged = named_after_range(bars).withColumns(
-            {
-                "start_date": F.date_format("start_date", "yyyy-MM-dd"),
-                "end_date": F.date_format("end_date", "yyyy-MM-dd"),
-            }
-        )
-        self._append(merged, number)
+        with written_once(chosen.select("code", "candle", self._bucket().alias("dataset_bucket")), "chosen") as listed:
+            touched = [row[0] for row in listed.select("dataset_bucket").distinct().collect()]
+            if not touched:
+                return
+            # fixed before the new commit adds folders; one row per commit and bucket
+            superseded = [row[0] for row in self._folders().where(F.col("dataset_bucket").isin(touched)).select("folder").collect()]
+            self._write_merged(listed, touched)
+            remove_all(self.spark, superseded)
+
+    def _write_merged(self, listed: DataFrame, touched: Sequence[str]) -> None:
+        number = self._last_commit() + 1
+        stored = self._stored().where(F.col("dataset_bucket").isin(*touched))
+        merged = named_after_range(self._resolved(only_pairs(stored, listed)))
+        dated = {c: F.date_format(c, "yyyy-MM-dd") for c in ("start_date", "end_date")}
+        merged = merged.withColumns({**dated, "generation": self._numbered(number)})
+        # a merge that was interrupted left rows twice
+        others = stored.join(listed, ["code", "candle"], "left_anti").drop(*self.PARTITIONS)
+        self._append(merged.unionByName(self._newest(others, (*self.DATASET, "trade_time"))), number)
 
 
 @dataclass(frozen=True)

@@ -101,6 +101,38 @@ def test_many_folders_are_removed_some_at_a_time(spark):
     assert [row.id for row in spark.read.parquet(root).collect()] == [69]
 
 
+def test_folders_of_datasets_grow_with_writes_not_with_series(spark):
+    store = DatasetStore(spark, scratch_path(spark, "t"), buckets=2)
+    rows = pd.concat([factory_rows(f"C{i:03d}", n=1, first_id=i) for i in range(90)])
+    for days in (0, 5):
+        moved = rows.assign(trade_time=rows.trade_time + pd.Timedelta(days=days), close=100.0 + days)
+        store.write(preprocess.run_stages(spark_bars(spark, moved, 1)))
+        assert files.list_parts(spark, store.path).select("folder").distinct().count() == 2 * (1 + days // 5)
+    assert len(names(store)) == 180
+    store.merge(spark.createDataFrame([("C007", "1d")], "code string, candle string"))
+    # the other datasets of its bucket moved with it and are as they were
+    assert len(names(store)) == 179 and "C007_1d_2024-01-02_2024-01-07.parquet" in names(store)
+    assert store.read().count() == 180
+    store.merge()
+    assert files.list_parts(spark, store.path).select("folder").distinct().count() == 2
+    assert len(names(store)) == 90 and store.read().groupBy("close").count().count() == 2
+
+
+def test_a_merge_interrupted_before_the_removal_can_be_repeated(spark, monkeypatch):
+    store = DatasetStore(spark, scratch_path(spark, "t"), buckets=1)
+    for day, codes in ((0, ("A", "B")), (0, ("A",)), (5, ("A",))):
+        rows = [factory_rows(code, first_id=day + 1, start=BASE + pd.Timedelta(days=day)).assign(close=102.0) for code in codes]
+        store.write(preprocess.run_stages(spark_bars(spark, pd.concat(rows), 1)))
+    want = sorted(tuple(r) for r in store.read().collect())
+    with monkeypatch.context() as cut:
+        cut.setattr("barloom.sources.tables.remove_all", lambda spark, paths: None)
+        store.merge()
+    assert sorted(tuple(r) for r in store.read().collect()) == want
+    store.merge()
+    assert sorted(tuple(r) for r in store.read().collect()) == want and len(names(store)) == 2
+    assert files.read_parquet_table(spark, store.path).count() == len(want)
+
+
 def test_store_needs_the_naming_columns(spark):
     with pytest.raises(ValueError, match="start_date"):
         DatasetStore(spark, scratch_path(spark, "t")).write(spark_bars(spark, factory_rows(), 1))
