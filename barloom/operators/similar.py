@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.times import rfc3339
 from barloom.operators.series import BARS, Frame, SeriesSpec, over_rows
@@ -72,12 +73,33 @@ def principal_components(shapes: DataFrame, components: int) -> np.ndarray:
 
 
 def reduce_windows(windows: DataFrame, components: int = 12) -> DataFrame:
-    """Add `values`: the window's shape in its first principal components."""
+    """Add `values`: the window's shape in its first principal components.
+
+    The products are added up entry by entry for a batch of windows at a time, so a window has the same values in any batch.
+    """
     shape = growth_shape(F.col("prices"))
     found = principal_components(windows.select(shape.alias("shape")), components)
-    axes = F.array(*(F.array(*(F.lit(float(x)) for x in row)) for row in found)) if len(found) else F.array().cast("array<array<double>>")
-    shaped = windows.withColumn("_shape", shape)
-    return shaped.withColumn("values", F.transform(axes, lambda axis: _dot(F.col("_shape"), axis))).drop("_shape")
+    if not len(found):
+        return windows.withColumn("values", F.array().cast("array<double>"))
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *given, column = batch.columns
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            entries = np.zeros((found.shape[1], len(batch)))
+            if known.any():
+                entries[:, known] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, found.shape[1]).T
+            values = np.zeros((len(batch), len(found)))
+            for place, axis in enumerate(found):
+                for entry, weight in zip(entries, axis):
+                    values[:, place] += entry * weight
+            flat = pa.array(values.ravel(), mask=np.repeat(~known, len(found)))
+            starts = np.arange(0, values.size + 1, len(found), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([*given, pa.ListArray.from_arrays(starts, flat)], names=[*batch.schema.names[:-1], "values"])
+
+    given = windows.drop("values")
+    schema = T.StructType([*given.schema.fields, T.StructField("values", T.ArrayType(T.DoubleType()))])
+    return given.withColumn("_shape", shape).mapInArrow(projected, schema)
 
 
 def similar_windows(reduced: DataFrame, sample: DataFrame, top: int = 20) -> DataFrame:

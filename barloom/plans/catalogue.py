@@ -64,6 +64,13 @@ def _plain(field: T.StructField) -> Column:
             return column
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """The rows of a frame that several steps read, written to the shared folder once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fixed_time() -> Column:
     return F.lit(FIXED_TIME).cast("timestamp")
 
@@ -522,11 +529,16 @@ def look_back(spark, folder):
     )
 
 
+def _close_windows(spark, folder, size) -> DataFrame:
+    closes = month_bars(spark, folder).select("id", *SERIES, "close")
+    return similar.price_windows(_written(closes, "closes"), size)
+
+
 @query
 def similar_windows(spark, folder):
     """Nearest windows to the newest window of one series, in full-rank PCA space."""
     size = 24
-    reduced = similar.reduce_windows(similar.price_windows(month_bars(spark, folder), size), size)
+    reduced = similar.reduce_windows(_close_windows(spark, folder, size), size)
     newest = reduced.orderBy("code", F.desc("end_time"))
     found = similar.similar_windows(reduced, newest, top=100)
     return found.select("sample_code", "candle", "code", "end_time", "similarity")
@@ -535,7 +547,7 @@ def similar_windows(spark, folder):
 @query
 def similar_reduced(spark, folder):
     """The same with 12 components, as by default."""
-    reduced = similar.reduce_windows(similar.price_windows(month_bars(spark, folder), 24))
+    reduced = similar.reduce_windows(_close_windows(spark, folder, 24))
     found = similar.similar_windows(reduced, reduced.orderBy("code", F.desc("end_time")), top=100)
     return found.select("sample_code", "candle", "code", "end_time", "similarity", F.size("values").alias("components"))
 

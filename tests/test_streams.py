@@ -170,6 +170,28 @@ def test_reduced_values_equal_numpy(spark):
     assert similar.reduce_windows(windows.where("code = 'none'"), 4).count() == 0
 
 
+def test_reduced_values_do_not_depend_on_the_batch(spark):
+    base = walk("A", 60, 1)
+    pdf = pd.concat([base.assign(code=code) for code in "ABC"])
+    windows = similar.price_windows(spark_bars(spark, pdf), 12).unionByName(
+        spark.createDataFrame([("N", "d1", None, None)], "code string, candle string, end_time timestamp_ntz, prices array<double>")
+        .withColumn("end_time", F.lit(None).cast(dict(similar.price_windows(spark_bars(spark, pdf), 12).dtypes)["end_time"]))
+    )
+    reduced = similar.reduce_windows(windows, 4)
+    # the shape is a column of its own below the products, not computed for each component
+    assert "MapInArrow" in reduced._jdf.queryExecution().optimizedPlan().toString()
+    found = {}
+    for size in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            rows = reduced.select("code", "end_time", "values").collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        found[size] = {(row.code, row.end_time): row["values"] for row in rows}
+    assert found["7"] == found["10000"] and found["7"]["N", None] == [None] * 4
+    assert all(found["7"]["A", at] == values == found["7"]["C", at] for (code, at), values in found["7"].items() if code == "B")
+
+
 def test_similar_windows_name_the_sample_and_keep_null_codes(spark):
     base = walk("A", 40, 1)
     pdf = pd.concat([base, base.assign(code=None, close=base.close * 3)])
