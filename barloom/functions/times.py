@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,50 +53,78 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _date_parts(text: Column) -> Column:
-    """Struct of year, month and day of a text without time of day; null where no pattern fits."""
+_PARTS = ("year", "month", "day", "first", "second")
 
-    def part(name: str) -> Column:
-        found = [(pattern, names.index(name) + 1) for pattern, names in _DATES if name in names]
-        return F.coalesce(*(F.nullif(F.regexp_extract(text, pattern, group), F.lit("")) for pattern, group in found))
+
+def _date_texts(text: Column) -> Column:
+    """Struct of the parts of a text without time of day, as texts; null where no pattern fits. No text fits two of them, and
+    only the one that fits is taken apart."""
+    absent = F.lit(None).cast("string")
+    found = F
+    for pattern, names in _DATES:
+        parts = (F.regexp_extract(text, pattern, names.index(n) + 1) if n in names else absent for n in _PARTS)
+        found = found.when(text.rlike(pattern), F.struct(*(part.alias(n) for n, part in zip(_PARTS, parts))))
+    return found
+
+
+def _date_parts(texts: Column) -> Column:
+    """Struct of year, month and day as numbers."""
 
     def month_number(text: Column) -> Column:
         place = F.array_position(F.array(*(F.lit(name) for name in MONTHS)), text)
         return F.when(text.rlike("^[a-z]"), place.cast("int")).otherwise(text.try_cast("int"))
 
-    year = part("year")
+    year = texts["year"]
     short = year.cast("int") + F.when(year.cast("int") <= _PIVOT, 2000).otherwise(1900)
-    first, second = part("first").cast("int"), part("second").cast("int")
+    first, second = texts["first"].cast("int"), texts["second"].cast("int")
     swapped = first > 12
     return F.struct(
         F.when(F.length(year) == 2, short).otherwise(year.cast("int")).alias("year"),
-        F.coalesce(F.when(swapped, second).otherwise(first), month_number(part("month")), F.when(year.isNotNull(), 1)).alias("month"),
-        F.coalesce(F.when(swapped, first).otherwise(second), part("day").cast("int"), F.when(year.isNotNull(), 1)).alias("day"),
+        F.coalesce(F.when(swapped, second).otherwise(first), month_number(texts["month"]), F.when(year.isNotNull(), 1)).alias("month"),
+        F.coalesce(F.when(swapped, first).otherwise(second), texts["day"].cast("int"), F.when(year.isNotNull(), 1)).alias("day"),
     )
 
 
-def _general_time(value: Column) -> Column:
-    """Text with a date in one of many forms, with or without time of day and zone."""
-    text = F.lower(F.trim(F.regexp_replace(value, "[,\\s]+", " ")))
-    has_clock = text.rlike(_CLOCK)
+def _zone_parts(text: Column, has_clock: Column) -> Column:
+    """Struct of the text without zone, and the zone."""
     zone = F.when(has_clock, F.regexp_extract(text, _ZONE, 1)).otherwise("")
     bare = F.when(has_clock, F.regexp_replace(text, _ZONE, "")).otherwise(text)
-    clock = [F.when(has_clock, F.regexp_extract(bare, _CLOCK, i)).otherwise("") for i in range(1, 6)]
-    compact = [F.when(has_clock, "").otherwise(F.regexp_extract(text, _COMPACT_CLOCK, i)) for i in range(1, 4)]
-    half = clock[4]
-    hour = F.coalesce(_number(clock[0]), _number(compact[0]), F.lit(0))
-    hour = F.when(half == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
-    minute = F.coalesce(_number(clock[1]), _number(compact[1]), F.lit(0))
-    second = F.coalesce(F.nullif(clock[2], F.lit("")), F.nullif(compact[2], F.lit("")), F.lit("0"))
-    exact = F.concat(second, F.lit("."), F.rpad(F.left(clock[3], F.lit(6)), 6, "0")).cast("decimal(8,6)")
-    day = F.regexp_replace(F.when(has_clock, F.regexp_replace(bare, r"[t\s]*" + _CLOCK, "")).otherwise(text), f"^({'|'.join(WEEKDAYS)})[a-z]*\\.?\\s+", "")
-    hours, minutes = (F.substring(F.replace(zone, F.lit(":")), start, 2) for start in (2, 4))
-    ahead = F.when(zone.rlike("^[+-]"), F.concat(F.left(zone, F.lit(1)), F.lit("1")).cast("int") * (hours.cast("int") * 60 + minutes.cast("int")))
-
-    def made(d: Column) -> Column:
-        return F.try_make_timestamp(d["year"], d["month"], d["day"], hour, minute, exact)
-
-    return _let(_date_parts(F.trim(day)), made) - F.make_dt_interval(mins=F.coalesce(ahead, F.lit(0)))
+    return F.struct(bare.alias("bare"), zone.alias("zone"))
+
+
+def _clock_parts(bare: Column, has_clock: Column) -> Column:
+    """Struct of the texts of hour, minute, second, fraction and half of the day."""
+    compact = [F.regexp_extract(bare, _COMPACT_CLOCK, i) for i in (1, 2, 3)]
+    clock = [F.when(has_clock, F.regexp_extract(bare, _CLOCK, i + 1)).otherwise(other) for i, other in enumerate((*compact, "", ""))]
+    return F.struct(*(c.alias(n) for n, c in zip(("hour", "minute", "second", "fraction", "half"), clock)))
+
+
+def _general_time(value: Column) -> Column:
+    """Text with a date in one of many forms, with or without time of day and zone. Each step is bound to a name, as an
+    expression that others repeat is computed again for each."""
+    return _let(F.lower(F.trim(F.regexp_replace(value, "[,\\s]+", " "))), lambda text: _let(text.rlike(_CLOCK), partial(_time_of, text)))
+
+
+def _time_of(text: Column, has_clock: Column) -> Column:
+    def placed(z: Column, c: Column) -> Column:
+        hour, half = F.coalesce(_number(c["hour"]), F.lit(0)), c["half"]
+        hour = F.when(half == "", hour).when((hour < 1) | (hour > 12), None).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+        minute = F.coalesce(_number(c["minute"]), F.lit(0))
+        second = F.coalesce(F.nullif(c["second"], F.lit("")), F.lit("0"))
+        exact = F.concat(second, F.lit("."), F.rpad(F.left(c["fraction"], F.lit(6)), 6, "0")).cast("decimal(8,6)")
+        dated = F.when(has_clock, F.regexp_replace(z["bare"], r"[t\s]*" + _CLOCK, "")).otherwise(text)
+        day = F.trim(F.regexp_replace(dated, f"^({'|'.join(WEEKDAYS)})[a-z]*\\.?\\s+", ""))
+        hours, minutes = (F.substring(F.replace(z["zone"], F.lit(":")), start, 2) for start in (2, 4))
+        sign = F.concat(F.left(z["zone"], F.lit(1)), F.lit("1")).cast("int")
+        ahead = F.when(z["zone"].rlike("^[+-]"), sign * (hours.cast("int") * 60 + minutes.cast("int")))
+
+        def made(d: Column) -> Column:
+            return F.try_make_timestamp(d["year"], d["month"], d["day"], hour, minute, exact)
+
+        time = _let(_let(_let(day, _date_texts), _date_parts), made)
+        return time - F.make_dt_interval(mins=F.coalesce(ahead, F.lit(0)))
+
+    return _let(_zone_parts(text, has_clock), lambda z: _let(_clock_parts(z["bare"], has_clock), partial(placed, z)))
 
 
 def to_time(value: Column) -> Column:

@@ -45,3 +45,11 @@ def test_other_types(spark):
     frame = spark.createDataFrame([(at, at.date(), 20240105)], "a timestamp, b date, c int")
     row = frame.select(*(to_time(F.col(c)).cast("string").alias(c) for c in "abc")).first()
     assert tuple(row) == ("2024-01-05 10:11:12", "2024-01-05 00:00:00", "2024-01-05 00:00:00")
+
+
+def test_a_text_is_taken_apart_once(spark):
+    # each step is bound to a name: no pattern is repeated for each part of the date
+    frame = spark.createDataFrame([("Tue, 2 January 2024 03:04:05 pm +08:00",)], "t string").select(to_time(F.col("t")).alias("at"))
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert plan.count("(mon|tue|wed|thu|fri|sat|sun)") == 1 and plan.count("lower(") == 1
+    assert frame.select(F.col("at").cast("string")).first()[0] == "2024-01-02 07:04:05"
