@@ -468,29 +468,30 @@ def last_bars(spark, folder):
 @query
 def open_trades(spark, folder):
     """Trades without the forced close at the last bar."""
-    marked = signals.add_levels(signals.mark_signals(month_bars(spark, folder), turn_rule), LEVELS.levels)
+    bars = _written(month_bars(spark, folder), "bars")
+    marked = signals.add_levels(signals.mark_signals(bars, turn_rule), LEVELS.levels)
     return trades.find_trades(marked, close_open_trades=False)
 
 
 @query
 def backtest_trades(spark, folder):
-    return TURN_TEST.trades(month_bars(spark, folder))
+    return TURN_TEST.trades(_written(month_bars(spark, folder), "bars"), scratch_path(spark, "marked"))
 
 
 @query
 def backtest_summaries(spark, folder):
-    return TURN_TEST.summaries(month_bars(spark, folder), scratch_path(spark, "marked"))
+    return TURN_TEST.summaries(_written(month_bars(spark, folder), "bars"), scratch_path(spark, "marked"))
 
 
-def _reports(spark, folder):
+def _reports(bars: DataFrame) -> DataFrame:
     task_id = _uuid(F.concat_ws("/", "code", "candle"))
-    store = scratch_path(spark, "marked")
-    return TURN_TEST.reports(month_bars(spark, folder), task_id, "/results", _fixed_time(), store)
+    store = scratch_path(bars.sparkSession, "marked")
+    return TURN_TEST.reports(bars, task_id, "/results", _fixed_time(), store)
 
 
 @query
 def backtest_reports(spark, folder):
-    reports = _reports(spark, folder)
+    reports = _reports(_written(month_bars(spark, folder), "bars"))
     return reports.select(
         text.json_path(F.col("strategy_parms"), "data_model.code").alias("code"),
         text.json_path(F.col("strategy_parms"), "tpsl_parms.profit_factor").alias("profit_factor"),
@@ -502,10 +503,11 @@ def backtest_reports(spark, folder):
 
 @query
 def result_records(spark, folder):
-    signal = last_signals(spark, folder).select(
+    bars = _written(month_bars(spark, folder), "bars")
+    signal = signals.last_signals(signals.mark_signals(bars, turn_rule)).select(
         _uuid(F.concat_ws("/", "code", "candle")).alias("task_event_id"), F.col("last_signal").cast("int").alias("last_signal")
     )
-    rows = _reports(spark, folder).join(signal, "task_event_id", "left").select(
+    rows = _reports(bars).join(signal, "task_event_id", "left").select(
         F.col("task_event_id").alias("task_id"), F.col("last_signal").isNotNull().alias("status"), "strategy_parms", "tester_params",
         "completed_at", "last_signal",
     )
@@ -515,7 +517,8 @@ def result_records(spark, folder):
 @query
 def trade_csv(spark, folder):
     path = scratch_path(spark, "csv")
-    found = TURN_TEST.trades(month_bars(spark, folder)).withColumn("start_time", times.utc_naive(F.col("start_time")))
+    bars = _written(month_bars(spark, folder), "bars")
+    found = TURN_TEST.trades(bars, scratch_path(spark, "marked")).withColumn("start_time", times.utc_naive(F.col("start_time")))
     found = found.withColumn("end_time", times.utc_naive(F.col("end_time")))
     files.write_csv(found.select(TRADE_SCHEMA.names), path, is_trade_result=True)
     return spark.read.schema(TRADE_SCHEMA).option("header", "true").csv(path)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from barloom.plans import catalogue
 from barloom.plans.catalogue import CATALOGUE
 from check_oracles import TABLES, compare
 
@@ -34,3 +35,25 @@ def test_query_equals_its_sql(spark, sql, name):
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ["trade_csv", "result_records", "similar_windows"])
+def test_bars_that_several_steps_read_are_made_once(spark, monkeypatch, name):
+    folder, bars, made = FOLDER, catalogue.month_bars, spark.sparkContext.accumulator(0)
+
+    def counted(spark, folder):
+        def count(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        df = bars(spark, folder)
+        return df.mapInArrow(count, df.schema)
+
+    monkeypatch.setattr(catalogue, "month_bars", counted)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+    try:
+        CATALOGUE[name](spark, folder).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert made.value == bars(spark, folder).count()
