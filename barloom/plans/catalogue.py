@@ -333,7 +333,9 @@ def _indicator(name: str, indicator: Indicator, *extra: str) -> None:
 
 def _gapped(spark, folder) -> DataFrame:
     """Bars of which some have no close."""
-    return month_bars(spark, folder).withColumn("close", F.when(F.col("volume") % 6 != 0, F.col("close")))
+    bars = month_bars(spark, folder).withColumn("close", F.when(F.col("volume") % 6 != 0, F.col("close")))
+    # their positions, slices and values are read apart
+    return _written(bars, "gapped")
 
 
 @query

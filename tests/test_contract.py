@@ -37,7 +37,7 @@ def test_entry(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", ["trade_csv", "result_records", "similar_windows"])
+@pytest.mark.parametrize("name", ["trade_csv", "result_records", "similar_windows", "ema_gaps"])
 def test_bars_that_several_steps_read_are_made_once(spark, monkeypatch, name):
     folder, bars, made = FOLDER, catalogue.month_bars, spark.sparkContext.accumulator(0)
 
