@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.chunks import text_slices
+from barloom.llm.chunks import byte_letters, text_slices
 from barloom.llm.common import drop_stored, stored, text_of
 
 SLAB = 8_000_000
@@ -41,11 +41,7 @@ _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
 def _byte_level() -> dict[str, int]:
-    """The characters that stand for the 256 bytes in a byte-level vocabulary: printable ones for themselves, the
-    others, in order, for those from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [value for value in range(256) if value not in set(shown)]
-    return {**{chr(value): value for value in shown}, **{chr(256 + i): value for i, value in enumerate(hidden)}}
+    return {letter: value for value, letter in enumerate(byte_letters())}
 
 
 class ByteVocabulary:

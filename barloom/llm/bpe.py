@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.chunks import PartCache, Recent, text_slices
+from barloom.llm.chunks import PATTERN, PartCache, Recent, matches_of, text_slices
 from barloom.llm.common import as_rows, text_of
 
-# the splitting pattern of the rank files
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 # pairs whose fit is kept per worker
 PAIRS = 400_000
 # matches whose ids are kept per worker, twice
@@ -192,10 +190,11 @@ class Encoder:
         self.ranks = ranks
         self._split = regex.compile(pattern).findall
         self._pieces = Recent(PIECES)
-        self._cache = PartCache(self._parts, "i")
+        self._known_pattern = pattern == PATTERN
+        self._cache = PartCache(self._parts, "<i4", fine=self._known_pattern)
 
-    def pieces(self, matches: set[str]) -> dict[str, list[int]]:
-        """Ids of the matches. In order of their bytes, each goes on from the prefix it shares with the one before."""
+    def pieces(self, matches: set[str]) -> dict[str, bytes]:
+        """Packed ids of the matches. In order of their bytes, each goes on from the prefix it shares with the one before."""
         known = self._pieces.age()
         missing = self._pieces.missing(matches)
         table, ranks = PrefixTable(self.ranks), self.ranks.ranks
@@ -203,7 +202,7 @@ class Encoder:
             token = ranks.get(data)
             if token is not None:
                 # a match that is a token as a whole is that token
-                known[match] = [token]
+                known[match] = token.to_bytes(4, "little")
                 continue
             before, shared = table.data, 0
             for a, b in zip(before, data, strict=False):
@@ -212,15 +211,28 @@ class Encoder:
                 shared += 1
             table.shrink(shared)
             table.append(data[shared:])
-            known[match] = table.tokens()
+            known[match] = array("i", table.tokens()).tobytes()
         return known
 
-    def _parts(self, parts: list[str]) -> list[list[int]]:
-        split = [self._split(part) for part in parts]
-        known = self.pieces({match for matches in split for match in matches})
-        return [[i for match in matches for i in known[match]] for matches in split]
+    def _parts(self, parts: list[bytes]) -> list[bytes]:
+        texts = [part.decode() for part in parts]
+        if self._known_pattern:
+            matches, cuts = matches_of(texts, self._split)
+        else:
+            split = [self._split(text) for text in texts]
+            matches, cuts = [match for some in split for match in some], np.cumsum(list(map(len, split))).tolist()
+        known = self.pieces(set(matches))
+        ids = list(map(known.__getitem__, matches))
+        return [
+            ids[start] if end - start == 1 else b"".join(ids[start:end]) for start, end in zip([0, *cuts], cuts, strict=False)
+        ]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has."""
+        return self._cache.encode_array(texts)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
         return self._cache.encode_all(texts)
 
 

@@ -17,23 +17,28 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.chunks import PartCache, text_slices
+from barloom.llm.chunks import PATTERN, PLAIN, PartCache, array_slices, byte_letters, matches_of
 from barloom.llm.common import stored, text_of
 from barloom.llm.wavelet import BitPlane, WaveletMatrix
 
 SHARD_IDS = 1 << 18
 
+_SPLIT = regex.compile(PATTERN).findall
+_JOINS = re.compile(r" \S").match
+
 SHARDS = "part int, shard int, file binary"
 _SHARD_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("file", pa.binary())])
 
@@ -116,32 +121,69 @@ class Vocabulary:
         self.kind = "<u2" if self.levels <= 16 else "<u4"
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        before = rules.get("pre_tokenizer") or {}
-        # parts may be encoded alone only if texts are split by the byte-level pattern and not changed before
+        before, model = rules.get("pre_tokenizer") or {}, rules["model"]
+        shown = byte_letters()
+        # parts may be encoded alone only if texts are split by the byte-level pattern and by nothing else and not changed before,
+        # and told apart by their bytes only if every byte is a token
         self._cuts = (
             rules.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") is True
-            and not before.get("add_prefix_space")
+            and not before.get("add_prefix_space") and not any(rules.get(key) for key in ("truncation", "padding"))
+            and all(token["special"] for token in rules.get("added_tokens") or [])
+            and model.get("type", "BPE") == "BPE" and all(letter in model["vocab"] for letter in shown)
+            and not any(model.get(key) for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
         )
-        self._cache = PartCache(self._encode, "H" if self.levels <= 16 else "I", size=64_000_000, encode_joined=self._encode_joined)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _encode_joined(self, parts: list[str]) -> list[bytes]:
-        """Parts that begin with a space, as one text: no token lies across two of them."""
-        found = self._tokenizer.encode("".join(parts), add_special_tokens=False)
-        ids = np.array(found.ids, dtype=self.kind).tobytes()
-        # a token ends within its part or at its end, also where white space is left out of its place
-        token_ends = np.fromiter((end for _, end in found.offsets), dtype=np.int64, count=len(found.ids))
-        part_ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
-        cuts = (np.searchsorted(token_ends, part_ends, side="right") * np.dtype(self.kind).itemsize).tolist()
-        return [ids[start:end] for start, end in zip([0, *cuts], cuts, strict=False)]
+        if self._cuts:
+            # the library's model alone, for matches in the letters of the byte level; 0xFF is in no text and stands between them
+            self._model = Tokenizer(self._tokenizer.model)
+            self._letters = np.array([*map(ord, shown[:255]), ord(" ")], dtype="<u4")
+            tokens = self._tokenizer.get_vocab(with_added_tokens=True)
+            self._lengths = np.zeros(max(tokens.values()) + 1, dtype=np.int64)
+            self._lengths[list(tokens.values())] = list(map(len, tokens))
+        self._cache = PartCache(self._encode_parts, self.kind, fine=True)
+
+    def _packed(self, ids: list[int], sizes: Iterable[int]) -> list[bytes]:
+        """Ids of pieces of so many bytes that no token lies across, piece by piece."""
+        found = np.array(ids, dtype=self.kind)
+        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64))
+        cuts = (np.searchsorted(np.cumsum(self._lengths[found]), ends, side="right") * found.itemsize).tolist()
+        packed = found.tobytes()
+        return [packed[start:end] for start, end in zip([0, *cuts], cuts, strict=False)]
+
+    def _encode_plain(self, texts: list[str], sizes: Iterable[int]) -> list[bytes]:
+        matches, _ = matches_of(texts, _SPLIT)
+        letters = self._letters[np.frombuffer(b"\xff".join(map(str.encode, matches)), dtype=np.uint8)]
+        words = letters.tobytes().decode("utf-32-le").split(" ")
+        return self._packed(self._model.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, sizes)
+
+    def _encode_parts(self, parts: list[bytes]) -> list[bytes]:
+        """The library's ids of each part. Parts of characters that all Unicode versions agree on are split here, and the library's
+        model encodes their matches; others go through the whole library, those put together that no match lies across."""
+        out, plain, joined, alone = {}, {}, {}, {}
+        for part in parts:
+            text = part.decode()
+            (plain if PLAIN(text) else joined if _JOINS(text) else alone)[part] = text
+        if plain:
+            out.update(zip(plain, self._encode_plain(list(plain.values()), map(len, plain)), strict=True))
+        if joined:
+            found = self._tokenizer.encode_batch_fast(["".join(joined.values())], add_special_tokens=False)[0]
+            out.update(zip(joined, self._packed(found.ids, map(len, joined)), strict=True))
+        if alone:
+            each = self._tokenizer.encode_batch_fast(list(alone.values()), add_special_tokens=False)
+            out.update((part, np.array(found.ids, dtype=self.kind).tobytes()) for part, found in zip(alone, each, strict=True))
+        return list(map(out.__getitem__, parts))
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has."""
+        if self._cuts:
+            return self._cache.encode_array(texts)
+        found = [x.ids for x in self._tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], dtype=self.kind), np.array(list(map(len, found)), dtype=np.int64)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if self._cuts:
-            return self._cache.encode_all(texts)
-        return [np.array(ids, dtype=self.kind).tobytes() for ids in self._encode(texts)]
+        ids, sizes = self.encode_array(pa.array(texts, pa.large_string()))
+        ends = np.cumsum(sizes)
+        return [ids[start:end].tobytes() for start, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -163,29 +205,34 @@ def write_shards(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabulary(vocabulary)
-        end = np.array([end_id], dtype=words.kind).tobytes()
         part, shard = TaskContext.get().partitionId(), 0
-        ids, sizes, packed, waiting = [], [], [], 0
+        names, sizes, packed, waiting = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            values = np.frombuffer(b"".join(packed), dtype=words.kind)
-            file = ShardFile.of(values, words.levels, ids, sizes, end_id).to_bytes()
+            ids = np.concatenate(packed)
+            file = ShardFile.of(ids, words.levels, pa.chunked_array(names).to_pylist(), np.concatenate(sizes), end_id).to_bytes()
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "file": file}], schema=_SHARD_ARROW)
 
         for batch in batches:
-            doc_ids, texts = batch.column("_id").to_pylist(), batch.column("_text").to_pylist()
-            for some in text_slices(texts):
-                for doc_id, found in zip(doc_ids[some], words.encode_all(texts[some]), strict=True):
-                    found += end
-                    ids.append(doc_id)
-                    sizes.append(len(found) // len(end))
-                    packed.append(found)
-                    waiting += sizes[-1]
+            for some in array_slices(batch.column("_text")):
+                rows = batch.slice(some.start, some.stop - some.start)
+                found, n_ids = words.encode_array(rows.column("_text"))
+                found, n_ids = np.insert(found, np.cumsum(n_ids), end_id), n_ids + 1
+                ends = np.cumsum(n_ids)
+                first = done = 0
+                while first < len(ends):
+                    # up to the first document that fills the shard
+                    stop = min(int(np.searchsorted(ends, done + shard_ids - waiting)) + 1, len(ends))
+                    names.append(rows.column("_id").slice(first, stop - first))
+                    sizes.append(n_ids[first:stop])
+                    packed.append(found[done:ends[stop - 1]])
+                    waiting += int(ends[stop - 1]) - done
+                    first, done = stop, int(ends[stop - 1])
                     if waiting >= shard_ids:
                         yield close()
                         shard, waiting = shard + 1, 0
-                        ids, sizes, packed = [], [], []
-        if ids:
+                        names, sizes, packed = [], [], []
+        if names:
             yield close()
 
     return stored(ordered.mapInArrow(write, SHARDS), "shards")

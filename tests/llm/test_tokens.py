@@ -6,12 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from barloom.llm import bpe, tokenbin
-from barloom.llm.chunks import Recent, parts_of
+from barloom.llm.chunks import Recent, array_slices, cut_parts, parts_of
 from barloom.llm.wavelet import WaveletMatrix
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,6 +45,73 @@ def test_parts_join_to_the_text():
         assert " ".join(parts_of(text)) == text
 
 
+def cut(texts, fine=False):
+    parts, counts = cut_parts(pa.array(texts, pa.large_string()), fine)
+    every = iter(parts.to_pylist())
+    return [[next(every).decode() for _ in range(n)] for n in counts.tolist()]
+
+
+def border_texts(count, seed):
+    rng = random.Random(seed)
+    alphabet = "   \n\n\n\t\r'''''aabsStTdlé×÷ñɐɏ12.,;!-_(\x7f\x00\x85\xa0　’́漢«½"
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 40))) for _ in range(count)]
+
+
+def test_cuts_of_arrays_are_those_of_texts():
+    texts = [*random_texts(3000, 5), *border_texts(3000, 6), "", " ", "  ", "a ", " a", "a  b"]
+    for text, found in zip(texts, cut(texts), strict=True):
+        first, *rest = parts_of(text)
+        assert found == [*([first] if first else []), *(" " + part for part in rest)]
+    assert cut(["", ""]) == [[], []] and cut([]) == []
+    column = pa.array(["left out", "a b", "", "c"]).slice(1)
+    assert cut_parts(column)[0].to_pylist() == [b"a", b" b", b"c"]
+
+
+def test_fine_cuts_fall_between_matches():
+    texts = [*border_texts(20_000, 7), "it's l'homme 'st été, x.\nThe 64.44,5a ×! a\n\nb"]
+    split = regex.compile(bpe.PATTERN).findall
+    for text, found in zip(texts, cut(texts, fine=True), strict=True):
+        assert [match for part in found for match in split(part)] == split(text)
+    assert cut(["one, two.\nThree two's"], fine=True) == [["one", ",", " two", ".", "\n", "Three", " two", "'s"]]
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow(ranks):
+    texts = [f"x thonorin{sign} y" for sign in ["", *",.;:!?-)", "!!", ".\n", "'s", "7"]]
+    for encoder in (tokenbin.Vocabulary(JSON), bpe.Encoder(ranks)):
+        seen, encode = [], encoder._cache._encode
+        encoder._cache._encode = lambda parts, seen=seen, encode=encode: (seen.extend(parts), encode(parts))[1]
+        for text in texts:
+            encoder.encode_all([text])
+        assert [part for part in seen if b"thonorin" in part] == [b" thonorin"]
+        assert encoder.encode_all([]) == [] and encoder.encode_all(["", ""]) == [b"", b""]
+
+
+def test_border_texts_equal_the_libraries(ranks, library):
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    texts = border_texts(5_000, 8)
+    texts += [f"{a}{chr(c)}{b}" for c in range(0x250) for a in ("", "x", "'", ".", "x\n") for b in ("", "y", " z", "'s", "!")]
+    shards, encoder = tokenbin.Vocabulary(JSON), bpe.Encoder(ranks)
+    want = [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, dtype="<u2").tolist() for x in shards.encode_all(texts)] == want
+    assert [np.frombuffer(x, dtype="<i4").tolist() for x in encoder.encode_all(texts)] == library.encode_ordinary_batch(texts)
+
+
+def test_added_tokens_are_found_as_by_the_library(tmp_path):
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.add_tokens(["norin"])
+    tokenizer.save(str(tmp_path / "more.json"))
+    found = tokenbin.Vocabulary(str(tmp_path / "more.json"))
+    text = "a thonorin, b"
+    assert np.frombuffer(found.encode_all([text])[0], dtype=found.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_array_slices_cover_all_rows():
+    column = pa.array(["aaaa", "", "bb", "cccccccccc", "d", ""])
+    assert list(array_slices(column, 5)) == [slice(0, 2), slice(2, 3), slice(3, 4), slice(4, 6)]
+    assert list(array_slices(column.slice(0, 0))) == []
+
+
 def test_encoder_equals_the_library(ranks, library):
     texts = [*random_texts(4000, 2), "a" * 4000, "ab" * 900 + "  " + "é" * 500, "<|endoftext|>", "it's we'll 'S"]
     encoder = bpe.Encoder(ranks)
@@ -104,6 +173,13 @@ def test_encoding_and_decoding_documents(documents, odd_texts, library):
     assert bpe.digests(documents([]), RANKS).collect() == []
 
 
+def test_documents_without_text(documents):
+    empty = (0, hashlib.sha256().hexdigest(), hashlib.sha256().hexdigest())
+    assert [tuple(row)[1:] for row in bpe.digests(documents([(1, None), (2, "")]), RANKS).collect()] == [empty] * 2
+    shards = tokenbin.write_shards(documents([(1, None), (2, "")]), JSON, 2)
+    assert sorted(tuple(row)[:3] for row in tokenbin.read_documents(shards).collect()) == [(1, 0, 1), (2, 1, 1)]
+
+
 def test_decoding_skips_nulls(spark):
     rows = spark.createDataFrame([(1, [72, None, 73]), (2, None), (3, [])], "doc_id long, ids array<int>")
     table = bpe.Ranks.read(RANKS).bytes_of
