@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.chunks import PATTERN, PartCache, Recent, matches_of, text_slices
+from barloom.llm.chunks import PATTERN, PartCache, Recent, array_slices, matches_of
 from barloom.llm.common import as_rows, text_of
 
 # pairs whose fit is kept per worker
@@ -246,25 +246,20 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def _lists(packed: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
-
-
 class Decoder:
     """Bytes of ids, many at a time."""
 
     def __init__(self, ranks: Ranks):
-        table = [ranks.bytes_of.get(i, b"") for i in range(max(ranks.bytes_of) + 1)]
-        self._flat = np.frombuffer(b"".join(table), dtype=np.uint8)
-        self._sizes = np.array([len(token) for token in table], dtype=np.int64)
-        self._begins = np.cumsum(self._sizes) - self._sizes
+        self._table = pa.array([ranks.bytes_of.get(i, b"") for i in range(max(ranks.bytes_of) + 1)], pa.large_binary())
+
+    def decode_array(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes of consecutive lists of so many ids."""
+        _, ends, values = self._table.take(pa.array(ids)).buffers()
+        at = np.frombuffer(ends, dtype=np.int64)[np.concatenate(([0], np.cumsum(sizes)))] if len(ids) else np.zeros(len(sizes) + 1)
+        return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int64)), values]).cast(pa.binary())
 
     def decode(self, ids: np.ndarray) -> bytes:
-        lengths = self._sizes[ids]
-        ends = np.cumsum(lengths)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._begins[ids] - ends + lengths, lengths)
-        return self._flat[places].tobytes()
+        return self.decode_array(ids, np.array([len(ids)]))[0].as_py()
 
 
 def encode(
@@ -285,14 +280,14 @@ def encode(
         encoder = _encoder(vocabulary, pattern)
         decoder = Decoder(encoder.ranks) if decoded else None
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
             # some texts at a time bounds the parts held at once
-            for part in text_slices(texts):
+            for part in array_slices(batch.column("_text")):
                 some = batch.slice(part.start, part.stop - part.start)
-                packed = encoder.encode_all(texts[part])
-                columns = [*(some.column(field.name) for field in kept), _lists(packed)]
+                ids, sizes = encoder.encode_array(some.column("_text"))
+                ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                columns = [*(some.column(field.name) for field in kept), pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32()))]
                 if decoder:
-                    columns.append(pa.array([decoder.decode(np.frombuffer(ids, dtype="<i4")) for ids in packed], pa.binary()))
+                    columns.append(decoder.decode_array(ids, sizes))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return rows.mapInArrow(run, schema)
