@@ -77,7 +77,9 @@ def _borders(body: np.ndarray) -> np.ndarray:
     second = body[leads + 1]
     known[leads[(body[leads] != 0xC3) | ((second != 0x97) & (second != 0xB7))] + 1] = _LETTER
     found = np.zeros(len(body), dtype=bool)
-    found[1:] = _BORDER.ravel()[known[:-1] << 3 | known[1:]]
+    pairs = known[:-1] << 3
+    pairs |= known[1:]
+    np.take(_BORDER.ravel(), pairs, out=found[1:], mode="clip")
     # a line end alone is a match: longer white space is split by what follows
     lines = np.flatnonzero(known[1:-1] == _LINE) + 1
     before, after = known[lines - 1], known[lines + 1]
@@ -113,10 +115,12 @@ def cut_parts(texts: pa.Array, fine: bool = False) -> tuple[pa.Array, np.ndarray
     last = ends[1:][filled] - 1
     cuts[last[body[last] == 32]] = False
     cuts[ends[:-1][filled]] = True
-    starts = np.flatnonzero(cuts)
-    bounds = pa.py_buffer(np.append(starts, len(body)))
-    parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, values.slice(low, high - low)])
-    return parts, np.diff(np.searchsorted(starts, ends))
+    del spaces, after, white
+    bounds = np.flatnonzero(np.append(cuts, True))
+    parts = pa.Array.from_buffers(
+        pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), values.slice(low, high - low)]
+    )
+    return parts, np.diff(np.searchsorted(bounds, ends))
 
 
 def _slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
@@ -186,7 +190,7 @@ class PartCache:
     about twice `size` bytes, as workers live on and keep them."""
 
     def __init__(
-        self, encode: Callable[[list[bytes]], list[bytes]], kind: str, fine: bool, entries: int = 600_000, size: int = 64_000_000,
+        self, encode: Callable[[list[bytes]], list[bytes]], kind: str, fine: bool, entries: int = 600_000, size: int = 96_000_000,
     ):
         # packed ids of parts
         self._encode = encode
@@ -199,14 +203,16 @@ class PartCache:
         """The ids of all texts, one text after the other, and how many each has."""
         parts, n_parts = cut_parts(texts, self._fine)
         numbered = parts.dictionary_encode()
+        del parts
         distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self._known.age()
         packed = list(map(known.get, distinct))
-        missing = self._known.missing({part for part, ids in zip(distinct, packed, strict=True) if ids is None})
+        unknown = [i for i, ids in enumerate(packed) if ids is None]
+        missing = self._known.missing({distinct[i] for i in unknown})
         if missing:
             known.update(zip(missing, self._encode(missing), strict=True))
-        if None in packed:
-            packed = list(map(known.__getitem__, distinct))
+        for i in unknown:
+            packed[i] = known[distinct[i]]
         ids = np.frombuffer(b"".join(packed), dtype=self._kind)
         sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // self._kind.itemsize
         by_part = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.array(ids)).take(numbered.indices)
@@ -225,7 +231,7 @@ def matches_of(texts: list[str], findall: Callable[[str], list[str]]) -> tuple[l
     matches, ends = [], []
     for text in texts:
         # letters, with or without a space before them, are one match
-        if text[text[0] == " ":].isalpha() and PLAIN(text):
+        if text[text[0] == " ":].isalpha() and (text.isascii() or PLAIN(text)):
             matches.append(text)
         else:
             matches += findall(text)

@@ -161,7 +161,7 @@ class Vocabulary:
         out, plain, joined, alone = {}, {}, {}, {}
         for part in parts:
             text = part.decode()
-            (plain if PLAIN(text) else joined if _JOINS(text) else alone)[part] = text
+            (plain if part.isascii() or PLAIN(text) else joined if _JOINS(text) else alone)[part] = text
         if plain:
             out.update(zip(plain, self._encode_plain(list(plain.values()), map(len, plain)), strict=True))
         if joined:
