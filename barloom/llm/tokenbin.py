@@ -139,7 +139,7 @@ class Vocabulary:
             tokens = self._tokenizer.get_vocab(with_added_tokens=True)
             self._lengths = np.zeros(max(tokens.values()) + 1, dtype=np.int64)
             self._lengths[list(tokens.values())] = list(map(len, tokens))
-        self._cache = PartCache(self._encode_parts, self.kind, fine=True)
+        self._cache = PartCache(self._encode_parts, self.kind, fine=True, size=96_000_000)
 
     def _packed(self, ids: list[int], sizes: Iterable[int]) -> list[bytes]:
         """Ids of pieces of so many bytes that no token lies across, piece by piece."""
