@@ -139,7 +139,7 @@ def text_slices(texts: list[str], characters: int = 1_000_000) -> Iterator[slice
     return _slices(map(len, texts), characters)
 
 
-def array_slices(texts: pa.Array, size: int = 16_000_000) -> Iterator[slice]:
+def array_slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[slice]:
     """Slices of consecutive texts with about so many bytes; a longer text is a slice of its own."""
     return _slices(pc.binary_length(texts).to_pylist(), size)
 
@@ -190,7 +190,7 @@ class PartCache:
     about twice `size` bytes, as workers live on and keep them."""
 
     def __init__(
-        self, encode: Callable[[list[bytes]], list[bytes]], kind: str, fine: bool, entries: int = 600_000, size: int = 64_000_000,
+        self, encode: Callable[[list[bytes]], list[bytes]], kind: str, fine: bool, entries: int = 600_000, size: int = 12_000_000,
     ):
         # packed ids of parts
         self._encode = encode

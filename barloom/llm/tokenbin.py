@@ -35,6 +35,7 @@ from barloom.llm.common import stored, text_of
 from barloom.llm.wavelet import BitPlane, WaveletMatrix
 
 SHARD_IDS = 1 << 18
+SLICE_BYTES = 16_000_000  # of texts encoded at once
 
 _SPLIT = regex.compile(PATTERN).findall
 _JOINS = re.compile(r" \S").match
@@ -214,7 +215,7 @@ def write_shards(
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "file": file}], schema=_SHARD_ARROW)
 
         for batch in batches:
-            for some in array_slices(batch.column("_text")):
+            for some in array_slices(batch.column("_text"), SLICE_BYTES):
                 rows = batch.slice(some.start, some.stop - some.start)
                 found, n_ids = words.encode_array(rows.column("_text"))
                 found, n_ids = np.insert(found, np.cumsum(n_ids), end_id), n_ids + 1
